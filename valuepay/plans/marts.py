@@ -53,6 +53,14 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- M2
+def payment_rank(value: Column, sequential: Column) -> Column:
+    """One long ordering payments by amount (descending wins) then sequence number
+    (ascending wins): ``cents * 2^16 + (2^16 - 1 - seq)``. Exact for the staging types
+    (decimal(12,2) amounts are below 2^40 cents, sequence numbers are 16 bit); a
+    fixed-width key keeps ``max_by`` far cheaper than a struct comparison."""
+    return (value * 100).cast("long") * 65536 + (F.lit(65535) - sequential.cast("long"))
+
+
 def payments_per_order(order_payments: DataFrame) -> DataFrame:
     """Payments rolled up to one row per order."""
     t, v = F.col("payment_type"), F.col("payment_value")
@@ -60,9 +68,10 @@ def payments_per_order(order_payments: DataFrame) -> DataFrame:
         order_payments.groupBy("order_id").agg(
             F.sum(v).alias("order_value"),
             F.max("payment_installments").alias("max_installments"),
-            F.count_distinct(t).alias("distinct_payment_methods"),
+            # a set per order (a handful of methods) instead of a two-phase distinct aggregate
+            F.size(F.collect_set(t)).cast("long").alias("distinct_payment_methods"),
             # the method carrying the most money; equal amounts -> lowest sequence number
-            arg_max(t, v, "payment_sequential").alias("primary_payment_type"),
+            F.max_by(t, payment_rank(v, F.col("payment_sequential"))).alias("primary_payment_type"),
             *[sum_if(v, t == pt).alias(f"{pt}_value") for pt in PAYMENT_TYPES],
         )
         .withColumn("used_installments", F.col("max_installments") > 1)

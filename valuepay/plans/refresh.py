@@ -8,6 +8,7 @@ later marts read it (the fact has four readers).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -36,6 +37,7 @@ class RefreshResult:
     metrics: list[tuple[str, str, int]] = field(default_factory=list)
     staging_report: list = field(default_factory=list)
     mart_report: list = field(default_factory=list)
+    seconds: dict[str, float] = field(default_factory=dict)  # step -> wall time
 
 
 def load_staging(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
@@ -43,7 +45,9 @@ def load_staging(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir:
     staged = {}
     for name, df in sources.items():
         path = f"{out_dir}/raw/{name}"
+        t0 = time.perf_counter()
         sinks.write_table(df, path, SORT_KEYS.get(name, ()))
+        result.seconds[f"load:{name}"] = time.perf_counter() - t0
         staged[name] = sinks.read_table(spark, path)
         result.staging[name] = path
     return staged
@@ -54,7 +58,9 @@ def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: s
     """Build and write the marts in dependence order, each read back by its consumers."""
     def put(name: str, df: DataFrame) -> DataFrame:
         path = f"{out_dir}/marts/{name}"
+        t0 = time.perf_counter()
         sinks.write_table(df, path, MART_SORT_KEYS[name])
+        result.seconds[f"mart:{name}"] = time.perf_counter() - t0
         result.marts[name] = path
         return sinks.read_table(spark, path)
 
@@ -62,7 +68,10 @@ def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: s
     geo = put("dim_geolocation", M.dim_geolocation(staged["geolocation"]))
     fact = put("fct_order_payments", M.fct_order_payments(
         staged["orders"], staged["order_payments"], staged["order_items"], staged["customers"]))
-    dim = put("dim_customer", M.dim_customer(fact, keep=keep))
+    t0 = time.perf_counter()
+    dim_plan = M.dim_customer(fact, keep=keep)          # runs the threshold passes
+    result.seconds["thresholds"] = time.perf_counter() - t0
+    dim = put("dim_customer", dim_plan)
     for df in keep:
         df.unpersist()
     out = {
@@ -86,13 +95,17 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
         for name, df in sources.items():                       # validate: parse + non-empty
             result.metrics.append(("validate", name, validate_source(df, name)))
     staged = load_staging(spark, sources, out_dir, result)
+    t0 = time.perf_counter()
     report = Q.staging_min_rows(staged, min_rows).unionByName(
         Q.orphan_payments(staged["order_payments"], staged["orders"]))
     result.staging_report = Q.enforce(report, "staging gate")
+    result.seconds["gate:staging"] = time.perf_counter() - t0
     for r in result.staging_report:
         if r["check"].startswith("min_rows:"):
             result.metrics.append(("load", r["check"].split(":", 1)[1], int(r["observed"])))
     built = build_marts(spark, staged, out_dir, result)
+    t0 = time.perf_counter()
     result.mart_report = Q.enforce(
         Q.mart_checks(built["fct_order_payments"], built["dim_customer"]), "mart gate")
+    result.seconds["gate:marts"] = time.perf_counter() - t0
     return result

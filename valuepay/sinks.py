@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 def write_table(df: DataFrame, path: str, sort_key: Sequence[str] = ()) -> None:
     """Full rebuild of a table (drop-and-create / truncate-and-load).
 
-    With a sort key the rows are range-partitioned and sorted on it first, so the
-    parquet min/max statistics let later scans skip row groups (the clustered
-    layout of the staging and mart tables). The write goes to a fresh path per
-    refresh elsewhere in the caller, so readers never see a half-written table.
+    With a sort key every output file is sorted on it, so parquet row-group
+    min/max statistics let later scans skip row groups (the clustered layout of
+    the staging and mart tables). The rows keep the partitioning of the last
+    shuffle: a global range repartition would need an extra sampling pass that
+    recomputes the final stage. The caller writes each refresh below a fresh
+    folder, so readers never see a half-written table.
     """
     if sort_key:
-        df = df.repartitionByRange(*sort_key).sortWithinPartitions(*sort_key)
+        df = df.sortWithinPartitions(*sort_key)
     df.write.mode("overwrite").parquet(path)
 
 
