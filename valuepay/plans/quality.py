@@ -75,6 +75,7 @@ def enforce(report: DataFrame, gate: str) -> list:
     rows = report.collect()
     failing = [r for r in rows if not r["passed"] and r["severity"] == "error"]
     if failing:
-        msg = "; ".join(f"{r['check']}: {r['observed']:g} not {r['bound']}" for r in failing)
+        msg = "; ".join(f"{r['check']}: {'NULL' if r['observed'] is None else format(r['observed'], 'g')}"
+                        f" not {r['bound']}" for r in failing)
         raise QualityGateFailed(f"{gate} failed: {msg}")
     return rows
