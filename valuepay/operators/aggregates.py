@@ -60,6 +60,18 @@ def mean(x) -> Column:
     return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double"))
 
 
+def mean_exact(x, scale: int = 18) -> Column:
+    """Mean of bounded doubles (e.g. coordinates) that does not depend on row order.
+
+    A double sum rounds differently for each partitioning, so a rebuilt table
+    could differ in the last bit. Summing the values as decimal(38, scale) is
+    exact and associative; one conversion and one division give the double.
+    Values must stay below 10^(38-scale) in magnitude.
+    """
+    x = _c(x)
+    return F.try_divide(F.sum(x.cast(f"decimal(38,{scale})")).cast("double"), F.count(x).cast("double"))
+
+
 def avg_if(x, cond: Column) -> Column:
     """Mean over matching rows; NULL (not NaN) when nothing matches."""
     return mean(F.when(cond, _c(x)))

@@ -28,7 +28,8 @@ from valuepay.functions.scalars import (
     days_between, floor_zero, month_start, order_date, round_money, segment_label,
 )
 from valuepay.operators.aggregates import (
-    arg_max, avg_if, count_if, first_of_earliest, mean, mode, nulls_last, percent, ratio, sum_if,
+    arg_max, avg_if, count_if, first_of_earliest, mean, mean_exact, mode, nulls_last, percent, ratio,
+    sum_if,
 )
 from valuepay.operators.joins import left_join_filled
 from valuepay.operators.quantiles import exact_quantiles
@@ -45,8 +46,8 @@ def round_dec(x, digits: int) -> Column:
 def dim_geolocation(geolocation: DataFrame) -> DataFrame:
     """One coordinate (mean) and the most frequent city/state per zip prefix."""
     return geolocation.groupBy(F.col("geolocation_zip_code_prefix").alias("zip_code_prefix")).agg(
-        F.avg("geolocation_lat").alias("lat"),
-        F.avg("geolocation_lng").alias("lng"),
+        mean_exact("geolocation_lat").alias("lat"),
+        mean_exact("geolocation_lng").alias("lng"),
         mode("geolocation_city").alias("city"),
         mode("geolocation_state").alias("state"),
     )
@@ -227,7 +228,7 @@ def mart_hvc_payment_profile(fact: DataFrame, dim: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- M5
 def state_centroids(dim_geo: DataFrame) -> DataFrame:
     """Unweighted mean of the prefix coordinates per state (one row per state)."""
-    return dim_geo.groupBy("state").agg(F.avg("lat").alias("lat"), F.avg("lng").alias("lng"))
+    return dim_geo.groupBy("state").agg(mean_exact("lat").alias("lat"), mean_exact("lng").alias("lng"))
 
 
 def mart_geo_value(dim: DataFrame, dim_geo: DataFrame) -> DataFrame:
