@@ -73,13 +73,15 @@ def card6_uplift(uplift: DataFrame) -> DataFrame:
 
 
 def card7_monthly_revenue(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """Monthly revenue of HVC and other customers (dated orders of known customers)."""
-    f = (fact.where((F.col("customer_unique_id") != "") & F.col("order_month").isNotNull())
-             .select("customer_unique_id", "order_month", "order_value"))
-    j = f.join(dim.select("customer_unique_id", "is_high_value_customer"), "customer_unique_id")
+    """Monthly revenue of HVC and other customers (dated orders of known customers).
+    The fact is rolled up per person and month before the join (bounded rows per person)."""
+    per = (fact.where((F.col("customer_unique_id") != "") & F.col("order_month").isNotNull())
+               .groupBy("customer_unique_id", "order_month")
+               .agg(F.sum("order_value").alias("v")))
+    j = per.join(dim.select("customer_unique_id", HVC_COL), "customer_unique_id")
     return (j.groupBy("order_month")
-             .agg(F.round(sum_if("order_value", _hvc()), 0).alias("hvc_revenue"),
-                  F.round(sum_if("order_value", ~_hvc()), 0).alias("other_revenue"))
+             .agg(F.round(sum_if("v", _hvc()), 0).alias("hvc_revenue"),
+                  F.round(sum_if("v", ~_hvc()), 0).alias("other_revenue"))
              .orderBy("order_month"))
 
 

@@ -203,25 +203,42 @@ def dim_customer(fact: DataFrame, *, keep: list | None = None, accuracy: int = 1
 
 
 # --------------------------------------------------------------------- M4
-def _fact_with_segment(fact: DataFrame, dim: DataFrame, fact_cols: list[str],
-                       dim_cols: list[str]) -> DataFrame:
-    f = fact.where(F.col("customer_unique_id") != "").select("customer_unique_id", *fact_cols)
-    return f.join(dim.select("customer_unique_id", *dim_cols), "customer_unique_id", "inner")
+# Marts that join fact and dimension first roll the fact up per person (and per
+# payment method or month), with partial aggregation before the shuffle. The join
+# then sees a bounded number of rows per person, so a person holding a third of
+# all orders is collapsed map-side instead of landing in one join task. Every
+# figure is rebuilt exactly from these sums and counts.
+def _known_customers(fact: DataFrame) -> DataFrame:
+    return fact.where(F.col("customer_unique_id") != "")
+
+
+def _segments(dim: DataFrame, *cols: str) -> DataFrame:
+    return dim.select("customer_unique_id", *cols)
+
+
+def _div(num: str, den: str) -> Column:
+    return F.try_divide(F.sum(num).cast("double"), F.sum(den).cast("double"))
 
 
 def mart_hvc_payment_profile(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    j = _fact_with_segment(
-        fact, dim, ["primary_payment_type", "order_value", "max_installments", "used_installments"],
-        ["value_segment"])
     used = F.col("used_installments")
+    inst = F.col("max_installments")
+    per = _known_customers(fact).groupBy("customer_unique_id", "primary_payment_type").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("order_value").alias("v"),
+        F.sum(inst).alias("i"),
+        F.sum(F.when(used, inst)).alias("iu"),
+        count_if(used).alias("u"),
+    )
+    j = per.join(_segments(dim, "value_segment"), "customer_unique_id", "inner")
     return j.groupBy("value_segment", "primary_payment_type").agg(
-        F.count(F.lit(1)).alias("order_count"),
-        F.count_distinct("customer_unique_id").alias("customer_count"),
-        round_dec(F.sum("order_value"), 2).alias("total_revenue"),
-        round_money(mean("order_value"), 2).alias("avg_order_value"),
-        round_money(mean("max_installments"), 2).alias("avg_installments"),
-        round_money(avg_if("max_installments", used), 2).alias("avg_installments_when_used"),
-        round_money(percent(count_if(used), F.count(F.lit(1))), 1).alias("pct_orders_with_installments"),
+        F.sum("n").alias("order_count"),
+        F.count(F.lit(1)).alias("customer_count"),          # one row per person and method
+        round_dec(F.sum("v"), 2).alias("total_revenue"),
+        round_money(_div("v", "n"), 2).alias("avg_order_value"),
+        round_money(_div("i", "n"), 2).alias("avg_installments"),
+        round_money(_div("iu", "u"), 2).alias("avg_installments_when_used"),
+        round_money(_div("u", "n") * F.lit(100.0), 1).alias("pct_orders_with_installments"),
     )
 
 
@@ -254,15 +271,19 @@ def mart_geo_value(dim: DataFrame, dim_geo: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------- M6
 def mart_payment_uplift(fact: DataFrame, dim: DataFrame, adoption: float = UPLIFT_ADOPTION) -> DataFrame:
-    j = _fact_with_segment(fact, dim, ["order_value", "used_installments", "primary_payment_type"],
-                           ["value_segment"])
     used = F.col("used_installments")
     addressable = ~used & (F.col("primary_payment_type") == "credit_card")
+    per = _known_customers(fact).groupBy("customer_unique_id").agg(
+        sum_if("order_value", used).alias("vi"), count_if(used).alias("ni"),
+        sum_if("order_value", ~used).alias("vn"), count_if(~used).alias("nn"),
+        count_if(addressable).alias("ao"), sum_if("order_value", addressable).alias("ar"),
+    )
+    j = per.join(_segments(dim, "value_segment"), "customer_unique_id", "inner")
     seg = j.groupBy("value_segment").agg(
-        avg_if("order_value", used).alias("_aov_i"),
-        avg_if("order_value", ~used).alias("_aov_n"),
-        count_if(addressable).alias("addressable_orders"),
-        sum_if("order_value", addressable).alias("_addr_rev"),
+        _div("vi", "ni").alias("_aov_i"),                   # NULL when no order matches
+        _div("vn", "nn").alias("_aov_n"),
+        F.sum("ao").alias("addressable_orders"),
+        F.sum("ar").alias("_addr_rev"),
     )
     gap = F.col("_aov_i") - F.col("_aov_n")
     return seg.select(
