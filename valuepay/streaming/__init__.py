@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is a daily full rebuild (truncate-and-load of six CSV files, then
+create-as-select marts). It has no stream source, watermark, stream window or
+stateful operator, so there is nothing to express with Structured Streaming;
+``valuepay.plans.refresh.refresh`` is the batch entry point a scheduler calls.
+"""
