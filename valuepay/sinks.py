@@ -6,7 +6,6 @@ import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, sort_key: Sequence[str] = ()) -> None:
