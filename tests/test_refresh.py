@@ -31,7 +31,8 @@ def test_refresh_from_csv_and_idempotent(spark, landing):
                             "mart_hvc_payment_profile", "mart_geo_value", "mart_payment_uplift"}
     for name in a.marts:
         assert _rows(spark, a.marts[name]) == _rows(spark, b.marts[name]), name
-    assert [m for m in a.metrics if m[0] == "validate"] and all(m[2] > 0 for m in a.metrics)
+    assert {m[1] for m in a.metrics if m[0] == "load"} == set(MIN_ROWS) and all(m[2] > 0 for m in a.metrics)
+    assert a.rows["order_payments"] == spark.read.parquet(a.staging["order_payments"]).count()
     assert any(r["check"] == "orphan_payments" for r in a.staging_report)
 
 
@@ -44,6 +45,15 @@ def test_refresh_matches_registry_marts(spark, landing):
         assert _rows(spark, res.marts[name]) == want, name
 
 
+def test_empty_source_fails_the_refresh(spark):
+    from valuepay.sources.csv_source import SourceEmpty
+    d = scratch_path(spark, "landing-empty")
+    for name, df in fixtures.load(spark, SF001).items():
+        write_csv(df.where("false") if name == "order_items" else df.coalesce(1), f"{d}/{name}.csv")
+    with pytest.raises(SourceEmpty, match="order_items"):
+        refresh(spark, scratch_path(spark, "run"), data_dir=d, min_rows=ONE)
+
+
 def test_reference_thresholds_stop_the_refresh(spark, landing):
     from valuepay.plans.quality import QualityGateFailed
     with pytest.raises(QualityGateFailed) as e:

@@ -46,6 +46,14 @@ def staging_min_rows(tables: Mapping[str, DataFrame], min_rows: Mapping[str, int
     return _union(parts)
 
 
+def min_rows_report(spark, counts: Mapping[str, int], min_rows: Mapping[str, int] = MIN_ROWS) -> DataFrame:
+    """DQ1 from row counts already observed while loading (no second scan)."""
+    rows = [(f"min_rows:{t}", float(counts[t]), f">= {m}", counts[t] >= m, "error")
+            for t, m in min_rows.items()]
+    return spark.createDataFrame(rows, "check string, observed double, bound string, "
+                                       "passed boolean, severity string")
+
+
 def orphan_payments(order_payments: DataFrame, orders: DataFrame, max_orphans: int | None = None) -> DataFrame:
     """DQ2: payments whose order is missing (left anti join). Logged only unless a maximum is given."""
     c = anti_count(order_payments.select("order_id"), orders.select("order_id"), "order_id")
