@@ -44,7 +44,7 @@ CUSTOMERS_CSV = (
 
 
 def test_csv_multiline_quotes_zeros_empty_and_na(spark):
-    df = read_source(spark, _land(CUSTOMERS_CSV, "customers"), "customers")
+    df = read_source(spark, _land(CUSTOMERS_CSV, "customers"), "customers", multiline=True)
     rows = sorted(df.collect())
     assert rows[0].customer_unique_id == 'line one\nline "two"'
     assert rows[0].customer_zip_code_prefix == "01001"       # leading zero kept
@@ -60,6 +60,21 @@ ORDERS_CSV = (
 )
 
 
+REVIEWS_CSV = (
+    "review_id,order_id,review_score,review_comment_title,review_comment_message,"
+    "review_creation_date,review_answer_timestamp\n"
+    'r1,o1,5,,"Muito bom,\nchegou ""antes"" do prazo",2018-01-01 00:00:00,\n'
+    "r2,o2,1,NA,,bad,2018-01-03 10:00:00\n"
+)
+
+
+def test_reviews_keep_line_breaks_by_default(spark):
+    rows = {r.review_id: r for r in read_source(spark, _land(REVIEWS_CSV, "order_reviews"), "order_reviews").collect()}
+    assert rows["r1"].review_comment_message == 'Muito bom,\nchegou "antes" do prazo'
+    assert rows["r1"].review_comment_title == "" and rows["r2"].review_comment_title == "NA"
+    assert rows["r2"].review_creation_date is None and rows["r2"].review_score == 1
+
+
 def test_csv_lenient_timestamps_second_resolution(spark):
     r = read_source(spark, _land(ORDERS_CSV, "orders"), "orders").first()
     assert r.order_purchase_timestamp == dt.datetime(2017, 10, 2, 10, 56, 33)

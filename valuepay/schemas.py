@@ -76,6 +76,10 @@ SOURCES: dict[str, T.StructType] = {
     "order_reviews": ORDER_REVIEWS,
 }
 
+# Tables whose text columns may hold quoted line breaks (free-text review comments).
+# Only these are read with multiLine, which makes each file a single split.
+MULTILINE_TABLES = frozenset({"order_reviews"})
+
 # Sort (clustering) key of each staging table, used when writing it.
 SORT_KEYS: dict[str, tuple[str, ...]] = {
     "orders": ("order_id",),

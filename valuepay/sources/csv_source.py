@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from valuepay.schemas import DATETIME_COLUMNS, SOURCES
+from valuepay.schemas import DATETIME_COLUMNS, MULTILINE_TABLES, SOURCES
 
 
 class SourceMissing(FileNotFoundError):
@@ -27,16 +27,17 @@ def _text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
 
 
-def read_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
     """Scan a header CSV with every column as text.
 
-    ``multiLine`` keeps quoted line breaks inside one record; only the empty field
-    is missing (words such as ``NA`` stay text).
+    ``multiline`` keeps quoted line breaks inside one record, at the price of one
+    task per file; without it large files split by ``spark.sql.files.maxPartitionBytes``.
+    Only the empty field is missing (words such as ``NA`` stay text).
     """
     reader = (
         spark.read.schema(_text_schema(schema))
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multiline)
         .option("escape", '"')
         .option("mode", "FAILFAST")
     )
@@ -70,13 +71,16 @@ def repair_types(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(cols)
 
 
-def read_source(spark: SparkSession, data_dir: str, table: str) -> DataFrame:
-    """Typed staging frame of one registered source (lazy)."""
+def read_source(spark: SparkSession, data_dir: str, table: str, multiline: bool | None = None) -> DataFrame:
+    """Typed staging frame of one registered source (lazy). ``multiline`` defaults to
+    on only for tables with free-text columns."""
     if table not in SOURCES:
         raise KeyError(f"unknown source table {table!r}")
     schema = SOURCES[table]
     path = f"{data_dir.rstrip('/')}/{table}.csv"
-    return repair_types(read_csv_text(spark, path, schema), schema)
+    if multiline is None:
+        multiline = table in MULTILINE_TABLES
+    return repair_types(read_csv_text(spark, path, schema, multiline), schema)
 
 
 def validate_source(df: DataFrame, table: str) -> int:
