@@ -48,30 +48,47 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ shared marts
-_BUNDLES: dict[tuple[int, str], tuple[dict[str, DataFrame], M.Marts]] = {}
+class _Bundle:
+    """Sources of one data directory, and its marts built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.src = fixtures.load(spark, sf_dir)
+        self._marts: M.Marts | None = None
+
+    @property
+    def marts(self) -> M.Marts:
+        if self._marts is None:
+            src = self.src
+            geo = M.dim_geolocation(src["geolocation"])
+            fact = M.fct_order_payments(src["orders"], src["order_payments"], src["order_items"],
+                                         src["customers"]).persist(StorageLevel.MEMORY_AND_DISK)
+            dim = M.dim_customer(fact)
+            self._marts = M.Marts(geo, fact, dim, M.mart_hvc_payment_profile(fact, dim),
+                                  M.mart_geo_value(dim, geo), M.mart_payment_uplift(fact, dim))
+        return self._marts
+
+
+_BUNDLES: dict[tuple[int, str], _Bundle] = {}
 
 
 def bundle(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], M.Marts]:
     """Sources and marts of one data directory, built once per session."""
+    return _bundle(spark, sf_dir).src, _bundle(spark, sf_dir).marts
+
+
+def _bundle(spark: SparkSession, sf_dir: str) -> _Bundle:
     key = (id(spark), sf_dir.rstrip("/"))
     if key not in _BUNDLES:
-        src = fixtures.load(spark, sf_dir)
-        geo = M.dim_geolocation(src["geolocation"])
-        fact = M.fct_order_payments(src["orders"], src["order_payments"], src["order_items"],
-                                     src["customers"]).persist(StorageLevel.MEMORY_AND_DISK)
-        dim = M.dim_customer(fact)
-        marts = M.Marts(geo, fact, dim, M.mart_hvc_payment_profile(fact, dim),
-                        M.mart_geo_value(dim, geo), M.mart_payment_uplift(fact, dim))
-        _BUNDLES[key] = (src, marts)
+        _BUNDLES[key] = _Bundle(spark, sf_dir)
     return _BUNDLES[key]
 
 
 def _marts(spark, sf_dir) -> M.Marts:
-    return bundle(spark, sf_dir)[1]
+    return _bundle(spark, sf_dir).marts
 
 
 def _src(spark, sf_dir) -> dict[str, DataFrame]:
-    return bundle(spark, sf_dir)[0]
+    return _bundle(spark, sf_dir).src
 
 
 # ------------------------------------------------------------------ marts
