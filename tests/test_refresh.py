@@ -20,6 +20,10 @@ def landing(spark):
     return d
 
 
+def scratch_dir_of(result):
+    return result.marts["dim_customer"].rsplit("/marts/", 1)[0]
+
+
 def _rows(spark, path):
     return sorted(map(tuple, spark.read.parquet(path).collect()), key=repr)
 
@@ -34,6 +38,8 @@ def test_refresh_from_csv_and_idempotent(spark, landing):
     assert {m[1] for m in a.metrics if m[0] == "load"} == set(MIN_ROWS) and all(m[2] > 0 for m in a.metrics)
     assert a.rows["order_payments"] == spark.read.parquet(a.staging["order_payments"]).count()
     assert any(r["check"] == "orphan_payments" for r in a.staging_report)
+    metrics = spark.read.parquet(scratch_dir_of(a) + "/metrics").collect()
+    assert {(m.step, m.table) for m in metrics} >= {("load", "orders"), ("mart", "dim_customer")}
 
 
 def test_refresh_matches_registry_marts(spark, landing):

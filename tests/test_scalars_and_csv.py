@@ -91,6 +91,13 @@ def test_csv_malformed_number_fails(spark):
         df.collect()
 
 
+def test_csv_missing_number_in_non_null_column_fails(spark):
+    csv = "order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,boleto,1,\n"
+    df = read_source(spark, _land(csv, "order_payments"), "order_payments")
+    with pytest.raises(Exception, match="missing value in non-null column payment_value"):
+        df.collect()
+
+
 def test_missing_and_empty_source(spark):
     with pytest.raises(SourceMissing):
         read_source(spark, tempfile.mkdtemp(), "orders")

@@ -130,4 +130,10 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
     result.mart_report = Q.enforce(
         Q.mart_checks(built["fct_order_payments"], built["dim_customer"]), "mart gate")
     result.seconds["gate:marts"] = time.perf_counter() - t0
+    result.metrics.append(("mart", "fct_order_payments", int(
+        next(r["observed"] for r in result.mart_report if r["check"] == "fact_not_empty"))))
+    result.metrics.append(("mart", "dim_customer", int(
+        next(r["observed"] for r in result.mart_report if r["check"] == "dim_not_empty"))))
+    sinks.metrics_frame(spark, result.metrics).coalesce(1).write.mode("overwrite") \
+        .parquet(f"{out_dir}/metrics")                                   # K5: a few rows
     return result

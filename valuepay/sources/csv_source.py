@@ -67,6 +67,9 @@ def repair_types(df: DataFrame, schema: T.StructType) -> DataFrame:
             c = F.coalesce(c, F.lit(""))                              # T2, T3
         else:
             c = c.cast(f.dataType)                                    # T4 strict (ANSI)
+            if not f.nullable:                                        # missing number: fail
+                c = F.when(c.isNull(), F.raise_error(
+                    F.lit(f"missing value in non-null column {f.name}"))).otherwise(c)
         cols.append(c.alias(f.name))
     return df.select(cols)
 
