@@ -68,7 +68,7 @@ class _Bundle:
         return self._marts
 
 
-_BUNDLES: dict[tuple[int, str], _Bundle] = {}
+_BUNDLES: dict[tuple[str, str], _Bundle] = {}
 
 
 def bundle(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], M.Marts]:
@@ -77,7 +77,7 @@ def bundle(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], M.Ma
 
 
 def _bundle(spark: SparkSession, sf_dir: str) -> _Bundle:
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _BUNDLES:
         _BUNDLES[key] = _Bundle(spark, sf_dir)
     return _BUNDLES[key]
