@@ -66,3 +66,16 @@ def test_reference_thresholds_stop_the_refresh(spark, landing):
         refresh(spark, scratch_path(spark, "run"), data_dir=landing)
     msg = str(e.value)
     assert all(f"min_rows:{t}" in msg for t in MIN_ROWS)
+
+
+def test_shuffle_sized_from_input():
+    from valuepay.session import shuffle_partitions_for
+    assert shuffle_partitions_for(10 << 20, 8) == 8                     # small input: keep
+    assert shuffle_partitions_for(100 * (1 << 40), 200) == 50_000       # 100 TB: capped
+    assert shuffle_partitions_for(1 << 40, 200) == 4096                 # 1 TB / 256 MB
+
+
+def test_refresh_sizes_and_restores_partitions(spark, landing):
+    res = refresh(spark, scratch_path(spark, "run"), data_dir=landing, min_rows=ONE)
+    assert res.shuffle_partitions == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None

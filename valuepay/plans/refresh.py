@@ -20,6 +20,7 @@ from valuepay import sinks
 from valuepay.plans import marts as M
 from valuepay.plans import quality as Q
 from valuepay.schemas import MIN_ROWS, SORT_KEYS
+from valuepay.session import sized_shuffle
 from valuepay.sources.csv_source import SourceEmpty, read_source
 
 MART_SORT_KEYS = {
@@ -41,6 +42,7 @@ class RefreshResult:
     staging_report: list = field(default_factory=list)
     mart_report: list = field(default_factory=list)
     seconds: dict[str, float] = field(default_factory=dict)  # step -> wall time
+    shuffle_partitions: int | None = None                      # initial partitions used
 
 
 def run_concurrently(jobs: Mapping[str, Callable[[], object]], max_workers: int = 4) -> dict[str, object]:
@@ -108,13 +110,20 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
             sources: Mapping[str, DataFrame] | None = None,
             min_rows: Mapping[str, int] = MIN_ROWS, max_workers: int = 4) -> RefreshResult:
     """Run the whole pipeline. Sources come from ``<data_dir>/<table>.csv`` or as frames."""
-    result = RefreshResult()
     if sources is None:
         if data_dir is None:
             raise ValueError("give data_dir or sources")
         # a missing file fails here (S3); parsing and the non-empty check (S4) happen in
         # the one scan that also loads the table, instead of reading every file twice
         sources = {name: read_source(spark, data_dir, name) for name in MIN_ROWS}
+    with sized_shuffle(spark, sources.values()) as partitions:
+        result = RefreshResult(shuffle_partitions=partitions)
+        _run(spark, sources, out_dir, min_rows, max_workers, result)
+    return result
+
+
+def _run(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
+         min_rows: Mapping[str, int], max_workers: int, result: RefreshResult) -> None:
     staged = load_staging(spark, sources, out_dir, result, max_workers)
     empty = [name for name, n in result.rows.items() if n == 0]
     if empty:
@@ -136,4 +145,3 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
         next(r["observed"] for r in result.mart_report if r["check"] == "dim_not_empty"))))
     sinks.metrics_frame(spark, result.metrics).coalesce(1).write.mode("overwrite") \
         .parquet(f"{out_dir}/metrics")                                   # K5: a few rows
-    return result

@@ -3,11 +3,14 @@ and the shared scratch location (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at cluster scale; applied only where the session leaves them unset.
 SCALE_DEFAULTS = {
@@ -67,3 +70,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/valuepay-{name}-{uuid.uuid4().hex[:12]}"
+
+
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def planned_bytes(frames: Iterable[DataFrame]) -> int:
+    """Catalyst's size estimate of the given frames (file sizes for scans; no job runs)."""
+    total = 0
+    for df in frames:
+        total += int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return total
+
+
+def shuffle_partitions_for(input_bytes: int, current: int, target_bytes: int = 256 << 20,
+                           cap: int = 50_000) -> int:
+    """Initial shuffle partitions so that each covers about ``target_bytes`` of input (the
+    shuffled data is smaller after column pruning and partial aggregation); never fewer than
+    the session already uses, at most ``cap`` to bound the number of shuffle blocks. AQE
+    coalesces the small ones afterwards."""
+    return max(current, min(cap, math.ceil(input_bytes / target_bytes)))
+
+
+@contextmanager
+def sized_shuffle(spark: SparkSession, frames: Iterable[DataFrame]):
+    """Raise AQE's initial shuffle partition number to fit the input, for the duration of a
+    job; left alone when the user set it. AQE can merge partitions but never split a plain
+    aggregation's partitions, so the start value must be large enough for the data."""
+    if spark.conf.get(INITIAL_PARTITIONS, None) is not None:
+        yield None
+        return
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = shuffle_partitions_for(planned_bytes(frames), current)
+    spark.conf.set(INITIAL_PARTITIONS, str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
