@@ -79,7 +79,8 @@ def planned_bytes(frames: Iterable[DataFrame]) -> int:
     """Catalyst's size estimate of the given frames (file sizes for scans; no job runs)."""
     total = 0
     for df in frames:
-        total += int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        total += size if isinstance(size, int) else int(size.toString())
     return total
 
 
