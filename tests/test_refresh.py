@@ -79,3 +79,28 @@ def test_refresh_sizes_and_restores_partitions(spark, landing):
     res = refresh(spark, scratch_path(spark, "run"), data_dir=landing, min_rows=ONE)
     assert res.shuffle_partitions == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+
+
+def test_command_line_refresh_and_card(spark, landing, capsys):
+    from valuepay.__main__ import main
+    out = scratch_path(spark, "cli").removeprefix("file:")
+    args = ["refresh", "--data-dir", landing, "--out", out, "--min-rows"] + [f"{t}=1" for t in MIN_ROWS]
+    assert main(args) == 0
+    assert main(["card", "verify_counts", "--marts", f"{out}/marts"]) == 0
+    assert "hvc_customers" in capsys.readouterr().out
+    assert main(["refresh", "--data-dir", landing, "--out", out + "-strict"]) == 2   # reference minimums
+
+
+def test_everyone_equal_is_all_hvc_and_fails_the_mart_gate(spark):
+    from tests import frames
+    from valuepay.plans import marts as M
+    from valuepay.plans import quality as Q
+    o = frames.orders(spark, [(f"o{i}", f"c{i}", "delivered", "2018-01-01 00:00:00") for i in range(20)])
+    p = frames.payments(spark, [(f"o{i}", 1, "boleto", 1, "10.00") for i in range(20)])
+    c = frames.customers(spark, [(f"c{i}", f"U{i}", "0", "x", "S") for i in range(20)])
+    fact = M.fct_order_payments(o, p, frames.items(spark, []), c)
+    dim = M.dim_customer(fact)
+    assert dim.where("is_high_value_customer").count() == 20
+    assert {r.value_segment for r in dim.collect()} == {"Top 5% Whale"}
+    with pytest.raises(Q.QualityGateFailed, match="hvc_share"):
+        Q.enforce(Q.mart_checks(fact, dim), "mart gate")
