@@ -107,7 +107,8 @@ def test_missing_and_empty_source(spark):
 
 
 def test_translation_lookup_scan(spark):
-    from valuepay.sources.csv_source import read_csv_text
-    d = _land("product_category_name,product_category_name_english\nbeleza_saude,health_beauty\n", "t")
-    r = read_csv_text(spark, f"{d}/t.csv", S.CATEGORY_TRANSLATION).first()
-    assert tuple(r) == ("beleza_saude", "health_beauty")
+    from valuepay.sources.csv_source import read_category_translation
+    d = _land("product_category_name,product_category_name_english\nbeleza_saude,health_beauty\npcs,\n",
+              "category_translation")
+    rows = sorted(map(tuple, read_category_translation(spark, d).collect()))
+    assert rows == [("beleza_saude", "health_beauty"), ("pcs", "")]

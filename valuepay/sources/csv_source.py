@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from valuepay.schemas import DATETIME_COLUMNS, MULTILINE_TABLES, SOURCES
+from valuepay.schemas import CATEGORY_TRANSLATION, DATETIME_COLUMNS, MULTILINE_TABLES, SOURCES
 
 
 class SourceMissing(FileNotFoundError):
@@ -86,6 +86,13 @@ def read_source(spark: SparkSession, data_dir: str, table: str, multiline: bool
     return repair_types(read_csv_text(spark, path, schema, multiline), schema)
 
 
+def read_category_translation(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The two-column product-category translation lookup (S7). No mart reads it; a join
+    to it stays an ordinary equi-join, broadcast by AQE only when measured small."""
+    path = f"{data_dir.rstrip('/')}/category_translation.csv"
+    return repair_types(read_csv_text(spark, path, CATEGORY_TRANSLATION, False), CATEGORY_TRANSLATION)
+
+
 def validate_source(df: DataFrame, table: str) -> int:
     """Parse-and-non-empty check (S4); returns the row count."""
     n = df.count()
