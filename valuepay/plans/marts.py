@@ -7,16 +7,15 @@ Shuffle plan at scale:
   is a second exchange on customer_id; AQE turns it into a broadcast when the
   customer side is measured small and splits skewed partitions otherwise.
 * dim_customer: one aggregation on customer_unique_id with partial (map-side)
-  evaluation; the thresholds (latest date, p90, p95, median) come from exact
-  distributed order statistics and enter the plan as literals, so no
-  single-partition window and no join is needed to attach them.
+  evaluation; p90, p95 and the median come from exact distributed order
+  statistics and enter the plan as literals, the latest order date as a scalar
+  subquery, so no single-partition window and no join attaches them.
 * profile / uplift / card 7 join fact and dimension on customer_unique_id; the
   distinct customer count reuses that partitioning.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -137,10 +136,9 @@ def customer_base(fact: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Thresholds:
-    """Whole-base statistics the customer dimension is scored against."""
+    """Whole-base order statistics the customer dimension is scored against."""
 
     n: int
-    max_order_date: _dt.date | None
     p90: Decimal | None
     p95: Decimal | None
     median: float | None
@@ -148,14 +146,11 @@ class Thresholds:
 
 def customer_thresholds(base_all: DataFrame, *, accuracy: int = 10_000,
                         sort_limit: int = 1_000_000) -> Thresholds:
-    head = base_all.agg(
-        F.max("last_order_date").alias("max_date"),
-        F.count_if(F.col("customer_unique_id") != "").alias("n"),
-    ).first()
+    """p90, p95 (quantileExact) and the exact median of monetary value over known persons."""
     persons = base_all.where(F.col("customer_unique_id") != "")
-    q = exact_quantiles(persons, "monetary", (0.90, 0.95), median=True, n=head["n"],
+    q = exact_quantiles(persons, "monetary", (0.90, 0.95), median=True,
                         accuracy=accuracy, sort_limit=sort_limit)
-    return Thresholds(head["n"], head["max_date"], q[0.90], q[0.95], q["median"])
+    return Thresholds(q["n"], q[0.90], q[0.95], q["median"])
 
 
 def _lit(v, dtype: str) -> Column:
@@ -172,6 +167,9 @@ DIM_COLUMNS = [
 
 def score_customers(base_all: DataFrame, th: Thresholds) -> DataFrame:
     m = F.col("monetary")
+    # latest order date of the whole fact, orders without a customer included: a scalar
+    # subquery over the per-person rollup (computed once, inlined as a value; no join)
+    latest = base_all.agg(F.max("last_order_date")).scalar()
     p90, p95 = _lit(th.p90, "decimal(22,2)"), _lit(th.p95, "decimal(22,2)")
     med = _lit(th.median, "double")
     return base_all.where(F.col("customer_unique_id") != "").select(
@@ -179,7 +177,7 @@ def score_customers(base_all: DataFrame, th: Thresholds) -> DataFrame:
         F.col("first_location.customer_state").alias("customer_state"),
         F.col("first_location.customer_city").alias("customer_city"),
         "frequency", "monetary", "avg_order_value",
-        days_between("last_order_date", _lit(th.max_order_date, "date")).alias("recency_days"),
+        days_between("last_order_date", latest).alias("recency_days"),
         "last_order_date", "avg_installments_when_used", "installment_order_share",
         "top_payment_type",
         (m >= p95).alias("is_top5_value"),

@@ -312,11 +312,11 @@ def q_join_left_anti(spark, sf_dir):
 def q_scalar_subquery_recency(spark, sf_dir):
     """Days from each person's last order to the latest order date of the whole fact."""
     fact = _marts(spark, sf_dir).fct_order_payments
-    latest = fact.agg(F.max("order_date")).first()[0]
+    latest = fact.agg(F.max("order_date")).scalar()          # uncorrelated scalar subquery
     per = fact.where(F.col("customer_unique_id") != "").groupBy("customer_unique_id") \
         .agg(F.max("order_date").alias("last_order_date"))
     return per.select("customer_unique_id", "last_order_date",
-                      days_between("last_order_date", F.lit(latest).cast("date")).alias("recency_days"))
+                      days_between("last_order_date", latest).alias("recency_days"))
 
 
 def q_case_segments(spark, sf_dir):
