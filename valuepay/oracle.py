@@ -125,13 +125,13 @@ th AS (
   FROM persons),
 dim AS (
   SELECT b.customer_unique_id, l.customer_state, l.customer_city, b.frequency, b.monetary, b.avg_order_value,
-    date_diff('day', b.last_order_date, th.max_date) AS recency_days, b.last_order_date,
+    date_diff('day', b.last_order_date, (SELECT max_date FROM th)) AS recency_days, b.last_order_date,
     b.avg_installments_when_used, b.installment_order_share, t.top_payment_type,
-    b.monetary >= th.p95 AS is_top5_value, b.monetary >= th.p90 AS is_high_value_customer,
-    CASE WHEN b.monetary >= th.p95 THEN 'Top 5% Whale' WHEN b.monetary >= th.p90 THEN 'High Value'
-         WHEN b.monetary >= th.med THEN 'Mid Value' ELSE 'Standard' END AS value_segment
+    b.monetary >= (SELECT p95 FROM th) AS is_top5_value, b.monetary >= (SELECT p90 FROM th) AS is_high_value_customer,
+    CASE WHEN b.monetary >= (SELECT p95 FROM th) THEN 'Top 5% Whale' WHEN b.monetary >= (SELECT p90 FROM th) THEN 'High Value'
+         WHEN b.monetary >= (SELECT med FROM th) THEN 'Mid Value' ELSE 'Standard' END AS value_segment
   FROM persons b JOIN first_loc l ON l.customer_unique_id = b.customer_unique_id
-  JOIN top_pay t ON t.customer_unique_id = b.customer_unique_id CROSS JOIN th),
+  JOIN top_pay t ON t.customer_unique_id = b.customer_unique_id),
 geo_counts AS (
   SELECT geolocation_zip_code_prefix AS zip, geolocation_city AS v, count(*) AS n FROM src_geolocation GROUP BY 1, 2),
 geo_states AS (
@@ -308,8 +308,9 @@ SQL: dict[str, str] = {
         f"{rnd('sum(o * (a::DOUBLE / 100) * g * (c::DOUBLE / 100))', 0)} AS projected_uplift, "
         "CAST(sum(CAST(round(o * (a::DOUBLE / 100), 0) AS BIGINT)) AS BIGINT) AS addressable_orders, "
         f"{rnd('CASE WHEN sum(o * 0.3::DOUBLE * g) > 0 THEN sum(o * (a::DOUBLE / 100) * g * (c::DOUBLE / 100)) / sum(o * 0.3::DOUBLE * g) * 100 ELSE 0.0 END', 0)} AS pct_of_baseline "
-        "FROM (SELECT CAST(addressable_orders AS DOUBLE) AS o, greatest(aov_gap, 0.0) AS g FROM uplift) s, "
-        "range(0, 101, 1) ra(a), range(0, 101, 5) rc(c) GROUP BY a, c"),
+        "FROM (SELECT o, g, a, unnest(range(0, 101, 5)) AS c FROM ("
+        "  SELECT CAST(addressable_orders AS DOUBLE) AS o, greatest(aov_gap, 0.0) AS g, "
+        "         unnest(range(0, 101, 1)) AS a FROM uplift) s1) s GROUP BY a, c"),
     "verify_counts": _q(
         f"SELECT CAST(count(*) AS BIGINT) AS customers, CAST(count_if({_HVC}) AS BIGINT) AS hvc_customers FROM dim"),
     "dq_min_rows": _q(" UNION ALL ".join(
