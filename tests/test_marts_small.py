@@ -7,7 +7,7 @@ from valuepay.plans.scenario import uplift_scenarios
 
 def _fact(spark):
     o = frames.orders(spark, [("o1", "c1", "delivered", "2018-01-05 10:00:00"),
-                              ("o2", "cX", "delivered", "2018-02-01 00:00:00"),   # unknown customer
+                              ("o2", "cX", "delivered", "2018-03-11 00:00:00"),   # unknown customer, latest
                               ("o3", "c1", "shipped", "2018-03-01 00:00:00"),     # no items
                               ("o4", "c1", "delivered", "2018-03-02 00:00:00"),   # no payments
                               ("o5", "c2", "canceled", "2018-03-03 00:00:00")])   # cancelled
@@ -33,7 +33,7 @@ def test_dim_excludes_unknown_customer_and_uses_whole_fact_for_recency(spark):
     assert [r.customer_unique_id for r in dim] == ["U1"]
     r = dim[0]
     assert r.frequency == 2 and float(r.monetary) == 130.0
-    assert r.recency_days == 0                               # latest date is U1's own 2018-03-01
+    assert r.recency_days == 10      # latest date of the whole fact is the unknown customer's
     assert r.avg_installments_when_used == 3.0 and r.installment_order_share == 0.5
     assert r.top_payment_type == "credit_card"
     assert r.is_high_value_customer and r.value_segment == "Top 5% Whale"
