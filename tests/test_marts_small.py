@@ -2,7 +2,7 @@
 
 from tests import frames
 from valuepay.plans import marts as M
-from valuepay.plans.scenario import uplift_scenarios
+from valuepay.plans.scenario import uplift_at, uplift_scenarios
 
 
 def _fact(spark):
@@ -91,3 +91,12 @@ def test_scenario_matches_published_page_rows(spark):
     r = grid.where("adoption_pct = 30 AND capture_pct = 100").first()
     assert r.projected_uplift == 84404.0 and r.addressable_orders == 7162 and r.pct_of_baseline == 100.0
     assert grid.where("adoption_pct = 0").agg({"projected_uplift": "max"}).first()[0] == 0.0
+
+
+def test_single_scenario_per_segment(spark):
+    rows = [("Top 5% Whale", 454, 64.87), ("High Value", 503, 9.63),
+            ("Mid Value", 6310, 13.78), ("Standard", 16608, 9.64)]
+    upl = spark.createDataFrame(rows, "value_segment string, addressable_orders bigint, aov_gap double")
+    got = {r.value_segment: (r.projected_uplift, r.orders_adopting) for r in uplift_at(upl, 30, 100).collect()}
+    assert got["Top 5% Whale"] == (8835.0, 136) and got["Standard"] == (48030.0, 4982)
+    assert sum(v[1] for v in got.values()) == 7162

@@ -2,6 +2,7 @@
 
   python -m valuepay refresh --data-dir <csv folder> --out <run folder> [--min-rows table=n ...]
   python -m valuepay card <card name> --marts <run folder>/marts [--state SP]
+  python -m valuepay card uplift_at --marts <run folder>/marts --adoption 30 --capture 100
 
 Uses the active cluster configuration (``spark-submit`` / ``pyspark`` settings); with
 no master configured it runs on ``local[*]``.
@@ -18,7 +19,7 @@ from pyspark.sql import SparkSession
 from valuepay.plans import cards as C
 from valuepay.plans.quality import QualityGateFailed
 from valuepay.plans.refresh import refresh
-from valuepay.plans.scenario import uplift_scenarios
+from valuepay.plans.scenario import uplift_at, uplift_scenarios
 from valuepay.schemas import MIN_ROWS
 from valuepay.session import apply_scale_defaults, ensure_checkpoint_dir
 
@@ -32,6 +33,7 @@ CARDS = {
     "card7_monthly_revenue": lambda m, a: C.card7_monthly_revenue(m("fct_order_payments"), m("dim_customer")),
     "card8_top_cities": lambda m, a: C.card8_top_cities(m("dim_customer"), state=a.state),
     "uplift_scenarios": lambda m, a: uplift_scenarios(m("mart_payment_uplift")),
+    "uplift_at": lambda m, a: uplift_at(m("mart_payment_uplift"), a.adoption, a.capture),
     "verify_counts": lambda m, a: C.verify_counts(m("dim_customer")),
 }
 
@@ -55,6 +57,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("name", choices=sorted(CARDS))
     c.add_argument("--marts", required=True)
     c.add_argument("--state")
+    c.add_argument("--adoption", type=float, default=30.0, help="uplift_at: adoption %%")
+    c.add_argument("--capture", type=float, default=100.0, help="uplift_at: AOV lift capture %%")
     args = p.parse_args(argv)
 
     spark = _session()

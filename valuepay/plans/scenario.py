@@ -45,3 +45,14 @@ def uplift_scenarios(uplift: DataFrame, adoption_step: int = 1, capture_step: in
         round_money(F.when(F.col("_baseline") > 0, F.col("_uplift") / F.col("_baseline") * 100)
                     .otherwise(F.lit(0.0)), 0).alias("pct_of_baseline"),
     )
+
+
+def uplift_at(uplift: DataFrame, adoption_pct: float, capture_pct: float) -> DataFrame:
+    """One scenario, per segment (the page's bars): projected uplift and orders adopting."""
+    a, c = float(adoption_pct) / 100, float(capture_pct) / 100
+    orders = F.col("addressable_orders").cast("double")
+    return uplift.select(
+        "value_segment",
+        round_money(orders * F.lit(a) * floor_zero(F.col("aov_gap")) * F.lit(c), 0).alias("projected_uplift"),
+        F.round(orders * F.lit(a), 0).cast("bigint").alias("orders_adopting"),
+    )
