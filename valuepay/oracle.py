@@ -3,7 +3,8 @@
 The six source views are the portable SQL of FIXTURES.md; the marts follow the
 reference's definitions written directly in SQL (window ``row_number`` for the
 tie-broken argMax/any, sorted lists for quantileExact, ``median`` on doubles).
-Outputs are cast to BIGINT / DOUBLE / VARCHAR / DATE / BOOLEAN / TIMESTAMP.
+Outputs are cast to BIGINT / DOUBLE / VARCHAR / BOOLEAN / TIMESTAMP; dates are rendered as
+ISO strings (``yyyy-MM-dd``), which every client library returns alike.
 """
 
 from __future__ import annotations
@@ -185,7 +186,8 @@ uplift AS (
 WITH = "WITH " + SOURCE_CTES.strip() + ",\n" + MART_CTES.strip() + "\n"
 
 FACT_SELECT = """SELECT order_id, customer_id, customer_unique_id, order_status, order_purchase_timestamp,
-  order_date, order_month, customer_state, customer_city, customer_zip_code_prefix,
+  CAST(order_date AS VARCHAR) AS order_date, CAST(order_month AS VARCHAR) AS order_month,
+  customer_state, customer_city, customer_zip_code_prefix,
   CAST(order_value AS DOUBLE) AS order_value, primary_payment_type,
   CAST(max_installments AS BIGINT) AS max_installments, used_installments,
   CAST(distinct_payment_methods AS BIGINT) AS distinct_payment_methods,
@@ -196,7 +198,8 @@ FACT_SELECT = """SELECT order_id, customer_id, customer_unique_id, order_status,
 
 DIM_SELECT = """SELECT customer_unique_id, customer_state, customer_city, CAST(frequency AS BIGINT) AS frequency,
   CAST(monetary AS DOUBLE) AS monetary, avg_order_value, CAST(recency_days AS BIGINT) AS recency_days,
-  last_order_date, avg_installments_when_used, installment_order_share, top_payment_type,
+  CAST(last_order_date AS VARCHAR) AS last_order_date, avg_installments_when_used,
+  installment_order_share, top_payment_type,
   is_top5_value, is_high_value_customer, value_segment FROM dim"""
 
 _MIN_ROWS = {"orders": 50_000, "order_payments": 50_000, "order_items": 50_000,
@@ -294,7 +297,8 @@ SQL: dict[str, str] = {
         f"CAST(addressable_orders AS BIGINT) AS addressable_orders, {rnd('projected_annual_uplift', 0)} AS projected_uplift "
         "FROM uplift"),
     "card7_monthly_revenue": _q(
-        f"SELECT order_month, CAST(round(sum(CASE WHEN {_HVC} THEN order_value ELSE 0 END), 0) AS DOUBLE) AS hvc_revenue, "
+        f"SELECT CAST(order_month AS VARCHAR) AS order_month, "
+        f"CAST(round(sum(CASE WHEN {_HVC} THEN order_value ELSE 0 END), 0) AS DOUBLE) AS hvc_revenue, "
         f"CAST(round(sum(CASE WHEN NOT {_HVC} THEN order_value ELSE 0 END), 0) AS DOUBLE) AS other_revenue "
         "FROM fd WHERE order_month IS NOT NULL GROUP BY order_month"),
     "card8_top_cities": _q(
@@ -384,7 +388,7 @@ SQL: dict[str, str] = {
         "CAST(p.payment_value AS DOUBLE) AS payment_value FROM src_order_payments p "
         "WHERE NOT EXISTS (SELECT 1 FROM src_orders o WHERE o.order_id = p.order_id)"),
     "scalar_subquery_recency": _q(
-        "SELECT customer_unique_id, max(order_date) AS last_order_date, "
+        "SELECT customer_unique_id, CAST(max(order_date) AS VARCHAR) AS last_order_date, "
         "CAST(date_diff('day', max(order_date), (SELECT max(order_date) FROM fact)) AS BIGINT) AS recency_days "
         "FROM fact WHERE customer_unique_id <> '' GROUP BY customer_unique_id"),
     "case_segments": _q(
@@ -392,9 +396,10 @@ SQL: dict[str, str] = {
         "CAST(max(monetary) AS DOUBLE) AS max_monetary, CAST(count_if(is_top5_value) AS BIGINT) AS top5, "
         f"CAST(count_if({_HVC}) AS BIGINT) AS hvc FROM dim GROUP BY value_segment"),
     "date_month_trunc": _q(
-        "SELECT CAST(date_trunc('month', order_purchase_timestamp) AS DATE) AS order_month, CAST(count(*) AS BIGINT) AS orders, "
+        "SELECT CAST(CAST(date_trunc('month', order_purchase_timestamp) AS DATE) AS VARCHAR) AS order_month, "
+        "CAST(count(*) AS BIGINT) AS orders, "
         "CAST(count(DISTINCT CAST(order_purchase_timestamp AS DATE)) AS BIGINT) AS days_with_orders, "
-        "min(CAST(order_purchase_timestamp AS DATE)) AS first_day FROM src_orders GROUP BY 1"),
+        "CAST(min(CAST(order_purchase_timestamp AS DATE)) AS VARCHAR) AS first_day FROM src_orders GROUP BY 1"),
     "round_half": _q(
         "SELECT order_id, CAST(payment_sequential AS BIGINT) AS payment_sequential, "
         f"{rnd('CAST(payment_value AS DOUBLE) / 2', 2)} AS half_2, {rnd('CAST(payment_value AS DOUBLE) / 2', 0)} AS half_0, "

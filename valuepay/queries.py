@@ -4,7 +4,7 @@ Every query reads the driver's whole tables through the source adapters. The
 marts of one data directory are built once per session (the fact and the
 customer rollup persisted), so the card and operator queries reuse them.
 Results pass through ``portable`` so both engines compare on plain types:
-decimals as double, integers as bigint.
+decimals as double, integers as bigint, dates as ISO strings.
 """
 
 from __future__ import annotations
@@ -35,7 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def portable(df: DataFrame) -> DataFrame:
-    """Cast decimals to double and integral types to bigint for cross-engine comparison."""
+    """Plain types for cross-engine comparison: decimals as double, integers as bigint,
+    dates as ISO ``yyyy-MM-dd`` strings (client libraries map DATE differently)."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -43,6 +44,8 @@ def portable(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("bigint")
+        elif isinstance(f.dataType, T.DateType):
+            c = c.cast("string")
         cols.append(c.alias(f.name))
     return df.select(cols)
 
