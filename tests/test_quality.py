@@ -46,3 +46,10 @@ def test_negative_value_and_empty_marts_fail(spark):
         Q.enforce(Q.mart_checks(_fact(spark, [1.0, -2.0]), _dim(spark, [True] + [False] * 9)), "g")
     with pytest.raises(Q.QualityGateFailed, match="dim_not_empty"):
         Q.enforce(Q.mart_checks(_fact(spark, [1.0]), _dim(spark, [])), "g")
+
+
+def test_observed_counts_give_the_same_report(spark):
+    fact, dim = _fact(spark, [1.0, -2.0]), _dim(spark, [True] + [False] * 9)
+    a = sorted(map(tuple, Q.mart_checks(fact, dim).collect()))
+    b = sorted(map(tuple, Q.mart_checks_from_counts(spark, fact_rows=2, negative=1, dim_rows=10, hvc=1).collect()))
+    assert a == b
