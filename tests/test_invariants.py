@@ -53,3 +53,22 @@ def test_scenario_at_defaults_matches_uplift_mart(marts):
     orders = upl.agg(F.sum("addressable_orders")).first()[0]
     assert r.pct_of_baseline == 100.0
     assert abs(r.projected_uplift - mart_total) <= 0.01 * orders + 1     # gaps are rounded to cents
+
+
+def test_mart_columns_follow_the_contract(marts):
+    from valuepay.plans.marts import DIM_COLUMNS, FACT_COLUMNS
+    assert marts.fct_order_payments.columns == FACT_COLUMNS
+    assert marts.dim_customer.columns == DIM_COLUMNS
+    assert marts.dim_geolocation.columns == ["zip_code_prefix", "lat", "lng", "city", "state"]
+    assert marts.mart_hvc_payment_profile.columns == [
+        "value_segment", "primary_payment_type", "order_count", "customer_count", "total_revenue",
+        "avg_order_value", "avg_installments", "avg_installments_when_used", "pct_orders_with_installments"]
+    assert marts.mart_geo_value.columns == [
+        "customer_state", "lat", "lng", "total_customers", "hvc_customers", "hvc_penetration_pct",
+        "total_revenue", "hvc_revenue", "hvc_revenue_share_pct"]
+    assert marts.mart_payment_uplift.columns == [
+        "value_segment", "aov_installment", "aov_no_installment", "aov_gap", "addressable_orders",
+        "current_addressable_revenue", "projected_annual_uplift"]
+    types = dict(marts.fct_order_payments.dtypes)
+    assert types["order_date"] == "date" and types["order_month"] == "date"
+    assert types["order_value"].startswith("decimal") and types["used_installments"] == "boolean"

@@ -10,8 +10,10 @@ Shuffle plan at scale:
   evaluation; p90, p95 and the median come from exact distributed order
   statistics and enter the plan as literals, the latest order date as a scalar
   subquery, so no single-partition window and no join attaches them.
-* profile / uplift / card 7 join fact and dimension on customer_unique_id; the
-  distinct customer count reuses that partitioning.
+* profile / uplift / card 7 roll the fact up per person (x method / x month)
+  with partial aggregation before joining the dimension, so a person holding a
+  third of all orders is collapsed map-side and every join key has a bounded
+  number of rows.
 """
 
 from __future__ import annotations
