@@ -2,10 +2,11 @@
 
 Shuffle plan at scale:
 * fct_order_payments: payments and items are rolled up per order *before* the
-  joins (no payment x item fan-out); both rollups come out hash-partitioned on
-  order_id, so the join with orders re-shuffles only orders. The customer join
-  is a second exchange on customer_id; AQE turns it into a broadcast when the
-  customer side is measured small and splits skewed partitions otherwise.
+  joins (no payment x item fan-out) and come out hash-partitioned on order_id.
+  Orders meet their customer first (a narrow exchange on customer_id; AQE makes
+  it a broadcast when the customer side is measured small and splits a skewed
+  customer otherwise), then one exchange on order_id lines them up with both
+  rollups; the wide fact row itself is never shuffled.
 * dim_customer: one aggregation on customer_unique_id with partial (map-side)
   evaluation; p90, p95 and the median come from exact distributed order
   statistics and enter the plan as literals, the latest order date as a scalar
@@ -103,14 +104,17 @@ def fct_order_payments(orders: DataFrame, order_payments: DataFrame, order_items
     """One row per non-cancelled order that has at least one payment."""
     o = orders.where(F.col("order_status") != "canceled").select(
         "order_id", "customer_id", "order_status", "order_purchase_timestamp")
-    j = o.join(payments_per_order(order_payments), "order_id", "inner")
-    j = left_join_filled(j, items_per_order(order_items), "order_id",
-                         {"items_price": 0, "freight_value": 0, "item_count": 0})
     cust = customers.select("customer_id", "customer_unique_id", "customer_state",
                             "customer_city", "customer_zip_code_prefix")
-    j = left_join_filled(j, cust, "customer_id",
+    # The customer attributes join the narrow order rows first (exchange on customer_id
+    # of a few columns); the wide per-order rollups then join on order_id, where they
+    # are already partitioned, so the widest rows are never shuffled again.
+    j = left_join_filled(o, cust, "customer_id",
                          {"customer_unique_id": "", "customer_state": "",
                           "customer_city": "", "customer_zip_code_prefix": ""})
+    j = j.join(payments_per_order(order_payments), "order_id", "inner")
+    j = left_join_filled(j, items_per_order(order_items), "order_id",
+                         {"items_price": 0, "freight_value": 0, "item_count": 0})
     ts = F.col("order_purchase_timestamp")
     return j.select(
         *[order_date(ts).alias(c) if c == "order_date"
