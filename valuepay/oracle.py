@@ -9,6 +9,14 @@ ISO strings (``yyyy-MM-dd``), which every client library returns alike.
 
 from __future__ import annotations
 
+from valuepay.schemas import (
+    ADDRESSABLE_METHOD, CANCELLED_STATUS, HVC_SHARE_BAND, MIN_ROWS, PAYMENT_TYPES, SEGMENT_HIGH, SEGMENT_MID, SEGMENT_STANDARD,
+    SEGMENT_WHALE, UPLIFT_ADOPTION,
+)
+
+_LO, _HI = HVC_SHARE_BAND
+_ADOPT = float(UPLIFT_ADOPTION)
+
 
 def rnd(x: str, n: int) -> str:
     """Round half away from zero through an exact decimal, as double."""
@@ -70,7 +78,7 @@ src_order_reviews AS (
     ts AS review_creation_date, ts + INTERVAL 2 DAY AS review_answer_timestamp
   FROM events)"""
 
-_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
+_TYPES = PAYMENT_TYPES
 
 MART_CTES = f"""
 pay AS (
@@ -100,7 +108,7 @@ fact AS (
   JOIN pay_primary pp ON pp.order_id = o.order_id
   LEFT JOIN itm i ON i.order_id = o.order_id
   LEFT JOIN src_customers c ON o.customer_id = c.customer_id
-  WHERE o.order_status <> 'canceled'),
+  WHERE o.order_status <> '{CANCELLED_STATUS}'),
 base_all AS (
   SELECT customer_unique_id, count(*) AS frequency, sum(order_value) AS monetary,
     {mean("order_value")} AS avg_order_value, max(order_date) AS last_order_date,
@@ -129,8 +137,9 @@ dim AS (
     date_diff('day', b.last_order_date, (SELECT max_date FROM th)) AS recency_days, b.last_order_date,
     b.avg_installments_when_used, b.installment_order_share, t.top_payment_type,
     b.monetary >= (SELECT p95 FROM th) AS is_top5_value, b.monetary >= (SELECT p90 FROM th) AS is_high_value_customer,
-    CASE WHEN b.monetary >= (SELECT p95 FROM th) THEN 'Top 5% Whale' WHEN b.monetary >= (SELECT p90 FROM th) THEN 'High Value'
-         WHEN b.monetary >= (SELECT med FROM th) THEN 'Mid Value' ELSE 'Standard' END AS value_segment
+    CASE WHEN b.monetary >= (SELECT p95 FROM th) THEN '{SEGMENT_WHALE}'
+         WHEN b.monetary >= (SELECT p90 FROM th) THEN '{SEGMENT_HIGH}'
+         WHEN b.monetary >= (SELECT med FROM th) THEN '{SEGMENT_MID}' ELSE '{SEGMENT_STANDARD}' END AS value_segment
   FROM persons b JOIN first_loc l ON l.customer_unique_id = b.customer_unique_id
   JOIN top_pay t ON t.customer_unique_id = b.customer_unique_id),
 geo_counts AS (
@@ -173,14 +182,14 @@ seg AS (
   SELECT value_segment,
     {mean("CASE WHEN used_installments THEN order_value END")} AS aov_i,
     {mean("CASE WHEN NOT used_installments THEN order_value END")} AS aov_n,
-    count_if(NOT used_installments AND primary_payment_type = 'credit_card') AS addressable_orders,
-    sum(CASE WHEN NOT used_installments AND primary_payment_type = 'credit_card' THEN order_value ELSE 0 END) AS addr_rev
+    count_if(NOT used_installments AND primary_payment_type = '{ADDRESSABLE_METHOD}') AS addressable_orders,
+    sum(CASE WHEN NOT used_installments AND primary_payment_type = '{ADDRESSABLE_METHOD}' THEN order_value ELSE 0 END) AS addr_rev
   FROM fd GROUP BY value_segment),
 uplift AS (
   SELECT value_segment, {rnd("aov_i", 2)} AS aov_installment, {rnd("aov_n", 2)} AS aov_no_installment,
     {rnd("aov_i - aov_n", 2)} AS aov_gap, addressable_orders,
     round(addr_rev, 2) AS current_addressable_revenue,
-    {rnd("CAST(addressable_orders AS DOUBLE) * 0.3::DOUBLE * greatest(aov_i - aov_n, 0.0)", 2)} AS projected_annual_uplift
+    {rnd(f"CAST(addressable_orders AS DOUBLE) * {_ADOPT!r}::DOUBLE * greatest(aov_i - aov_n, 0.0)", 2)} AS projected_annual_uplift
   FROM seg)"""
 
 WITH = "WITH " + SOURCE_CTES.strip() + ",\n" + MART_CTES.strip() + "\n"
@@ -202,8 +211,7 @@ DIM_SELECT = """SELECT customer_unique_id, customer_state, customer_city, CAST(f
   installment_order_share, top_payment_type,
   is_top5_value, is_high_value_customer, value_segment FROM dim"""
 
-_MIN_ROWS = {"orders": 50_000, "order_payments": 50_000, "order_items": 50_000,
-             "customers": 50_000, "geolocation": 500_000, "order_reviews": 50_000}
+_MIN_ROWS = MIN_ROWS
 
 
 def _check(name: str, observed: str, bound: str, passed: str, severity: str = "error") -> str:
@@ -283,7 +291,7 @@ SQL: dict[str, str] = {
     "card3_payment_mix": _q(
         "SELECT primary_payment_type, CAST(sum(order_count) AS BIGINT) AS orders, "
         "CAST(round(sum(total_revenue), 0) AS DOUBLE) AS revenue FROM profile "
-        "WHERE value_segment IN ('Top 5% Whale', 'High Value') GROUP BY primary_payment_type"),
+        f"WHERE value_segment IN ('{SEGMENT_WHALE}', '{SEGMENT_HIGH}') GROUP BY primary_payment_type"),
     "card4_installments": _q(
         f"SELECT value_segment, {rnd(mean('pct_orders_with_installments'), 1)} AS pct_orders_with_installments, "
         f"{rnd(mean('avg_installments_when_used'), 2)} AS avg_installments_when_used "
@@ -311,7 +319,7 @@ SQL: dict[str, str] = {
         "SELECT CAST(a AS BIGINT) AS adoption_pct, CAST(c AS BIGINT) AS capture_pct, "
         f"{rnd('sum(o * (a::DOUBLE / 100) * g * (c::DOUBLE / 100))', 0)} AS projected_uplift, "
         "CAST(sum(CAST(round(o * (a::DOUBLE / 100), 0) AS BIGINT)) AS BIGINT) AS addressable_orders, "
-        f"{rnd('CASE WHEN sum(o * 0.3::DOUBLE * g) > 0 THEN sum(o * (a::DOUBLE / 100) * g * (c::DOUBLE / 100)) / sum(o * 0.3::DOUBLE * g) * 100 ELSE 0.0 END', 0)} AS pct_of_baseline "
+        f"{rnd(f'CASE WHEN sum(o * {_ADOPT!r}::DOUBLE * g) > 0 THEN sum(o * (a::DOUBLE / 100) * g * (c::DOUBLE / 100)) / sum(o * {_ADOPT!r}::DOUBLE * g) * 100 ELSE 0.0 END', 0)} AS pct_of_baseline "
         "FROM (SELECT o, g, a, unnest(range(0, 101, 5)) AS c FROM ("
         "  SELECT CAST(addressable_orders AS DOUBLE) AS o, greatest(aov_gap, 0.0) AS g, "
         "         unnest(range(0, 101, 1)) AS a FROM uplift) s1) s GROUP BY a, c"),
@@ -327,8 +335,8 @@ SQL: dict[str, str] = {
     "dq_marts": _q(" UNION ALL ".join([
         _check("fact_not_empty", "(SELECT count(*) FROM fact)", "> 0", "(SELECT count(*) FROM fact) > 0"),
         _check("dim_not_empty", "(SELECT count(*) FROM dim)", "> 0", "(SELECT count(*) FROM dim) > 0"),
-        _check("hvc_share", f"(SELECT {div(f'count_if({_HVC})', 'count(*)')} FROM dim)", "[0.05, 0.15]",
-               f"(SELECT {div(f'count_if({_HVC})', 'count(*)')} BETWEEN 0.05 AND 0.15 FROM dim)"),
+        _check("hvc_share", f"(SELECT {div(f'count_if({_HVC})', 'count(*)')} FROM dim)", f"[{_LO}, {_HI}]",
+               f"(SELECT {div(f'count_if({_HVC})', 'count(*)')} BETWEEN {_LO} AND {_HI} FROM dim)"),
         _check("no_negative_order_value", "(SELECT count_if(order_value < 0) FROM fact)", "= 0",
                "(SELECT count_if(order_value < 0) = 0 FROM fact)"),
     ])),
@@ -348,7 +356,7 @@ SQL: dict[str, str] = {
         "SELECT customer_state, "
         + ", ".join(f"CAST(sum(CASE WHEN primary_payment_type = '{t}' THEN order_value ELSE 0 END) AS DOUBLE) AS {t}_revenue"
                     for t in _TYPES)
-        + ", CAST(sum(CASE WHEN primary_payment_type NOT IN ('credit_card', 'boleto', 'voucher', 'debit_card') "
+        + ", CAST(sum(CASE WHEN primary_payment_type NOT IN (" + ", ".join(f"'{t}'" for t in _TYPES) + ") "
           "THEN order_value ELSE 0 END) AS DOUBLE) AS other_revenue FROM fact GROUP BY customer_state"),
     "agg_avg_if_empty": _q(
         f"SELECT order_status, {rnd(mean('CASE WHEN used_installments THEN order_value END'), 2)} AS aov_installment, "

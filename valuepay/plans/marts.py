@@ -35,7 +35,7 @@ from valuepay.operators.aggregates import (
 )
 from valuepay.operators.joins import left_join_filled
 from valuepay.operators.quantiles import exact_quantiles
-from valuepay.schemas import PAYMENT_TYPES, UPLIFT_ADOPTION
+from valuepay.schemas import ADDRESSABLE_METHOD, CANCELLED_STATUS, PAYMENT_TYPES, UPLIFT_ADOPTION
 
 
 def round_dec(x, digits: int) -> Column:
@@ -102,7 +102,7 @@ FACT_COLUMNS = [
 def fct_order_payments(orders: DataFrame, order_payments: DataFrame, order_items: DataFrame,
                        customers: DataFrame) -> DataFrame:
     """One row per non-cancelled order that has at least one payment."""
-    o = orders.where(F.col("order_status") != "canceled").select(
+    o = orders.where(F.col("order_status") != CANCELLED_STATUS).select(
         "order_id", "customer_id", "order_status", "order_purchase_timestamp")
     cust = customers.select("customer_id", "customer_unique_id", "customer_state",
                             "customer_city", "customer_zip_code_prefix")
@@ -276,7 +276,7 @@ def mart_geo_value(dim: DataFrame, dim_geo: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- M6
 def mart_payment_uplift(fact: DataFrame, dim: DataFrame, adoption: float = UPLIFT_ADOPTION) -> DataFrame:
     used = F.col("used_installments")
-    addressable = ~used & (F.col("primary_payment_type") == "credit_card")
+    addressable = ~used & (F.col("primary_payment_type") == ADDRESSABLE_METHOD)
     per = _known_customers(fact).groupBy("customer_unique_id").agg(
         sum_if("order_value", used).alias("vi"), count_if(used).alias("ni"),
         sum_if("order_value", ~used).alias("vn"), count_if(~used).alias("nn"),

@@ -116,3 +116,7 @@ PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
 # HVC share band of the mart gate (inclusive) and uplift adoption rate:
 HVC_SHARE_BAND = (0.05, 0.15)
 UPLIFT_ADOPTION = 0.30
+# Order status excluded everywhere, and the payment method whose orders without
+# instalments are "addressable" by the uplift model:
+CANCELLED_STATUS = "canceled"
+ADDRESSABLE_METHOD = "credit_card"
