@@ -30,6 +30,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Bounds of the default sketch accuracy (the sketch grows linearly with it).
+MIN_ACCURACY = 10_000
+MAX_ACCURACY = 1_000_000
+
+
 @dataclass
 class _Slice:
     """Values strictly between ``lo`` and ``hi`` (None = unbounded), ``m`` of them."""
@@ -65,10 +70,13 @@ def order_statistics(
     ranks: Iterable[int],
     *,
     n: int | None = None,
-    accuracy: int = 10_000,
+    accuracy: int | None = None,
     sort_limit: int = 1_000_000,
 ) -> dict[int, Any]:
-    """Exact values at the given zero-based ranks of the non-null values of ``col``."""
+    """Exact values at the given zero-based ranks of the non-null values of ``col``.
+
+    ``accuracy`` is the sketch accuracy of the bracketing passes; by default it is sized
+    from ``n`` so that one round normally brings a slice under ``sort_limit``."""
     x = F.col("x")
     vals = df.select(F.col(col).alias("x")).where(x.isNotNull())
     if n is None:
@@ -78,6 +86,10 @@ def order_statistics(
         raise ValueError(f"ranks {wanted} outside 0..{n - 1}")
     found: dict[int, Any] = {}
     open_: list[tuple[int, _Slice]] = [(r, _Slice(None, None, n, {r: r})) for r in wanted]
+    if accuracy is None:
+        # a bracket keeps about 6/accuracy of its slice: size the sketch so that one round
+        # normally brings the slice under sort_limit (bounded to keep the sketch small)
+        accuracy = max(MIN_ACCURACY, min(MAX_ACCURACY, -(-8 * n // max(sort_limit, 1))))
     margin = 2.0 / accuracy
 
     while True:
@@ -159,7 +171,7 @@ def exact_quantiles(
     *,
     median: bool = False,
     n: int | None = None,
-    accuracy: int = 10_000,
+    accuracy: int | None = None,
     sort_limit: int = 1_000_000,
 ) -> dict[str, Any]:
     """quantileExact(p) for each p (value at rank floor(p*n)) and, if asked, the exact

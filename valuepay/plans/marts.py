@@ -150,7 +150,7 @@ class Thresholds:
     median: float | None
 
 
-def customer_thresholds(base_all: DataFrame, *, accuracy: int = 10_000,
+def customer_thresholds(base_all: DataFrame, *, accuracy: int | None = None,
                         sort_limit: int = 1_000_000) -> Thresholds:
     """p90, p95 (quantileExact) and the exact median of monetary value over known persons."""
     persons = base_all.where(F.col("customer_unique_id") != "")
@@ -192,7 +192,7 @@ def score_customers(base_all: DataFrame, th: Thresholds) -> DataFrame:
     )
 
 
-def dim_customer(fact: DataFrame, *, keep: list | None = None, accuracy: int = 10_000,
+def dim_customer(fact: DataFrame, *, keep: list | None = None, accuracy: int | None = None,
                  sort_limit: int = 1_000_000) -> DataFrame:
     """RFM, instalment behaviour, thresholds, flags and segment per person.
 
