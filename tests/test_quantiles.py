@@ -81,3 +81,18 @@ def test_matches_sorted_list(spark, values, p, sort_limit):
     q = exact_quantiles(frame(spark, vals), "x", (p,), median=True, accuracy=20, sort_limit=sort_limit)
     assert q[p] == brute(vals, p)
     assert q["median"] == pytest.approx(brute_median(vals))
+
+
+def test_bracket_path_on_real_column(spark):
+    """600,000 prices (sf0.1 lineitem) with a small sort limit: the sketch-bracket path must
+    give the same values as sorting everything."""
+    import numpy as np
+    li = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet").select("l_extendedprice")
+    vals = np.sort(np.array([r[0] for r in li.collect()]))          # brute force for the test only
+    probs = (0.1, 0.5, 0.9, 0.95, 0.999)
+    q = exact_quantiles(li, "l_extendedprice", probs, median=True, sort_limit=10_000)
+    n = len(vals)
+    for p in probs:
+        assert q[p] == vals[quantile_rank(p, n)]
+    lo, hi = vals[(n - 1) // 2], vals[n // 2]
+    assert q["median"] == lo + 0.5 * (hi - lo)
