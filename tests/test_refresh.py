@@ -104,3 +104,13 @@ def test_everyone_equal_is_all_hvc_and_fails_the_mart_gate(spark):
     assert {r.value_segment for r in dim.collect()} == {"Top 5% Whale"}
     with pytest.raises(Q.QualityGateFailed, match="hvc_share"):
         Q.enforce(Q.mart_checks(fact, dim), "mart gate")
+
+
+def test_concurrent_runner_propagates_failures():
+    from valuepay.plans.refresh import run_concurrently
+    assert run_concurrently({"a": lambda: 1, "b": lambda: 2}) == {"a": 1, "b": 2}
+
+    def boom():
+        raise ValueError("job failed")
+    with pytest.raises(ValueError, match="job failed"):
+        run_concurrently({"ok": lambda: 1, "bad": boom})
