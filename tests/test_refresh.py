@@ -114,3 +114,10 @@ def test_concurrent_runner_propagates_failures():
         raise ValueError("job failed")
     with pytest.raises(ValueError, match="job failed"):
         run_concurrently({"ok": lambda: 1, "bad": boom})
+
+
+def test_scan_split_sized_from_input():
+    from valuepay.session import _bytes, split_bytes_for
+    assert _bytes("134217728b") == 128 << 20 and _bytes("128m") == 128 << 20 and _bytes("1g") == 1 << 30
+    assert split_bytes_for(10 << 30, 128 << 20) == 128 << 20               # 10 GB: keep 128 MB
+    assert split_bytes_for(100 * (1 << 40), 128 << 20) > 500 << 20          # 100 TB: ~550 MB splits

@@ -93,18 +93,46 @@ def shuffle_partitions_for(input_bytes: int, current: int, target_bytes: int = 2
     return max(current, min(cap, math.ceil(input_bytes / target_bytes)))
 
 
+MAX_PARTITION_BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+def split_bytes_for(input_bytes: int, current: int, max_tasks: int = 200_000) -> int:
+    """Scan split size keeping one scan under about ``max_tasks`` tasks; never below the
+    session's own value."""
+    return max(current, -(-input_bytes // max_tasks))
+
+
 @contextmanager
 def sized_shuffle(spark: SparkSession, frames: Iterable[DataFrame]):
-    """Raise AQE's initial shuffle partition number to fit the input, for the duration of a
-    job; left alone when the user set it. AQE can merge partitions but never split a plain
-    aggregation's partitions, so the start value must be large enough for the data."""
-    if spark.conf.get(INITIAL_PARTITIONS, None) is not None:
-        yield None
-        return
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = shuffle_partitions_for(planned_bytes(frames), current)
-    spark.conf.set(INITIAL_PARTITIONS, str(n))
+    """Size a job to its input for its duration: AQE's initial shuffle partition number
+    (AQE can merge partitions but never split a plain aggregation's, so the start value must
+    be large enough for the data) and the scan split size (so a 100 TB scan is not a million
+    tasks). A setting the user made explicitly is left alone; both are restored afterwards."""
+    frames = list(frames)
+    size = planned_bytes(frames)
+    changed: list[str] = []
+    n = None
+    if spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        n = shuffle_partitions_for(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        spark.conf.set(INITIAL_PARTITIONS, str(n))
+        changed.append(INITIAL_PARTITIONS)
+    if spark.conf.get(MAX_PARTITION_BYTES, None) is None:
+        default = _bytes(spark.conf.get(MAX_PARTITION_BYTES))
+        split = split_bytes_for(size, default)
+        if split > default:
+            spark.conf.set(MAX_PARTITION_BYTES, str(split))
+            changed.append(MAX_PARTITION_BYTES)
     try:
         yield n
     finally:
-        spark.conf.unset(INITIAL_PARTITIONS)
+        for key in changed:
+            spark.conf.unset(key)
+
+
+def _bytes(text: str) -> int:
+    """Parse a Spark byte size such as ``134217728b``, ``128m`` or ``1g``."""
+    t = text.strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if t and t[-1] in units:
+        return int(float(t[:-1]) * units[t[-1]])
+    return int(t)
