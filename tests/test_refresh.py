@@ -121,3 +121,4 @@ def test_scan_split_sized_from_input():
     assert _bytes("134217728b") == 128 << 20 and _bytes("128m") == 128 << 20 and _bytes("1g") == 1 << 30
     assert split_bytes_for(10 << 30, 128 << 20) == 128 << 20               # 10 GB: keep 128 MB
     assert split_bytes_for(100 * (1 << 40), 128 << 20) > 500 << 20          # 100 TB: ~550 MB splits
+    assert split_bytes_for(2 ** 63 - 1, 128 << 20) == 1 << 30               # unknown size: capped

@@ -96,10 +96,11 @@ def shuffle_partitions_for(input_bytes: int, current: int, target_bytes: int = 2
 MAX_PARTITION_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
-def split_bytes_for(input_bytes: int, current: int, max_tasks: int = 200_000) -> int:
+def split_bytes_for(input_bytes: int, current: int, max_tasks: int = 200_000,
+                    cap: int = 1 << 30) -> int:
     """Scan split size keeping one scan under about ``max_tasks`` tasks; never below the
-    session's own value."""
-    return max(current, -(-input_bytes // max_tasks))
+    session's own value, never above ``cap`` (an unknown size estimate is huge)."""
+    return max(current, min(cap, -(-input_bytes // max_tasks)))
 
 
 @contextmanager
