@@ -70,7 +70,9 @@ def load_staging(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir:
         def run() -> DataFrame:
             path = f"{out_dir}/raw/{name}"
             t0 = time.perf_counter()
-            obs = Observation(f"load_{name}")                   # rows counted while writing
+            # rows counted while writing: the observation sits in the writing (result) stage,
+            # where Spark applies each task's update once, so a retried task is not counted twice
+            obs = Observation(f"load_{name}")
             sinks.write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path,
                               SORT_KEYS.get(name, ()))
             result.seconds[f"load:{name}"] = time.perf_counter() - t0
