@@ -30,6 +30,25 @@ def tree(df) -> str:
     return re.sub(r"#\d+L?", "", head).replace("== Physical Plan ==\n", "")
 
 
+def scans(df) -> str:
+    """PushedFilters and ReadSchema of every parquet scan in the plan."""
+    jvm = df.sparkSession._jvm
+    text = df._jdf.queryExecution().explainString(
+        jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    out, seen = [], set()
+    for block in (b.strip() for b in text.split("\n\n")):
+        if not block or "Scan parquet" not in block.splitlines()[0]:
+            continue
+        fields = {line.split(":", 1)[0]: line.split(":", 1)[1].strip()
+                  for line in block.splitlines()[1:] if ":" in line}
+        table = fields.get("Location", "").rsplit("/", 1)[-1].rstrip("]")
+        item = (table, fields.get("PushedFilters", "[]"), fields.get("ReadSchema", ""))
+        if item not in seen:
+            seen.add(item)
+            out.append(f"* `{table}` — pushed: `{item[1]}`; read: `{item[2]}`")
+    return "\n".join(out)
+
+
 def summary(df) -> str:
     p = df._jdf.queryExecution().executedPlan().toString()
     return (f"exchanges: {p.count('Exchange ')}, hash aggregates: {p.count('HashAggregate(') - p.count('ObjectHashAggregate(')}, "
@@ -76,7 +95,7 @@ def main() -> None:
     print("broadcast disabled (the shape a large input gets before AQE re-plans at run time).")
     print("Marts read by later marts are read back from parquet, as in the refresh.\n")
     for title, df in items:
-        print(f"## {title}\n\n{summary(df)}\n\n```\n{tree(df)}\n```\n")
+        print(f"## {title}\n\n{summary(df)}\n\n```\n{tree(df)}\n```\n\nScans:\n\n{scans(df)}\n")
     spark.stop()
 
 
