@@ -59,3 +59,16 @@ def test_orders_filter_reaches_scan(spark, staged):
                                 staged["customers"])
     p = plan(fact, "formatted")
     assert "Not(EqualTo(order_status,canceled))" in p
+
+
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+             "CartesianProduct", "BroadcastNestedLoopJoin", "ExternalRDD")
+
+
+def test_no_udf_or_cross_join_in_any_registered_query(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF001
+    for name, fn in E.queries().items():
+        p = plan(fn(spark, SF001))
+        bad = [op for op in FORBIDDEN if op in p]
+        assert not bad, (name, bad)
