@@ -122,3 +122,16 @@ def test_scan_split_sized_from_input():
     assert split_bytes_for(10 << 30, 128 << 20) == 128 << 20               # 10 GB: keep 128 MB
     assert split_bytes_for(100 * (1 << 40), 128 << 20) > 500 << 20          # 100 TB: ~550 MB splits
     assert split_bytes_for(2 ** 63 - 1, 128 << 20) == 1 << 30               # unknown size: capped
+
+
+def test_publish_moves_only_after_checked_runs(spark, landing):
+    from valuepay.plans.quality import QualityGateFailed
+    from valuepay.plans.refresh import published_marts
+    pointer = scratch_path(spark, "current")
+    good = refresh(spark, scratch_path(spark, "run"), data_dir=landing, min_rows=ONE, publish_to=pointer)
+    marts = published_marts(spark, pointer)
+    assert set(marts) == set(good.marts) and marts["dim_customer"].count() > 0
+    with pytest.raises(QualityGateFailed):
+        refresh(spark, scratch_path(spark, "run"), data_dir=landing, publish_to=pointer)  # gate fails
+    again = spark.read.parquet(pointer).collect()
+    assert {r["path"] for r in again} == set(good.marts.values())

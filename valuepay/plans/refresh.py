@@ -123,8 +123,13 @@ def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: s
 
 def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
             sources: Mapping[str, DataFrame] | None = None,
-            min_rows: Mapping[str, int] = MIN_ROWS, max_workers: int = 4) -> RefreshResult:
-    """Run the whole pipeline. Sources come from ``<data_dir>/<table>.csv`` or as frames."""
+            min_rows: Mapping[str, int] = MIN_ROWS, max_workers: int = 4,
+            publish_to: str | None = None) -> RefreshResult:
+    """Run the whole pipeline. Sources come from ``<data_dir>/<table>.csv`` or as frames.
+
+    With ``publish_to``, a pointer to this run's marts is written there after both gates
+    passed; readers use ``published_marts``. A failed refresh leaves the previous
+    pointer in place, so readers never see missing or unchecked marts."""
     if sources is None:
         if data_dir is None:
             raise ValueError("give data_dir or sources")
@@ -134,9 +139,24 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
     with sized_shuffle(spark, sources.values()) as partitions:
         result = RefreshResult(shuffle_partitions=partitions)
         _run(spark, sources, out_dir, min_rows, max_workers, result)
+    if publish_to is not None:
+        publish(spark, result, publish_to)
     return result
 
 
+def publish(spark: SparkSession, result: RefreshResult, pointer: str) -> None:
+    """Point readers at a checked run: one row per mart (name, path), replaced as a whole."""
+    rows = [(name, path) for name, path in sorted(result.marts.items())]
+    spark.createDataFrame(rows, "mart string, path string").coalesce(1) \
+        .write.mode("overwrite").parquet(pointer)
+
+
+def published_marts(spark: SparkSession, pointer: str) -> dict[str, DataFrame]:
+    """The marts of the last published run."""
+    return {r["mart"]: spark.read.parquet(r["path"])
+            for r in spark.read.parquet(pointer).collect()}
+
+
 def _run(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
          min_rows: Mapping[str, int], max_workers: int, result: RefreshResult) -> None:
     staged = load_staging(spark, sources, out_dir, result, max_workers)
