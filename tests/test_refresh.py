@@ -135,3 +135,10 @@ def test_publish_moves_only_after_checked_runs(spark, landing):
         refresh(spark, scratch_path(spark, "run"), data_dir=landing, publish_to=pointer)  # gate fails
     again = spark.read.parquet(pointer).collect()
     assert {r["path"] for r in again} == set(good.marts.values())
+
+
+def test_unclustered_refresh_gives_the_same_marts(spark, landing):
+    a = refresh(spark, scratch_path(spark, "run"), data_dir=landing, min_rows=ONE)
+    b = refresh(spark, scratch_path(spark, "run"), data_dir=landing, min_rows=ONE, cluster=False)
+    for name in a.marts:
+        assert _rows(spark, a.marts[name]) == _rows(spark, b.marts[name]), name

@@ -65,7 +65,7 @@ def run_concurrently(jobs: Mapping[str, Callable[[], object]], max_workers: int
 
 
 def load_staging(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
-                 result: RefreshResult, max_workers: int = 4) -> dict[str, DataFrame]:
+                 result: RefreshResult, max_workers: int = 4, cluster: bool = True) -> dict[str, DataFrame]:
     def load(name: str, df: DataFrame) -> Callable[[], DataFrame]:
         def run() -> DataFrame:
             path = f"{out_dir}/raw/{name}"
@@ -74,7 +74,7 @@ def load_staging(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir:
             # where Spark applies each task's update once, so a retried task is not counted twice
             obs = Observation(f"load_{name}")
             sinks.write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path,
-                              SORT_KEYS.get(name, ()))
+                              SORT_KEYS.get(name, ()) if cluster else ())
             result.seconds[f"load:{name}"] = time.perf_counter() - t0
             result.staging[name] = path
             result.rows[name] = int(obs.get["rows"])
@@ -84,7 +84,7 @@ def load_staging(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir:
 
 
 def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: str,
-                result: RefreshResult, max_workers: int = 4) -> dict[str, DataFrame]:
+                result: RefreshResult, max_workers: int = 4, cluster: bool = True) -> dict[str, DataFrame]:
     """Build and write the marts in dependence order, each read back by its consumers;
     marts that do not depend on each other are written concurrently."""
     def put(name: str, df: DataFrame) -> DataFrame:
@@ -92,7 +92,8 @@ def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: s
         t0 = time.perf_counter()
         metrics = GATE_METRICS.get(name)
         obs = Observation(f"mart_{name}") if metrics else None
-        sinks.write_table(df.observe(obs, *metrics()) if obs else df, path, MART_SORT_KEYS[name])
+        sinks.write_table(df.observe(obs, *metrics()) if obs else df, path,
+                          MART_SORT_KEYS[name] if cluster else ())
         if obs:
             result.mart_counts.update({k: int(v) for k, v in obs.get.items()})
         result.seconds[f"mart:{name}"] = time.perf_counter() - t0
@@ -124,12 +125,15 @@ def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: s
 def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
             sources: Mapping[str, DataFrame] | None = None,
             min_rows: Mapping[str, int] = MIN_ROWS, max_workers: int = 4,
-            publish_to: str | None = None) -> RefreshResult:
+            publish_to: str | None = None, cluster: bool = True) -> RefreshResult:
     """Run the whole pipeline. Sources come from ``<data_dir>/<table>.csv`` or as frames.
 
     With ``publish_to``, a pointer to this run's marts is written there after both gates
     passed; readers use ``published_marts``. A failed refresh leaves the previous
-    pointer in place, so readers never see missing or unchecked marts."""
+    pointer in place, so readers never see missing or unchecked marts.
+
+    ``cluster`` sorts every written file on its table key (the reference's layout, for
+    row-group skipping by key); turn it off where no reader filters on those keys."""
     if sources is None:
         if data_dir is None:
             raise ValueError("give data_dir or sources")
@@ -138,7 +142,7 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
         sources = {name: read_source(spark, data_dir, name) for name in MIN_ROWS}
     with sized_shuffle(spark, sources.values()) as partitions:
         result = RefreshResult(shuffle_partitions=partitions)
-        _run(spark, sources, out_dir, min_rows, max_workers, result)
+        _run(spark, sources, out_dir, min_rows, max_workers, result, cluster)
     if publish_to is not None:
         publish(spark, result, publish_to)
     return result
@@ -158,8 +162,9 @@ def published_marts(spark: SparkSession, pointer: str) -> dict[str, DataFrame]:
 
 
 def _run(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
-         min_rows: Mapping[str, int], max_workers: int, result: RefreshResult) -> None:
-    staged = load_staging(spark, sources, out_dir, result, max_workers)
+         min_rows: Mapping[str, int], max_workers: int, result: RefreshResult,
+         cluster: bool) -> None:
+    staged = load_staging(spark, sources, out_dir, result, max_workers, cluster)
     empty = [name for name, n in result.rows.items() if n == 0]
     if empty:
         raise SourceEmpty(f"empty source: {', '.join(sorted(empty))}")
@@ -169,7 +174,7 @@ def _run(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
         Q.orphan_payments(staged["order_payments"], staged["orders"]))
     result.staging_report = Q.enforce(report, "staging gate")
     result.seconds["gate:staging"] = time.perf_counter() - t0
-    built = build_marts(spark, staged, out_dir, result, max_workers)
+    built = build_marts(spark, staged, out_dir, result, max_workers, cluster)
     t0 = time.perf_counter()
     result.mart_report = Q.enforce(Q.mart_checks_from_counts(spark, **result.mart_counts), "mart gate")
     result.seconds["gate:marts"] = time.perf_counter() - t0
