@@ -272,7 +272,8 @@ SQL: dict[str, str] = {
         "CAST(customer_count AS BIGINT) AS customer_count, CAST(total_revenue AS DOUBLE) AS total_revenue, "
         "avg_order_value, avg_installments, avg_installments_when_used, pct_orders_with_installments FROM profile"),
     "geo_value": _q(
-        "SELECT customer_state, lat, lng, CAST(total_customers AS BIGINT) AS total_customers, "
+        "SELECT customer_state, CAST(CAST(lat AS DECIMAL(38,9)) AS DOUBLE) AS lat, "
+        "CAST(CAST(lng AS DECIMAL(38,9)) AS DOUBLE) AS lng, CAST(total_customers AS BIGINT) AS total_customers, "
         "CAST(hvc_customers AS BIGINT) AS hvc_customers, hvc_penetration_pct, "
         "CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(hvc_revenue AS DOUBLE) AS hvc_revenue, "
         "hvc_revenue_share_pct FROM geo_value"),
@@ -377,7 +378,8 @@ SQL: dict[str, str] = {
     "agg_median": _q(
         "SELECT CAST(count(c_acctbal) AS BIGINT) AS n, median(c_acctbal) AS median_acctbal, "
         "(SELECT med FROM th) AS median_monetary FROM customer"),
-    "agg_of_agg": _q("SELECT state, lat, lng FROM centroid"),
+    "agg_of_agg": _q("SELECT state, CAST(CAST(lat AS DECIMAL(38,9)) AS DOUBLE) AS lat, "
+                     "CAST(CAST(lng AS DECIMAL(38,9)) AS DOUBLE) AS lng FROM centroid"),
     "ratio_percent": _q(
         f"SELECT customer_state, {rnd(div('count_if(used_installments)', 'count(*)') + ' * 100', 1)} AS pct_orders_with_installments, "
         f"{rnd(div('sum(credit_card_value)', 'sum(order_value)') + ' * 100', 2)} AS credit_card_share_pct "
