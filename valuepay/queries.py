@@ -55,7 +55,9 @@ class _Bundle:
     """Sources of one data directory, and its marts built on first use."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.src = fixtures.load(spark, sf_dir)
+        # the adapted sources are read by many queries: keep them once per session
+        self.src = {name: df.persist(StorageLevel.MEMORY_AND_DISK)
+                    for name, df in fixtures.load(spark, sf_dir).items()}
         self._marts: M.Marts | None = None
 
     @property
