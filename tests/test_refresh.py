@@ -142,3 +142,9 @@ def test_unclustered_refresh_gives_the_same_marts(spark, landing):
     b = refresh(spark, scratch_path(spark, "run"), data_dir=landing, min_rows=ONE, cluster=False)
     for name in a.marts:
         assert _rows(spark, a.marts[name]) == _rows(spark, b.marts[name]), name
+
+
+def test_orphan_maximum_stops_the_refresh(spark, landing):
+    from valuepay.plans.quality import QualityGateFailed
+    with pytest.raises(QualityGateFailed, match="orphan_payments"):
+        refresh(spark, scratch_path(spark, "run"), data_dir=landing, min_rows=ONE, max_orphans=0)

@@ -54,6 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--min-rows", nargs="*", default=[], metavar="TABLE=N")
     r.add_argument("--workers", type=int, default=4)
     r.add_argument("--publish-to", help="pointer moved to this run once both gates pass")
+    r.add_argument("--max-orphans", type=int, help="fail when more payments lack an order")
     c = sub.add_parser("card", help="show one dashboard card from written marts")
     c.add_argument("name", choices=sorted(CARDS))
     c.add_argument("--marts", required=True)
@@ -70,7 +71,8 @@ def main(argv: list[str] | None = None) -> int:
             min_rows[table] = int(n)
         try:
             res = refresh(spark, args.out.rstrip("/"), data_dir=args.data_dir, min_rows=min_rows,
-                          max_workers=args.workers, publish_to=args.publish_to)
+                          max_workers=args.workers, publish_to=args.publish_to,
+                          max_orphans=args.max_orphans)
         except QualityGateFailed as exc:
             print(f"refresh stopped: {exc}", file=sys.stderr)
             return 2

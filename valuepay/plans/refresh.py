@@ -125,13 +125,15 @@ def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: s
 def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
             sources: Mapping[str, DataFrame] | None = None,
             min_rows: Mapping[str, int] = MIN_ROWS, max_workers: int = 4,
-            publish_to: str | None = None, cluster: bool = True) -> RefreshResult:
+            publish_to: str | None = None, cluster: bool = True,
+            max_orphans: int | None = None) -> RefreshResult:
     """Run the whole pipeline. Sources come from ``<data_dir>/<table>.csv`` or as frames.
 
     With ``publish_to``, a pointer to this run's marts is written there after both gates
     passed; readers use ``published_marts``. A failed refresh leaves the previous
     pointer in place, so readers never see missing or unchecked marts.
 
+    Payments without an order are only logged unless ``max_orphans`` bounds them.
     ``cluster`` sorts every written file on its table key (the reference's layout, for
     row-group skipping by key); turn it off where no reader filters on those keys."""
     if sources is None:
@@ -142,7 +144,7 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
         sources = {name: read_source(spark, data_dir, name) for name in MIN_ROWS}
     with sized_shuffle(spark, sources.values()) as partitions:
         result = RefreshResult(shuffle_partitions=partitions)
-        _run(spark, sources, out_dir, min_rows, max_workers, result, cluster)
+        _run(spark, sources, out_dir, min_rows, max_workers, result, cluster, max_orphans)
     if publish_to is not None:
         publish(spark, result, publish_to)
     return result
@@ -163,7 +165,7 @@ def published_marts(spark: SparkSession, pointer: str) -> dict[str, DataFrame]:
 
 def _run(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
          min_rows: Mapping[str, int], max_workers: int, result: RefreshResult,
-         cluster: bool) -> None:
+         cluster: bool, max_orphans: int | None = None) -> None:
     staged = load_staging(spark, sources, out_dir, result, max_workers, cluster)
     empty = [name for name, n in result.rows.items() if n == 0]
     if empty:
@@ -171,7 +173,7 @@ def _run(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
     result.metrics += [("load", name, n) for name, n in result.rows.items()]
     t0 = time.perf_counter()
     report = Q.min_rows_report(spark, result.rows, min_rows).unionByName(
-        Q.orphan_payments(staged["order_payments"], staged["orders"]))
+        Q.orphan_payments(staged["order_payments"], staged["orders"], max_orphans))
     result.staging_report = Q.enforce(report, "staging gate")
     result.seconds["gate:staging"] = time.perf_counter() - t0
     built = build_marts(spark, staged, out_dir, result, max_workers, cluster)
