@@ -35,10 +35,18 @@ def test_fact_and_dimension_have_no_single_partition_exchange(spark, staged):
     assert "SinglePartition" not in plan(M.dim_customer(fact))
 
 
-def test_payment_rollup_shuffles_once(spark, staged):
-    p = plan(M.payments_per_order(staged["order_payments"]))
-    assert p.count("Exchange hashpartitioning") == 1
-    assert "Expand" not in p
+def test_payment_rollup_is_a_hash_aggregate(spark, staged):
+    """Known methods: fixed-width buffers, so a code-generated hash aggregate with one exchange
+    of the payments; only payments of other methods (filtered at the scan) take a small
+    object-hash rollup of their own. No two-phase distinct aggregate."""
+    df = M.payments_per_order(staged["order_payments"])
+    p = plan(df)
+    assert "Expand" not in p and "SortAggregate" not in p
+    assert p.count("Exchange hashpartitioning") == 2           # main rollup + other methods
+    main = [line for line in p.splitlines() if "HashAggregate(" in line and "ObjectHashAggregate" not in line]
+    assert main and all("max_by" not in line and "collect_set" not in line for line in main)
+    pushed = [line for line in plan(df, "formatted").splitlines() if line.startswith("PushedFilters")]
+    assert any("Not(In(payment_type" in line for line in pushed)     # other-method side, at the scan
 
 
 def test_card_filter_pushed_and_columns_pruned(spark, staged):

@@ -65,20 +65,46 @@ def payment_rank(value: Column, sequential: Column) -> Column:
 
 
 def payments_per_order(order_payments: DataFrame) -> DataFrame:
-    """Payments rolled up to one row per order."""
+    """Payments rolled up to one row per order.
+
+    For the known methods every aggregate is fixed-width, so the rollup runs as Spark's
+    code-generated hash aggregate: the primary method is the one owning the largest packed
+    payment rank (a per-method ``max``), and the distinct-method count sums per-method
+    presence. Only payments with other method names need their strings: they are rolled
+    up separately (usually a handful of rows) and joined back by order — a join AQE turns
+    into a broadcast when that side is measured small.
+    """
     t, v = F.col("payment_type"), F.col("payment_value")
-    return (
-        order_payments.groupBy("order_id").agg(
-            F.sum(v).alias("order_value"),
-            F.max("payment_installments").alias("max_installments"),
-            # a set per order (a handful of methods) instead of a two-phase distinct aggregate
-            F.size(F.collect_set(t)).cast("long").alias("distinct_payment_methods"),
-            # the method carrying the most money; equal amounts -> lowest sequence number
-            F.max_by(t, payment_rank(v, F.col("payment_sequential"))).alias("primary_payment_type"),
-            *[sum_if(v, t == pt).alias(f"{pt}_value") for pt in PAYMENT_TYPES],
-        )
-        .withColumn("used_installments", F.col("max_installments") > 1)
+    rank = payment_rank(v, F.col("payment_sequential"))
+    # NULL counts as another method; written as IS NULL OR NOT IN so that the side scan's
+    # filter reaches parquet (dictionary filtering skips row groups of known methods only)
+    is_other = t.isNull() | ~t.isin(*PAYMENT_TYPES)
+    main = order_payments.groupBy("order_id").agg(
+        F.sum(v).alias("order_value"),
+        F.max("payment_installments").alias("max_installments"),
+        *[sum_if(v, t == pt).alias(f"{pt}_value") for pt in PAYMENT_TYPES],
+        *[F.max(F.when(t == pt, rank)).alias(f"_rank{i}") for i, pt in enumerate(PAYMENT_TYPES)],
+        F.max(F.when(is_other, rank)).alias("_rank_other"),
+    )
+    other = order_payments.where(is_other).groupBy("order_id").agg(
+        F.max_by(t, rank).alias("_other_primary"),
+        F.size(F.collect_set(t)).alias("_other_methods"),
     )
+    j = main.join(other, "order_id", "left")
+    ranks = [F.col(f"_rank{i}") for i in range(len(PAYMENT_TYPES))]
+    best = F.greatest(*ranks, F.col("_rank_other"))           # NULL ranks are skipped
+    primary = F.col("_other_primary")
+    for pt, r in reversed(list(zip(PAYMENT_TYPES, ranks))):
+        primary = F.when(r == best, F.lit(pt)).otherwise(primary)
+    methods = sum((r.isNotNull().cast("long") for r in ranks), F.lit(0).cast("long")) \
+        + F.coalesce(F.col("_other_methods"), F.lit(0)).cast("long")
+    return j.select(
+        "order_id", "order_value", "max_installments",
+        methods.alias("distinct_payment_methods"),
+        # the method carrying the most money; equal amounts -> lowest sequence number
+        primary.alias("primary_payment_type"),
+        *[f"{pt}_value" for pt in PAYMENT_TYPES],
+    ).withColumn("used_installments", F.col("max_installments") > 1)
 
 
 def items_per_order(order_items: DataFrame) -> DataFrame:
