@@ -88,6 +88,8 @@ def test_command_line_refresh_and_card(spark, landing, capsys):
     assert main(args) == 0
     assert main(["card", "verify_counts", "--marts", f"{out}/marts"]) == 0
     assert "hvc_customers" in capsys.readouterr().out
+    assert main(["card", "uplift_at", "--marts", f"{out}/marts", "--adoption", "50", "--capture", "80"]) == 0
+    assert "orders_adopting" in capsys.readouterr().out
     assert main(["refresh", "--data-dir", landing, "--out", out + "-strict"]) == 2   # reference minimums
 
 
