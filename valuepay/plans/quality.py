@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from valuepay.operators.joins import anti_count
@@ -46,12 +46,18 @@ def staging_min_rows(tables: Mapping[str, DataFrame], min_rows: Mapping[str, int
     return _union(parts)
 
 
+REPORT_SCHEMA = "check string, observed double, bound string, passed boolean, severity string"
+
+
+def min_rows_rows(counts: Mapping[str, int], min_rows: Mapping[str, int] = MIN_ROWS) -> list[Row]:
+    """DQ1 report rows from row counts already observed while loading (no scan, no job)."""
+    return [Row(check=f"min_rows:{t}", observed=float(counts[t]), bound=f">= {m}",
+                passed=counts[t] >= m, severity="error") for t, m in min_rows.items()]
+
+
 def min_rows_report(spark, counts: Mapping[str, int], min_rows: Mapping[str, int] = MIN_ROWS) -> DataFrame:
-    """DQ1 from row counts already observed while loading (no second scan)."""
-    rows = [(f"min_rows:{t}", float(counts[t]), f">= {m}", counts[t] >= m, "error")
-            for t, m in min_rows.items()]
-    return spark.createDataFrame(rows, "check string, observed double, bound string, "
-                                       "passed boolean, severity string")
+    """DQ1 as a report frame."""
+    return spark.createDataFrame(min_rows_rows(counts, min_rows), REPORT_SCHEMA)
 
 
 def orphan_payments(order_payments: DataFrame, orders: DataFrame, max_orphans: int | None = None) -> DataFrame:
@@ -78,22 +84,27 @@ def mart_checks(fact: DataFrame, dim: DataFrame, band: tuple[float, float] = HVC
     return _union([fr, dr, sh, neg])
 
 
-def mart_checks_from_counts(spark, fact_rows: int, negative: int, dim_rows: int, hvc: int,
-                            band: tuple[float, float] = HVC_SHARE_BAND) -> DataFrame:
-    """DQ3-DQ5 from figures observed while the marts were written (no second scan)."""
+def mart_check_rows(fact_rows: int, negative: int, dim_rows: int, hvc: int,
+                    band: tuple[float, float] = HVC_SHARE_BAND) -> list[Row]:
+    """DQ3-DQ5 report rows from figures observed while the marts were written (no scan)."""
     lo, hi = band
     share = hvc / dim_rows if dim_rows else None
-    rows = [("fact_not_empty", float(fact_rows), "> 0", fact_rows > 0, "error"),
-            ("dim_not_empty", float(dim_rows), "> 0", dim_rows > 0, "error"),
-            ("hvc_share", share, f"[{lo}, {hi}]", share is not None and lo <= share <= hi, "error"),
-            ("no_negative_order_value", float(negative), "= 0", negative == 0, "error")]
-    return spark.createDataFrame(rows, "check string, observed double, bound string, "
-                                       "passed boolean, severity string")
+    rows = [("fact_not_empty", float(fact_rows), "> 0", fact_rows > 0),
+            ("dim_not_empty", float(dim_rows), "> 0", dim_rows > 0),
+            ("hvc_share", share, f"[{lo}, {hi}]", share is not None and lo <= share <= hi),
+            ("no_negative_order_value", float(negative), "= 0", negative == 0)]
+    return [Row(check=c, observed=o, bound=b, passed=p, severity="error") for c, o, b, p in rows]
+
+
+def mart_checks_from_counts(spark, fact_rows: int, negative: int, dim_rows: int, hvc: int,
+                            band: tuple[float, float] = HVC_SHARE_BAND) -> DataFrame:
+    """DQ3-DQ5 as a report frame."""
+    return spark.createDataFrame(mart_check_rows(fact_rows, negative, dim_rows, hvc, band), REPORT_SCHEMA)
 
 
-def enforce(report: DataFrame, gate: str) -> list:
-    """Collect the (small) report; raise naming every failing error check."""
-    rows = report.collect()
+def enforce(report: DataFrame | list, gate: str) -> list:
+    """Collect the (small) report, or take its rows; raise naming every failing error check."""
+    rows = report if isinstance(report, list) else report.collect()
     failing = [r for r in rows if not r["passed"] and r["severity"] == "error"]
     if failing:
         msg = "; ".join(f"{r['check']}: {'NULL' if r['observed'] is None else format(r['observed'], 'g')}"
