@@ -20,10 +20,20 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def nulls_last(x) -> Column:
-    """Sort key that places NULL after every value (struct comparison puts NULL first)."""
+def nulls_last(x) -> tuple[Column, Column]:
+    """Sort key parts that place NULL after every value (struct comparison puts NULL
+    first): ``(x IS NULL, x)``, spliced flat into the ordering struct."""
     x = _c(x)
-    return F.struct(x.isNull().alias("is_null"), x.alias("v"))
+    return x.isNull(), x
+
+
+def _order(*keys) -> Column:
+    """One flat struct of ordering keys; tuples from ``nulls_last`` are spliced in, so the
+    comparison per row stays a single struct comparison."""
+    parts: list[Column] = []
+    for k in keys:
+        parts.extend(k if isinstance(k, tuple) else (_c(k),))
+    return F.struct(*parts)
 
 
 def arg_max(value, key, *tie_breaks) -> Column:
@@ -32,13 +42,12 @@ def arg_max(value, key, *tie_breaks) -> Column:
     ``min_by`` over ``(-key, tie_breaks...)`` picks exactly one well-defined row,
     unlike ``max_by`` on the bare key whose tie winner depends on row order.
     """
-    order = F.struct(-_c(key), *[_c(t) for t in tie_breaks])
-    return F.min_by(_c(value), order)
+    return F.min_by(_c(value), _order(-_c(key), *tie_breaks))
 
 
 def first_by(value, *order) -> Column:
     """Value of the first row in ``order`` (ascending, each key as given)."""
-    return F.min_by(_c(value), F.struct(*[_c(o) for o in order]))
+    return F.min_by(_c(value), _order(*order))
 
 
 def sum_if(x, cond: Column) -> Column:
