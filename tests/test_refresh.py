@@ -150,3 +150,19 @@ def test_orphan_maximum_stops_the_refresh(spark, landing):
     from valuepay.plans.quality import QualityGateFailed
     with pytest.raises(QualityGateFailed, match="orphan_payments"):
         refresh(spark, scratch_path(spark, "run"), data_dir=landing, min_rows=ONE, max_orphans=0)
+
+
+def test_sized_shuffle_respects_user_settings(spark):
+    from valuepay.session import INITIAL_PARTITIONS, MAX_PARTITION_BYTES, sized_shuffle
+    df = spark.range(10)
+    spark.conf.set(INITIAL_PARTITIONS, "7")
+    try:
+        with sized_shuffle(spark, [df]) as n:
+            assert n is None and spark.conf.get(INITIAL_PARTITIONS) == "7"
+        assert spark.conf.get(INITIAL_PARTITIONS) == "7"            # the user's value survives
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
+    with sized_shuffle(spark, [df]) as n:
+        assert n == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+    assert spark.conf.get(MAX_PARTITION_BYTES, None) is None         # small input: untouched
