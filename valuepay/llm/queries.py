@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from valuepay.llm import bpe, pieces
+from valuepay.llm import bpe, content_sort, pieces, slots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slots.shard_documents(table(spark, sf_dir, "documents"), shards=24)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.count_tokens(table(spark, sf_dir, "documents"),
                                public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
@@ -29,7 +37,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op5_content_sort": op5_content_sort,
+    "op6_virtual_slots": op6_virtual_slots,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_content_sort": r"""
+        WITH n AS (
+            SELECT doc_id, length(coalesce(text, '')) AS chars,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+            FROM documents
+        )
+        SELECT doc_id,
+               first_value(doc_id) OVER w AS keep_id,
+               count(*) OVER (PARTITION BY norm) AS group_size,
+               row_number() OVER w = 1 AS kept,
+               sha256(norm) AS text_sha256
+        FROM n
+        WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id)
+    """,
+}
