@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from valuepay.llm import bpe, content_sort, pieces, slots
+from valuepay.llm import bpe, content_sort, language, licences, pieces, slots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -30,6 +35,10 @@ def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.count_tokens(table(spark, sf_dir, "documents"),
                                public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
@@ -37,8 +46,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_language_crf": op4_language_crf,
     "op5_content_sort": op5_content_sort,
     "op6_virtual_slots": op6_virtual_slots,
+    "op9_licence_scan": op9_licence_scan,
     "op10_token_counts": op10_token_counts,
 }
 
