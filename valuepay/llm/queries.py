@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from valuepay.llm import bpe, content_sort, language, licences, pieces, slots
+from valuepay.llm import bpe, content_sort, language, licences, pieces, simhash, slots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "op4_language_crf": op4_language_crf,
     "op5_content_sort": op5_content_sort,
     "op6_virtual_slots": op6_virtual_slots,
+    "op7_simhash_golay": op7_simhash_golay,
     "op9_licence_scan": op9_licence_scan,
     "op10_token_counts": op10_token_counts,
 }
