@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from valuepay.llm import bpe, content_sort, language, licences, pieces, simhash, slots
+from valuepay.llm import bpe, content_sort, language, licences, pieces, simhash, slots, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"), window=50)
+
+
 def op4_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.train(docs)).select("doc_id", "held_out", "lang_pred", "score")
@@ -50,6 +54,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_difference_cover": op2_difference_cover,
     "op4_language_crf": op4_language_crf,
     "op5_content_sort": op5_content_sort,
     "op6_virtual_slots": op6_virtual_slots,
@@ -59,6 +64,32 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_difference_cover": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ),
+        win AS (
+            SELECT doc_id, i, hash(array_to_string(w[i:i + 49], ' ')) AS h
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+        ),
+        firsts AS (SELECT h, min(doc_id) AS m FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p
+            FROM win JOIN firsts USING (h) WHERE doc_id > m
+        ),
+        cut AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+        word AS (
+            SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d
+        ),
+        kept AS (
+            SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.p) AS t
+            FROM word ANTI JOIN gone ON word.doc_id = gone.doc_id AND word.p = gone.p
+            GROUP BY word.doc_id
+        )
+        SELECT d.doc_id, len(w) AS n_words, coalesce(len(ps), 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+    """,
     "op5_content_sort": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
