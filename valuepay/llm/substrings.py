@@ -39,7 +39,6 @@ COVERS = {31: (1, 5, 11, 24, 25, 27), 21: (3, 6, 7, 12, 14), 13: (0, 1, 3, 9), 7
 BITS = 1 << 26
 PAGE = 32768  # bits of one bitmap row, as Spark's bitmap functions have it
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-MASK = (1 << 64) - 1
 
 
 def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
@@ -58,7 +57,8 @@ class Powers:
     def to(self, n: int) -> None:
         if len(self.up) <= n:
             size = max(n + 1, 1 << 16)
-            self.up, self.down = (np.cumprod(np.concatenate(([1], np.full(size, b, np.uint64))).astype(np.uint64))
+            one = np.ones(1, np.uint64)
+            self.up, self.down = (np.cumprod(np.concatenate((one, np.full(size, b, np.uint64))), dtype=np.uint64)
                                   for b in (self.base, self.inverse))
 
 
