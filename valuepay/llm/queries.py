@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from valuepay.llm import bpe, content_sort, language, licences, pieces, simhash, slots, substrings
+from valuepay.llm import bpe, content_sort, language, licences, packing, pieces, simhash, slots, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,11 @@ def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op8_island_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                  capacity=1024, end_id=2)
+
+
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op5_content_sort": op5_content_sort,
     "op6_virtual_slots": op6_virtual_slots,
     "op7_simhash_golay": op7_simhash_golay,
+    "op8_island_packing": op8_island_packing,
     "op9_licence_scan": op9_licence_scan,
     "op10_token_counts": op10_token_counts,
 }
