@@ -1,9 +1,9 @@
 """Exact deduplication by a content sort (operator 5), built from DataFrame operations only.
 
 White space is deleted and the remaining bytes are range-partitioned at sampled splitters
-(``repartitionByRange``) and sorted externally within each range, so equal texts lie next to each
-other; one window pass compares each row's whole normalised text with its neighbour's and finds the
-row that stays. A text held by many rows would fill one range: texts that are frequent in a sample get a
+(``repartitionByRange``; a splitter holds a text's first characters and a hash, so the driver's sample
+stays small) and sorted externally within each range, so equal texts lie next to each other; one window
+pass compares each row's whole normalised text with its neighbour's and finds the row that stays. A text held by many rows would fill one range: texts that are frequent in a sample get a
 second sort column (``ways`` values), which lets the splitters cut their group into several ranges, and
 the parts' results, one small row each, are merged afterwards. The sample decides only how work is
 dealt; every row is compared whatever it says.
@@ -23,6 +23,7 @@ from valuepay.session import scratch_path
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 SAMPLE_ROWS = 20_000  # rows looked at to find frequent texts
 FREQUENT = 0.001  # share of the sample from which a text's group is split: at most 1,000 texts
+HEAD = 24  # leading characters that splitters hold
 WAYS = 64  # parts of a frequent text's group
 
 
@@ -38,11 +39,12 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", ways:
     salt = F.lit(0)
     if frequent:
         salt = F.when(F.xxhash64("norm").isin(frequent), F.pmod(F.monotonically_increasing_id(), F.lit(ways)) + 1).otherwise(0)
-    ordered = Window.partitionBy("norm", "salt").orderBy(F.desc("chars"), F.asc_nulls_last("doc_id"))
+    ordered = Window.partitionBy("head", "hash", "salt", "norm").orderBy(F.desc("chars"), F.asc_nulls_last("doc_id"))
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     found = (
-        rows.withColumn("salt", salt.cast("int"))
-        .repartitionByRange("norm", "salt")
+        # splitters are short: the first bytes in order, then a hash where many texts begin alike
+        rows.withColumns({"head": F.substring("norm", 1, HEAD), "hash": F.xxhash64("norm"), "salt": salt.cast("int")})
+        .repartitionByRange("head", "hash", "salt")
         .select(
             "doc_id", "salt",
             F.sha2("norm", 256).alias("text_sha256"),
