@@ -36,23 +36,23 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", ways:
         F.char_length(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("chars"),
     )
     frequent = _frequent_texts(docs, rows)
-    salt = F.lit(0)
+    # splitters are short: the first bytes in order, then a hash where many texts begin alike
+    rows = rows.withColumns({"head": F.substring("norm", 1, HEAD), "hash": F.xxhash64("norm")})
+    bounds = ["head", "hash"]
     if frequent:
-        salt = F.when(F.xxhash64("norm").isin(frequent), F.pmod(F.monotonically_increasing_id(), F.lit(ways)) + 1).otherwise(0)
-    ordered = Window.partitionBy("head", "hash", "salt", "norm").orderBy(F.desc("chars"), F.asc_nulls_last("doc_id"))
+        part = F.pmod(F.monotonically_increasing_id(), F.lit(ways)) + 1
+        rows = rows.withColumn("salt", F.when(F.col("hash").isin(frequent), part).otherwise(0).cast("int"))
+        bounds.append("salt")
+    # the range partitioning by ``bounds`` serves the window too: equal texts have equal bounds
+    ordered = Window.partitionBy(*bounds, "norm").orderBy(F.desc("chars"), F.asc_nulls_last("doc_id"))
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    found = (
-        # splitters are short: the first bytes in order, then a hash where many texts begin alike
-        rows.withColumns({"head": F.substring("norm", 1, HEAD), "hash": F.xxhash64("norm"), "salt": salt.cast("int")})
-        .repartitionByRange("head", "hash", "salt")
-        .select(
-            "doc_id", "salt",
-            F.sha2("norm", 256).alias("text_sha256"),
-            F.row_number().over(ordered).alias("place"),
-            F.first("doc_id").over(whole).alias("part_keep"),
-            F.first("chars").over(whole).alias("part_chars"),
-            F.count(F.lit(1)).over(whole).alias("part_size"),
-        )
+    found = rows.repartitionByRange(*bounds).select(
+        "doc_id", *bounds[2:],
+        F.sha2("norm", 256).alias("text_sha256"),
+        F.row_number().over(ordered).alias("place"),
+        F.first("doc_id").over(whole).alias("part_keep"),
+        F.first("chars").over(whole).alias("part_chars"),
+        F.count(F.lit(1)).over(whole).alias("part_size"),
     )
     if not frequent:
         return found.select("doc_id", F.col("part_keep").alias("keep_id"), F.col("part_size").alias("group_size"),
