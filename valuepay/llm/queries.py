@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from valuepay.llm import bpe, content_sort, language, licences, packing, pieces, simhash, slots, substrings
+from valuepay.llm import bpe, content_sort, language, licences, packing, pieces, simhash, slots, substrings, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op2_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"), window=50)
 
 
+def op3_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op4_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.train(docs)).select("doc_id", "held_out", "lang_pred", "score")
@@ -60,6 +64,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_difference_cover": op2_difference_cover,
+    "op3_sorted_projections": op3_sorted_projections,
     "op4_language_crf": op4_language_crf,
     "op5_content_sort": op5_content_sort,
     "op6_virtual_slots": op6_virtual_slots,
