@@ -5,7 +5,7 @@ White space is deleted and the remaining bytes are range-partitioned at sampled
 stays small) and sorted externally within each range, so equal texts lie next to each other; one window
 pass compares each row's whole normalised text with its neighbour's and finds the row that stays. A text held by many rows would fill one range: texts that are frequent in a sample get a
 second sort column (``ways`` values), which lets the splitters cut their group into several ranges, and
-the parts' results, one small row each, are merged afterwards. The sample decides only how work is
+the parts' results, one small row each, are merged afterwards (rows with one id stay in one part). The sample decides only how work is
 dealt; every row is compared whatever it says.
 
 Defined results: null text counts as empty, and all empty texts are equal; of equal texts the row with
@@ -30,51 +30,75 @@ WAYS = 64  # parts of a frequent text's group
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", ways: int = WAYS) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``."""
     spark = docs.sparkSession
-    rows = docs.select(
-        F.col(key).alias("doc_id"),
-        F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), WHITE_SPACE, "").alias("norm"),
-        F.char_length(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("chars"),
-    )
-    frequent = _frequent_texts(docs, rows)
-    # splitters are short: the first bytes in order, then a hash where many texts begin alike
-    rows = rows.withColumns({"head": F.substring("norm", 1, HEAD), "hash": F.xxhash64("norm")})
-    bounds = ["head", "hash"]
-    if frequent:
-        part = F.pmod(F.monotonically_increasing_id(), F.lit(ways)) + 1
-        rows = rows.withColumn("salt", F.when(F.col("hash").isin(frequent), part).otherwise(0).cast("int"))
-        bounds.append("salt")
-    # the range partitioning by ``bounds`` serves the window too: equal texts have equal bounds
-    ordered = Window.partitionBy(*bounds, "norm").orderBy(F.desc("chars"), F.asc_nulls_last("doc_id"))
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    found = rows.repartitionByRange(*bounds).select(
-        "doc_id", *bounds[2:],
-        F.sha2("norm", 256).alias("text_sha256"),
-        F.row_number().over(ordered).alias("place"),
-        F.first("doc_id").over(whole).alias("part_keep"),
-        F.first("chars").over(whole).alias("part_chars"),
-        F.count(F.lit(1)).over(whole).alias("part_size"),
-    )
-    if not frequent:
-        return found.select("doc_id", F.col("part_keep").alias("keep_id"), F.col("part_size").alias("group_size"),
-                            (F.col("place") == 1).alias("kept"), "text_sha256")
+    rows, bounds = _prepared(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text", ways)
+    found = _placed(rows, bounds).select("doc_id", *bounds[2:], "_sha", "_place", "_keep", "_most", "_size")
+    if len(bounds) == 2:
+        return found.select("doc_id", F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"),
+                            (F.col("_place") == 1).alias("kept"), F.col("_sha").alias("text_sha256"))
     path = scratch_path(spark, "content-sort")
     found.write.parquet(path)
     found = spark.read.parquet(path)
-    best = F.struct((-F.col("part_chars")).alias("c"), F.col("part_keep").isNull().alias("n"),
-                    F.col("part_keep").alias("id"), F.col("salt").alias("s"))
     merged = (  # one row for each frequent text, of which there are at most 1 / FREQUENT
-        found.filter("salt > 0 AND place = 1").groupBy("text_sha256")
-        .agg(F.min(best).alias("best"), F.sum("part_size").alias("all_size"))
+        found.filter("_salt > 0 AND _place = 1").groupBy("_sha")
+        .agg(F.min(_rank("_most", "_keep")).alias("_best"), F.sum("_size").alias("_all"))
     )
-    return found.join(F.broadcast(merged), "text_sha256", "left").select(
+    return found.join(F.broadcast(merged), "_sha", "left").select(
         "doc_id",
-        F.when(F.col("best").isNull(), F.col("part_keep")).otherwise(F.col("best.id")).alias("keep_id"),
-        F.coalesce("all_size", "part_size").alias("group_size"),
-        ((F.col("place") == 1) & (F.col("best").isNull() | (F.col("best.s") == F.col("salt")))).alias("kept"),
-        "text_sha256",
+        F.when(F.col("_best").isNull(), F.col("_keep")).otherwise(F.col("_best.id")).alias("keep_id"),
+        F.coalesce("_all", "_size").alias("group_size"),
+        ((F.col("_place") == 1) & (F.col("_best").isNull() | (F.col("_best.salt") == F.col("_salt")))).alias("kept"),
+        F.col("_sha").alias("text_sha256"),
     )
 
 
+def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", ways: int = WAYS) -> DataFrame:
+    """The documents that stay, one of each group of equal texts, with all their columns."""
+    rows, bounds = _prepared(docs, key, text, ways)
+    first = _placed(rows, bounds, key, text).filter("_place = 1")
+    if len(bounds) > 2:
+        # a frequent text's parts each have a first row: the best of them stays
+        frequent = rows.filter("_salt > 0")
+        best = (frequent.groupBy(F.sha2(_norm(text), 256).alias("_sha")).agg(F.min(_rank("_chars", key)).alias("_best")))
+        first = first.join(F.broadcast(best), "_sha", "left").filter("_best IS NULL OR _best.salt = _salt")
+    return first.select(*docs.columns)
+
+
+def _norm(text: str):
+    return F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), WHITE_SPACE, "")
+
+
+def _rank(chars: str, key: str):
+    """Orders rows of one text: most code points, then smallest id (null last); ids carry their salt."""
+    return F.struct((-F.col(chars)).alias("less"), F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col("_salt").alias("salt"))
+
+
+def _prepared(docs: DataFrame, key: str, text: str, ways: int) -> tuple[DataFrame, list[str]]:
+    """The rows with the columns that splitters are sampled from: the first characters in order, a hash
+    where many texts begin alike, and for frequent texts a part number from the id."""
+    rows = docs.withColumns({
+        "_head": F.substring(_norm(text), 1, HEAD), "_hash": F.xxhash64(_norm(text)),
+        "_chars": F.char_length(F.coalesce(F.col(text).cast("string"), F.lit("")))})
+    frequent = _frequent_texts(docs, rows)
+    if not frequent:
+        return rows, ["_head", "_hash"]
+    part = F.pmod(F.xxhash64(key), F.lit(ways)) + 1
+    return rows.withColumn("_salt", F.when(F.col("_hash").isin(frequent), part).otherwise(0).cast("int")), ["_head", "_hash", "_salt"]
+
+
+def _placed(rows: DataFrame, bounds: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every row with its place among the equal texts of its part, and that part's best row and size."""
+    # the range partitioning by ``bounds`` serves the window too: equal texts have equal bounds
+    ordered = Window.partitionBy(*bounds, "_norm").orderBy(F.desc("_chars"), F.asc_nulls_last(key))
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return rows.repartitionByRange(*bounds).withColumn("_norm", _norm(text)).withColumns({
+        "_sha": F.sha2("_norm", 256),
+        "_place": F.row_number().over(ordered),
+        "_keep": F.first(key).over(whole),
+        "_most": F.first("_chars").over(whole),
+        "_size": F.count(F.lit(1)).over(whole),
+    })
+
+
 def _frequent_texts(docs: DataFrame, rows: DataFrame) -> list[int]:
     """Hashes of texts that hold at least ``FREQUENT`` of a sample of about ``SAMPLE_ROWS`` rows."""
     total = docs.count()
@@ -82,17 +106,5 @@ def _frequent_texts(docs: DataFrame, rows: DataFrame) -> list[int]:
         return []
     share = min(1.0, SAMPLE_ROWS / total)
     least = max(8, int(FREQUENT * share * total))
-    found = (rows.sample(False, share, seed=11).groupBy(F.xxhash64("norm").alias("h")).count()
-             .filter(F.col("count") >= least).collect())
-    return [r["h"] for r in found]
-
-
-def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns. ``key`` identifies a row; of repeated rows with
-    one key and one text a single one stays, and rows without a key are judged by their text alone."""
-    groups = exact_groups(docs, key, text)
-    stay = groups.filter("kept").select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha"))
-    norm = F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), WHITE_SPACE, "")
-    tagged = docs.withColumn("_sha2", F.sha2(norm, 256))
-    joined = tagged.join(stay, (tagged["_sha2"] == stay["_sha"]) & tagged[key].eqNullSafe(stay["_keep"]), "left_semi")
-    return joined.dropDuplicates([key, "_sha2"]).select(*docs.columns)
+    found = rows.sample(False, share, seed=11).groupBy("_hash").count().filter(F.col("count") >= least).collect()
+    return [r["_hash"] for r in found]

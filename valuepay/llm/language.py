@@ -182,34 +182,40 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, sample_chars: int =
     return m
 
 
+def classify(texts: pa.Array, model: Model):
+    """For each text the label number (the number of labels for ``und``), its score, every word's label
+    number, and where each text's words start."""
+    k, n = len(model.labels), len(texts)
+    distinct, number, starts = words_of(texts)
+    if not k or not len(number):
+        return np.full(n, k), np.zeros(n), np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
+    lettered = pc.match_substring_regex(distinct, r"\pL").to_numpy(zero_copy_only=False)[number]
+    per_word = word_scores(distinct, model.weights).astype(np.float32)
+    at, valid = chains(number, starts)
+    p = forward_backward(per_word[number[at]], valid, model.transitions.astype(np.float32), model.start.astype(np.float32))[0]
+    words = np.empty((len(number), k))
+    words[at[valid]] = p[valid]
+    ends = np.zeros((len(number) + 1, k + 1))
+    np.cumsum(np.column_stack((words * lettered[:, None], lettered)), axis=0, out=ends[1:])
+    sums = ends[starts[1:]] - ends[starts[:-1]]
+    some = sums[:, k] > 0.5
+    mean = np.clip(sums[:, :k] / np.maximum(sums[:, k:], 1), 0.0, 1.0)
+    return np.where(some, mean.argmax(axis=1), k), np.where(some, mean.max(axis=1), 0.0), words.argmax(axis=1), starts
+
+
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, held_out, lang_pred, score`` (mean probability of that language over the words with
     letters) and ``runs`` (stretches of words of one language: ``lang, start, end``) of every whole text."""
-    labels, k = model.labels, len(model.labels)
+    labels = model.labels
     names = np.array([*labels, "und"], dtype=object)
     run_type = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
         for block in blocks(batches, "t"):
-            distinct, number, starts = words_of(block.column("t"))
-            n = block.num_rows
-            score, best, runs = np.zeros(n), np.full(n, k), [[] for _ in range(n)]
-            if k and len(number):
-                lettered = pc.match_substring_regex(distinct, r"\pL").to_numpy(zero_copy_only=False)[number]
-                per_word = word_scores(distinct, model.weights).astype(np.float32)
-                at, valid = chains(number, starts)
-                p = forward_backward(per_word[number[at]], valid, model.transitions.astype(np.float32), model.start.astype(np.float32))[0]
-                words = np.empty((len(number), k))
-                words[at[valid]] = p[valid]
-                ends = np.zeros((len(number) + 1, k + 1))
-                np.cumsum(np.column_stack((words * lettered[:, None], lettered)), axis=0, out=ends[1:])
-                sums = ends[starts[1:]] - ends[starts[:-1]]
-                some = sums[:, k] > 0.5
-                mean = np.clip(sums[:, :k] / np.maximum(sums[:, k:], 1), 0.0, 1.0)
-                best = np.where(some, mean.argmax(axis=1), k)
-                score = np.where(some, mean.max(axis=1), 0.0)
-                own = words.argmax(axis=1)
-                edge = np.ones(len(number) + 1, bool)
+            best, score, own, starts = classify(block.column("t"), model)
+            runs = [[] for _ in range(block.num_rows)]
+            if len(own):
+                edge = np.ones(len(own) + 1, bool)
                 edge[1:-1] = own[1:] != own[:-1]
                 edge[starts[:-1][np.diff(starts) > 0]] = True
                 cuts = np.flatnonzero(edge)
@@ -222,3 +228,16 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), held_out(key).alias("h")).mapInArrow(
         run, f"`{key}` {kind}, held_out boolean, lang_pred string, score double, runs array<struct<lang:string,start:bigint,end:bigint>>")
+
+
+def accepted(docs: DataFrame, model: Model, languages: tuple[str, ...] | None = None, text: str = "text") -> DataFrame:
+    """The documents, columns as they are, whose predicted language is one of ``languages`` (default: any
+    the model knows); texts without a letter go."""
+    wanted = np.array([languages is None or x in languages for x in model.labels] + [False])
+    place = docs.columns.index(text)
+
+    def run(batches):
+        for block in blocks(batches, place):
+            yield block.filter(pa.array(wanted[classify(block.column(place), model)[0]]))
+
+    return docs.mapInArrow(run, docs.schema)

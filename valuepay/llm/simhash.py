@@ -128,14 +128,15 @@ def fingerprint(texts: pa.Array, shingle: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``bits`` (the fingerprint as a signed long) of every whole text."""
+    """``id, tx`` (a hash of the text) and ``bits`` (the fingerprint as a signed long) of every whole text."""
     def run(batches):
         for block in blocks(batches, "t"):
             yield pa.RecordBatch.from_arrays(
-                [block.column("k"), pa.array(fingerprint(block.column("t"), shingle).view(np.int64))], names=[key, "bits"])
+                [block.column("id"), block.column("tx"), pa.array(fingerprint(block.column("t"), shingle).view(np.int64))], names=["id", "tx", "bits"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).mapInArrow(run, f"`{key}` {kind}, bits bigint")
+    body = F.col(text).cast("string")
+    return docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("tx"), body.alias("t")).mapInArrow(run, f"id {kind}, tx bigint, bits bigint")
 
 
 def verified(key: np.ndarray, bits: np.ndarray, own: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -220,18 +221,33 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key", "bits").mapInArrow(match, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, fingerprint`` (16 hex digits) and ``component_id`` (smallest key reachable by links between
-    fingerprints that differ in at most ``distance`` bits, its own included) of every row."""
+def classes(docs: DataFrame, shingle: int = 3, distance: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``id, tx`` (a hash of the text, which tells rows with one id apart), ``bits`` and ``first``, the id
+    and text hash of the row with the smallest id (null last) among all that links reach, of every row."""
     spark = docs.sparkSession
     path = scratch_path(spark, "simhash")
     fingerprints(docs, shingle, key, text).write.parquet(path)
     prints = spark.read.parquet(path)
-    distinct = prints.groupBy("bits").agg(F.min(key).alias("least"))
-    # components are found among fingerprints; their smallest key follows by one aggregation
+    row = F.struct(F.col("id").isNull().alias("none"), "id", "tx")
+    distinct = prints.groupBy("bits").agg(F.min(row).alias("least"))
+    # components are found among fingerprints; their first row follows by one aggregation
     part = components(links(distinct, distance)).select(F.col("id").alias("bits"), F.col("component").alias("root"))
     least = distinct.join(part, "bits", "left").withColumn("root", F.coalesce("root", "bits"))
-    per_root = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_bits = least.select("bits", "root").join(per_root, "root").select("bits", "component_id")
-    return prints.join(by_bits, "bits").select(
-        F.col(key), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+    per_root = least.groupBy("root").agg(F.min("least").alias("first"))
+    by_bits = least.select("bits", "root").join(per_root, "root").select("bits", "first")
+    return prints.join(by_bits, "bits")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, fingerprint`` (16 hex digits) and ``component_id`` (smallest key reachable by links between
+    fingerprints that differ in at most ``distance`` bits, its own included) of every row."""
+    return classes(docs, shingle, distance, key, text).select(
+        F.col("id").alias(key), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), F.col("first.id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that stay, the first of each group of near duplicates, with all their columns."""
+    gone = classes(docs, shingle, distance, key, text).filter(
+        ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("tx") == F.col("first.tx")))).select("id", "tx")
+    body = F.xxhash64(F.col(text).cast("string"))
+    return docs.join(gone, docs[key].eqNullSafe(gone["id"]) & (body == gone["tx"]), "left_anti")
