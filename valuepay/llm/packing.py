@@ -39,25 +39,49 @@ POPULATION = 5
 GENERATIONS = 16
 ELITE = 64  # patterns that an island sends on
 BATCH = 20_000  # distinct units tokenised at once
+KNOWN = 800_000  # distinct units whose ids a worker keeps between blocks
+
+
+class UnitIds:
+    """Ids of distinct units (white space and the word after it), which no token spans: each is
+    tokenised once and kept, at most about ``KNOWN`` of them, for later blocks."""
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer = Tokenizer.from_file(path)
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def of(self, units: list[str]) -> np.ndarray:
+        """The places of the units' ids in ``offsets``."""
+        if len(self.place) > KNOWN:
+            self.clear()
+        new = [u for u in units if u not in self.place]
+        flat, sizes = [self.ids], []
+        for lo in range(0, len(new), BATCH):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(new[lo:lo + BATCH], add_special_tokens=False)]
+            sizes.extend(map(len, found))
+            flat.append(np.array([i for ids in found for i in ids], np.uint32))
+        if new:
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+            self.ids = np.concatenate(flat)
+            self.offsets = np.concatenate((self.offsets, self.offsets[-1] + np.cumsum(sizes)))
+        return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str) -> Tokenizer:
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Tokenizer.from_file(path)
+def unit_ids(path: str) -> UnitIds:
+    return UnitIds(path)
 
 
-def token_ids(texts: pa.Array, tok: Tokenizer) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of a block of texts one after another, and where each text's begin. Each distinct unit (white
-    space and the word after it), which no token spans, is tokenised once."""
+def token_ids(texts: pa.Array, known: UnitIds) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a block of texts one after another, and where each text's begin."""
     units, number, starts = units_of(texts)
-    flat, ends = [], [np.zeros(1, np.int64)]
-    for lo in range(0, len(units), BATCH):
-        found = [e.ids for e in tok.encode_batch_fast(units[lo:lo + BATCH], add_special_tokens=False)]
-        ends.append(np.fromiter(map(len, found), np.int64, len(found)))
-        flat.append(np.array([i for ids in found for i in ids], np.uint32))
-    ids = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-    out, begins = ragged(ids, np.cumsum(np.concatenate(ends)), number)
+    place = known.of(units)
+    out, begins = ragged(known.ids, known.offsets, place[number] if len(number) else number)
     return out, begins[starts]
 
 
@@ -66,10 +90,10 @@ def cut(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, with_
     """Pieces of all documents: ``doc_id, piece, start, length, ids_crc32, piece_id`` (a number of its
     own) and, if asked for, ``ids``. ``path``: a tokenizer file readable on the executors."""
     def run(batches):
-        tok = tokenizer(path)
+        known = unit_ids(path)
         number = TaskContext.get().partitionId() << 33
         for block in blocks(batches, "t"):
-            ids, starts = token_ids(block.column("t"), tok)
+            ids, starts = token_ids(block.column("t"), known)
             ids = np.insert(ids, starts[1:], np.uint32(end_id))
             starts = starts + np.arange(len(starts))
             rows, piece, begin, length, crc, parts = [], [], [], [], [], []
