@@ -1,5 +1,7 @@
 """Full refresh from CSV files (L1, S1-S5, K1-K5) and idempotence."""
 
+import json
+
 import pytest
 
 from tests.conftest import SF001
@@ -21,7 +23,7 @@ def landing(spark):
 
 
 def scratch_dir_of(result):
-    return result.marts["dim_customer"].rsplit("/marts/", 1)[0]
+    return result.marts["dim_customer"].rsplit("/marts/", 1)[0]   # the run's own folder
 
 
 def _rows(spark, path):
@@ -86,9 +88,11 @@ def test_command_line_refresh_and_card(spark, landing, capsys):
     out = scratch_path(spark, "cli").removeprefix("file:")
     args = ["refresh", "--data-dir", landing, "--out", out, "--min-rows"] + [f"{t}=1" for t in MIN_ROWS]
     assert main(args) == 0
-    assert main(["card", "verify_counts", "--marts", f"{out}/marts"]) == 0
+    printed = capsys.readouterr().out
+    marts = json.loads(printed[printed.index("{"):])["marts"]["dim_customer"].rsplit("/", 1)[0]
+    assert main(["card", "verify_counts", "--marts", marts]) == 0
     assert "hvc_customers" in capsys.readouterr().out
-    assert main(["card", "uplift_at", "--marts", f"{out}/marts", "--adoption", "50", "--capture", "80"]) == 0
+    assert main(["card", "uplift_at", "--marts", marts, "--adoption", "50", "--capture", "80"]) == 0
     assert "orders_adopting" in capsys.readouterr().out
     assert main(["refresh", "--data-dir", landing, "--out", out + "-strict"]) == 2   # reference minimums
 
@@ -129,14 +133,19 @@ def test_scan_split_sized_from_input():
 def test_publish_moves_only_after_checked_runs(spark, landing):
     from valuepay.plans.quality import QualityGateFailed
     from valuepay.plans.refresh import published_marts
-    pointer = scratch_path(spark, "current")
-    good = refresh(spark, scratch_path(spark, "run"), data_dir=landing, min_rows=ONE, publish_to=pointer)
+    pointer, out = scratch_path(spark, "current"), scratch_path(spark, "run")
+    good = refresh(spark, out, data_dir=landing, min_rows=ONE, publish_to=pointer)
     marts = published_marts(spark, pointer)
     assert set(marts) == set(good.marts) and marts["dim_customer"].count() > 0
-    with pytest.raises(QualityGateFailed):
-        refresh(spark, scratch_path(spark, "run"), data_dir=landing, publish_to=pointer)  # gate fails
-    again = spark.read.parquet(pointer).collect()
-    assert {r["path"] for r in again} == set(good.marts.values())
+    before = {name: _rows(spark, path) for name, path in good.marts.items()}
+    with pytest.raises(QualityGateFailed):   # same out folder, gate fails
+        refresh(spark, out, data_dir=landing, min_rows=ONE, publish_to=pointer, max_orphans=0)
+    assert {name: sorted(map(tuple, df.collect()), key=repr) for name, df in published_marts(spark, pointer).items()} == before
+    later = refresh(spark, out, data_dir=landing, min_rows=ONE, publish_to=pointer)
+    assert not set(later.marts.values()) & set(good.marts.values())
+    assert {name: df.inputFiles()[0].split("/marts/")[0] for name, df in published_marts(spark, pointer).items()} == {
+        name: spark.read.parquet(path).inputFiles()[0].split("/marts/")[0] for name, path in later.marts.items()}
+    assert {name: _rows(spark, path) for name, path in good.marts.items()} == before
 
 
 def test_unclustered_refresh_gives_the_same_marts(spark, landing):

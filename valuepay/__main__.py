@@ -1,8 +1,10 @@
 """Command line: run the daily refresh, or print a dashboard card from written marts.
 
   python -m valuepay refresh --data-dir <csv folder> --out <run folder> [--min-rows table=n ...]
-  python -m valuepay card <card name> --marts <run folder>/marts [--state SP]
-  python -m valuepay card uplift_at --marts <run folder>/marts --adoption 30 --capture 100
+  python -m valuepay card <card name> --marts <marts folder> [--state SP]
+  python -m valuepay card uplift_at --marts <marts folder> --adoption 30 --capture 100
+
+A refresh writes below a new folder of ``--out`` and prints its marts' paths.
 
 Uses the active cluster configuration (``spark-submit`` / ``pyspark`` settings); with
 no master configured it runs on ``local[*]``.
@@ -53,7 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--out", required=True)
     r.add_argument("--min-rows", nargs="*", default=[], metavar="TABLE=N")
     r.add_argument("--workers", type=int, default=4)
-    r.add_argument("--publish-to", help="pointer moved to this run once both gates pass")
+    r.add_argument("--publish-to", help="gets an entry for this run once both gates pass")
     r.add_argument("--max-orphans", type=int, help="fail when more payments lack an order")
     c = sub.add_parser("card", help="show one dashboard card from written marts")
     c.add_argument("name", choices=sorted(CARDS))

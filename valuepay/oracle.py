@@ -9,13 +9,13 @@ ISO strings (``yyyy-MM-dd``), which every client library returns alike.
 
 from __future__ import annotations
 
-from valuepay.schemas import (
-    ADDRESSABLE_METHOD, CANCELLED_STATUS, HVC_SHARE_BAND, MIN_ROWS, PAYMENT_TYPES, SEGMENT_HIGH, SEGMENT_MID, SEGMENT_STANDARD,
-    SEGMENT_WHALE, UPLIFT_ADOPTION,
-)
-
-_LO, _HI = HVC_SHARE_BAND
-_ADOPT = float(UPLIFT_ADOPTION)
+# Fixed values, written out here so that a wrong constant of the library shows.
+MIN_ROWS = {"orders": 50000, "order_payments": 50000, "order_items": 50000, "customers": 50000,
+            "geolocation": 500000, "order_reviews": 50000}
+PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
+SEGMENT_WHALE, SEGMENT_HIGH, SEGMENT_MID, SEGMENT_STANDARD = "Top 5% Whale", "High Value", "Mid Value", "Standard"
+CANCELLED_STATUS, ADDRESSABLE_METHOD = "canceled", "credit_card"
+_LO, _HI, _ADOPT = 0.05, 0.15, 0.3
 
 
 def rnd(x: str, n: int) -> str:
@@ -41,17 +41,17 @@ src_orders AS (
     CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate + INTERVAL 3 DAY END AS order_delivered_carrier_date,
     CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 9 DAY ELSE NULL END AS order_delivered_customer_date,
     o_orderdate + INTERVAL 20 DAY AS order_estimated_delivery_date
-  FROM orders WHERE o_orderkey % 200 <> 11),
+  FROM orders),
 src_order_items AS (
-  SELECT CAST(l_orderkey AS STRING) AS order_id,
+  SELECT CASE WHEN l_orderkey % 50 = 3 THEN concat('X', CAST(l_orderkey AS STRING)) ELSE CAST(l_orderkey AS STRING) END AS order_id,
     CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS INT) AS order_item_id,
     CAST(l_partkey AS STRING) AS product_id, CAST(l_suppkey AS STRING) AS seller_id,
     l_shipdate AS shipping_limit_date,
     CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
     CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(12,2)) AS freight_value
-  FROM lineitem WHERE l_orderkey % 50 <> 3),
+  FROM lineitem),
 src_order_payments AS (
-  SELECT CAST(l_orderkey AS STRING) AS order_id,
+  SELECT CASE WHEN l_orderkey % 200 = 11 THEN concat('X', CAST(l_orderkey AS STRING)) ELSE CAST(l_orderkey AS STRING) END AS order_id,
     CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS INT) AS payment_sequential,
     ptype AS payment_type,
     CAST(CASE WHEN ptype = 'credit_card' AND l_quantity > 25 THEN 2 + CAST(l_quantity AS INT) % 9 ELSE 1 END AS SMALLINT) AS payment_installments,
@@ -60,17 +60,17 @@ src_order_payments AS (
   FROM (SELECT *, CASE WHEN l_returnflag = 'R' THEN 'credit_card' WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'boleto'
          WHEN l_returnflag = 'A' THEN 'voucher' WHEN l_linestatus = 'F' THEN 'debit_card' ELSE 'credit_card' END AS ptype FROM lineitem) t),
 src_customers AS (
-  SELECT CAST(c_custkey AS STRING) AS customer_id,
+  SELECT CASE WHEN c_custkey % 40 = 5 THEN concat('X', CAST(c_custkey AS STRING)) ELSE CAST(c_custkey AS STRING) END AS customer_id,
     concat('U', CAST(CASE WHEN c_custkey % 10 = 9 THEN c_custkey - 1 ELSE c_custkey END AS STRING)) AS customer_unique_id,
     lpad(CAST(c_nationkey * 100 + c_custkey % 7 AS STRING), 5, '0') AS customer_zip_code_prefix,
     concat(n_name, '-', c_mktsegment) AS customer_city, n_name AS customer_state
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 40 <> 5),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
 src_geolocation AS (
   SELECT lpad(CAST(c_nationkey * 100 + c_custkey % 7 AS STRING), 5, '0') AS geolocation_zip_code_prefix,
     CAST(c_nationkey AS DOUBLE) - 20 + CAST(c_custkey % 64 AS DOUBLE) / 64 AS geolocation_lat,
     -40 - CAST(c_nationkey AS DOUBLE) / 2 - CAST(c_custkey % 32 AS DOUBLE) / 32 AS geolocation_lng,
-    concat(n_name, '-', c_mktsegment) AS geolocation_city, n_name AS geolocation_state
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey <> 24),
+    concat(n_name, '-', c_mktsegment) AS geolocation_city, CASE WHEN c_nationkey = 24 THEN concat(n_name, '*') ELSE n_name END AS geolocation_state
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
 src_order_reviews AS (
   SELECT CAST(event_id AS STRING) AS review_id, CAST(event_id AS STRING) AS order_id,
     CAST(1 + event_id % 5 AS SMALLINT) AS review_score, event_type AS review_comment_title,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuepay.functions.scalars import round_money
-from valuepay.operators.aggregates import avg_if, count_if, mean, percent, sum_if
+from valuepay.operators.aggregates import count_if, mean_exact, percent, sum_if
 from valuepay.schemas import SEGMENT_HIGH, SEGMENT_WHALE
 
 HVC_COL = "is_high_value_customer"
@@ -33,7 +33,7 @@ def card1_kpi(dim: DataFrame) -> DataFrame:
 def card2_aov_by_segment(dim: DataFrame) -> DataFrame:
     """Unweighted mean of the per-customer order value, per segment."""
     return (dim.groupBy("value_segment")
-               .agg(round_money(mean("avg_order_value"), 2).alias("avg_order_value"),
+               .agg(round_money(mean_exact("avg_order_value"), 2).alias("avg_order_value"),
                     F.count(F.lit(1)).alias("customers"))
                .orderBy(F.desc("avg_order_value")))
 
@@ -50,9 +50,9 @@ def card3_payment_mix(profile: DataFrame) -> DataFrame:
 def card4_installments(profile: DataFrame) -> DataFrame:
     """Mean over payment methods of the profile percentages, per segment (unweighted)."""
     return (profile.groupBy("value_segment")
-                   .agg(round_money(mean("pct_orders_with_installments"), 1)
+                   .agg(round_money(mean_exact("pct_orders_with_installments"), 1)
                         .alias("pct_orders_with_installments"),
-                        round_money(mean("avg_installments_when_used"), 2)
+                        round_money(mean_exact("avg_installments_when_used"), 2)
                         .alias("avg_installments_when_used"))
                    .orderBy(F.desc("pct_orders_with_installments")))
 
@@ -93,7 +93,7 @@ def card8_top_cities(dim: DataFrame, state: str | None = None, k: int = 25) -> D
     return (d.groupBy("customer_state", "customer_city")
              .agg(count_if(_hvc()).alias("hvc_customers"),
                   F.round(sum_if("monetary", _hvc()), 0).alias("hvc_revenue"),
-                  round_money(avg_if("avg_order_value", _hvc()), 2).alias("hvc_avg_order"))
+                  round_money(mean_exact(F.when(_hvc(), F.col("avg_order_value"))), 2).alias("hvc_avg_order"))
              .orderBy(F.desc("hvc_revenue"), "customer_state", "customer_city")
              .limit(k))
 

@@ -57,11 +57,12 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------- M2
 def payment_rank(value: Column, sequential: Column) -> Column:
-    """One long ordering payments by amount (descending wins) then sequence number
-    (ascending wins): ``cents * 2^16 + (2^16 - 1 - seq)``. Exact for the staging types
-    (decimal(12,2) amounts are below 2^40 cents, sequence numbers are 16 bit); a
-    fixed-width key keeps ``max_by`` far cheaper than a struct comparison."""
-    return (value * 100).cast("long") * 65536 + (F.lit(65535) - sequential.cast("long"))
+    """One decimal ordering payments by amount (descending wins) then sequence number
+    (ascending wins): ``cents * 2^32 + (2^31 - 1 - seq)``. Exact for any sequence number of the
+    column's type and 17 digits of cents, so frames that skipped the range check of the load
+    rank rightly too; a fixed-width key keeps the rollup a hash aggregate."""
+    width = F.lit(Decimal(2 ** 32))
+    return ((value * 100).cast("decimal(17,0)") * width + (F.lit(2147483647) - sequential.cast("long")).cast("decimal(10,0)")).cast("decimal(30,0)")
 
 
 def payments_per_order(order_payments: DataFrame) -> DataFrame:

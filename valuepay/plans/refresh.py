@@ -9,6 +9,7 @@ later marts read it (the fact has four readers).
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -31,6 +32,8 @@ GATE_METRICS = {
                              F.count_if(F.col("is_high_value_customer")).alias("hvc")],
 }
 
+POINTER_SCHEMA = "entry string, marts map<string,string>"
+
 MART_SORT_KEYS = {
     "dim_geolocation": ("zip_code_prefix",),
     "fct_order_payments": ("order_id",),
@@ -129,9 +132,11 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
             max_orphans: int | None = None) -> RefreshResult:
     """Run the whole pipeline. Sources come from ``<data_dir>/<table>.csv`` or as frames.
 
-    With ``publish_to``, a pointer to this run's marts is written there after both gates
-    passed; readers use ``published_marts``. A failed refresh leaves the previous
-    pointer in place, so readers never see missing or unchecked marts.
+    Every call writes below a fresh run folder ``<out_dir>/run=<id>``, so it never touches the
+    tables of an earlier run. With ``publish_to``, an entry for this run's marts is added there
+    after both gates passed; readers use ``published_marts``, which takes the newest complete
+    entry. Entries are only ever added, so at no moment do readers see missing or unchecked
+    marts, also when a refresh or the publishing itself fails.
 
     Payments without an order are only logged unless ``max_orphans`` bounds them.
     ``cluster`` sorts every written file on its table key (the reference's layout, for
@@ -142,6 +147,7 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
         # a missing file fails here (S3); parsing and the non-empty check (S4) happen in
         # the one scan that also loads the table, instead of reading every file twice
         sources = {name: read_source(spark, data_dir, name) for name in MIN_ROWS}
+    out_dir = f"{out_dir.rstrip('/')}/run={run_id()}"
     with sized_shuffle(spark, sources.values()) as partitions:
         result = RefreshResult(shuffle_partitions=partitions)
         _run(spark, sources, out_dir, min_rows, max_workers, result, cluster, max_orphans)
@@ -150,17 +156,25 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
     return result
 
 
+def run_id() -> str:
+    """A new run's name; later runs sort after earlier ones."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
 def publish(spark: SparkSession, result: RefreshResult, pointer: str) -> None:
-    """Point readers at a checked run: one row per mart (name, path), replaced as a whole."""
-    rows = [(name, path) for name, path in sorted(result.marts.items())]
-    spark.createDataFrame(rows, "mart string, path string").coalesce(1) \
-        .write.mode("overwrite").parquet(pointer)
+    """Add an entry for a checked run: one row with all its marts (name -> path), appended in one
+    committed file. Nothing that is there is changed."""
+    spark.createDataFrame([(run_id(), dict(sorted(result.marts.items())))], POINTER_SCHEMA).coalesce(1) \
+        .write.mode("append").parquet(pointer)
 
 
 def published_marts(spark: SparkSession, pointer: str) -> dict[str, DataFrame]:
-    """The marts of the last published run."""
-    return {r["mart"]: spark.read.parquet(r["path"])
-            for r in spark.read.parquet(pointer).collect()}
+    """The marts of the last published run (the newest entry; an entry is one row, so it is
+    there whole or not at all)."""
+    newest = spark.read.schema(POINTER_SCHEMA).parquet(pointer).agg(F.max_by("marts", "entry").alias("marts")).first()["marts"]
+    if newest is None:
+        raise LookupError(f"nothing published at {pointer}")
+    return {name: spark.read.parquet(path) for name, path in newest.items()}
 
 
 def _run(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,

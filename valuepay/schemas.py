@@ -76,6 +76,14 @@ SOURCES: dict[str, T.StructType] = {
     "order_reviews": ORDER_REVIEWS,
 }
 
+# Unsigned columns and their largest values; the signed Spark types above are wider.
+UNSIGNED_MAX: dict[str, int] = {
+    "payment_sequential": 65535,
+    "order_item_id": 65535,
+    "payment_installments": 255,
+    "review_score": 255,
+}
+
 # Tables whose text columns may hold quoted line breaks (free-text review comments).
 # Only these are read with multiLine, which makes each file a single split.
 MULTILINE_TABLES = frozenset({"order_reviews"})

@@ -15,8 +15,8 @@ def write_table(df: DataFrame, path: str, sort_key: Sequence[str] = ()) -> None:
     min/max statistics let later scans skip row groups (the clustered layout of
     the staging and mart tables). The rows keep the partitioning of the last
     shuffle: a global range repartition would need an extra sampling pass that
-    recomputes the final stage. The caller writes each refresh below a fresh
-    folder, so readers never see a half-written table.
+    recomputes the final stage. A refresh writes below a run folder of
+    its own, so readers never see a half-written table.
     """
     if sort_key:
         df = df.sortWithinPartitions(*sort_key)

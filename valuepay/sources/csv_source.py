@@ -8,41 +8,59 @@ the load, as inserting it into the fixed DDL would), missing text becomes ''.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from valuepay.schemas import CATEGORY_TRANSLATION, DATETIME_COLUMNS, MULTILINE_TABLES, SOURCES
+from valuepay.schemas import CATEGORY_TRANSLATION, DATETIME_COLUMNS, MULTILINE_TABLES, SOURCES, UNSIGNED_MAX
 
 
 class SourceMissing(FileNotFoundError):
     """The source file of a table does not exist."""
 
 
+class SourceColumns(ValueError):
+    """The header of a source does not hold exactly the table's columns."""
+
+
 class SourceEmpty(ValueError):
     """A source parsed to zero rows."""
 
 
-def _text_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+def _text_schema(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+
+
+def check_header(header: Sequence[str], want: Sequence[str], path: str) -> None:
+    """Raise ``SourceColumns`` unless the header holds every wanted column once and no other."""
+    missing = sorted(set(want) - set(header))
+    unknown = sorted(set(header) - set(want))
+    if missing or unknown:
+        raise SourceColumns(f"{path}: missing columns {missing}, unknown columns {unknown}")
 
 
 def read_csv_text(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
-    """Scan a header CSV with every column as text.
+    """Scan a header CSV with every column as text, bound by header name.
+
+    The columns may stand in any order; a missing, unknown or repeated column raises
+    ``SourceColumns`` naming it. Files of one folder must share one order of columns, which
+    the scan verifies file by file. A file without a header line has no rows.
 
     ``multiline`` keeps quoted line breaks inside one record, at the price of one
     task per file; without it large files split by ``spark.sql.files.maxPartitionBytes``.
     Only the empty field is missing (words such as ``NA`` stay text).
     """
-    reader = (
-        spark.read.schema(_text_schema(schema))
-        .option("header", True)
-        .option("multiLine", multiline)
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-    )
+    options = {"header": True, "multiLine": multiline, "escape": '"', "mode": "FAILFAST"}
+    want = [f.name for f in schema.fields]
     try:
-        return reader.csv(path)
+        header = spark.read.options(**options).csv(path).columns   # reads one header line
+        if not header:
+            return spark.createDataFrame([], _text_schema(want))
+        check_header(header, want, path)
+        # enforceSchema off: every file's own header must match the order found here
+        return spark.read.schema(_text_schema(header)).options(**options, enforceSchema=False).csv(path).select(*want)
     except Exception as exc:  # path resolution happens eagerly in spark.read
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             raise SourceMissing(path) from exc
@@ -70,6 +88,9 @@ def repair_types(df: DataFrame, schema: T.StructType) -> DataFrame:
             if not f.nullable:                                        # missing number: fail
                 c = F.when(c.isNull(), F.raise_error(
                     F.lit(f"missing value in non-null column {f.name}"))).otherwise(c)
+            if f.name in UNSIGNED_MAX:                                # outside the unsigned type: fail
+                c = F.when((c < 0) | (c > UNSIGNED_MAX[f.name]), F.raise_error(F.concat(
+                    F.lit(f"value outside 0..{UNSIGNED_MAX[f.name]} in column {f.name}: "), c.cast("string")))).otherwise(c)
         cols.append(c.alias(f.name))
     return df.select(cols)
 
