@@ -324,6 +324,43 @@ SQL: dict[str, str] = {
         "FROM (SELECT o, g, a, unnest(range(0, 101, 5)) AS c FROM ("
         "  SELECT CAST(addressable_orders AS DOUBLE) AS o, greatest(aov_gap, 0.0) AS g, "
         "         unnest(range(0, 101, 1)) AS a FROM uplift) s1) s GROUP BY a, c"),
+    "staging_customers_reordered": _staging_sql("customers", _STAGING["customers"]),
+    "staging_malformed_timestamps": _q(
+        "SELECT order_id, CASE WHEN CAST(order_id AS BIGINT) % 7 = 0 THEN NULL "
+        "ELSE date_trunc('second', order_purchase_timestamp) END AS order_purchase_timestamp FROM src_orders"),
+    "category_translation": "SELECT DISTINCT p_type AS product_category_name, upper(p_type) AS product_category_name_english FROM part",
+    "payments_fifth_type": WITH + """, five AS (
+  SELECT order_id, payment_sequential, payment_value,
+    CASE WHEN payment_sequential % 3 = 2 THEN 'pix' ELSE payment_type END AS payment_type FROM src_order_payments)
+SELECT order_id, CAST(sum(payment_value) AS DOUBLE) AS order_value,
+  arg_max(payment_type, CAST(payment_value AS DECIMAL(18,2)) * 1000000 - payment_sequential) AS primary_payment_type,
+  CAST(count(DISTINCT payment_type) AS BIGINT) AS distinct_payment_methods,
+  CAST(sum(CASE WHEN payment_type = 'credit_card' THEN payment_value ELSE 0 END) AS DOUBLE) AS credit_card_value
+FROM five GROUP BY order_id""",
+    "card8_state": _q(
+        f"SELECT customer_state, customer_city, CAST(count(*) AS BIGINT) AS hvc_customers, "
+        f"CAST(round(sum(monetary), 0) AS DOUBLE) AS hvc_revenue, {rnd(mean('avg_order_value'), 2)} AS hvc_avg_order "
+        f"FROM dim WHERE {_HVC} AND customer_state = 'NATION_7' GROUP BY customer_state, customer_city "
+        "ORDER BY hvc_revenue DESC, customer_state, customer_city LIMIT 25"),
+    "card_row_order": _q(" UNION ALL ".join(
+        f"SELECT '{card}' AS card, CAST({key} AS VARCHAR) AS row_key, "
+        f"CAST(row_number() OVER (ORDER BY {order}) - 1 AS BIGINT) AS place FROM {rel}"
+        for card, key, order, rel in [
+            ("card2", "value_segment", "v DESC", f"(SELECT value_segment, {rnd(mean('avg_order_value'), 2)} AS v FROM dim GROUP BY 1) c2"),
+            ("card3", "primary_payment_type", "v DESC", "(SELECT primary_payment_type, round(sum(total_revenue), 0) AS v FROM profile "
+             f"WHERE value_segment IN ('{SEGMENT_WHALE}', '{SEGMENT_HIGH}') GROUP BY 1) c3"),
+            ("card4", "value_segment", "v DESC", f"(SELECT value_segment, {rnd(mean('pct_orders_with_installments'), 1)} AS v FROM profile GROUP BY 1) c4"),
+            ("card5", "customer_state", "hvc_revenue DESC", "geo_value"),
+            ("card6", "value_segment", "projected_annual_uplift DESC", "uplift"),
+            ("card7", "order_month", "order_month", "(SELECT DISTINCT order_month FROM fd WHERE order_month IS NOT NULL) c7"),
+        ])),
+    "refresh_roundtrip": _q(
+        "SELECT 'dim_customer' AS mart, count(*) AS mart_rows, CAST(sum(monetary) AS DOUBLE) AS money FROM dim "
+        "UNION ALL SELECT 'dim_geolocation', count(*), NULL FROM geo "
+        "UNION ALL SELECT 'fct_order_payments', count(*), CAST(sum(order_value) AS DOUBLE) FROM fact "
+        "UNION ALL SELECT 'mart_geo_value', count(*), CAST(sum(hvc_revenue) AS DOUBLE) FROM geo_value "
+        "UNION ALL SELECT 'mart_hvc_payment_profile', count(*), CAST(sum(total_revenue) AS DOUBLE) FROM profile "
+        "UNION ALL SELECT 'mart_payment_uplift', count(*), CAST(sum(current_addressable_revenue) AS DOUBLE) FROM uplift"),
     "verify_counts": _q(
         f"SELECT CAST(count(*) AS BIGINT) AS customers, CAST(count_if({_HVC}) AS BIGINT) AS hvc_customers FROM dim"),
     "dq_min_rows": _q(" UNION ALL ".join(

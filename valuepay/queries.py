@@ -29,7 +29,7 @@ from valuepay.plans.scenario import uplift_scenarios
 from valuepay.schemas import PAYMENT_TYPES, SOURCES
 from valuepay.session import scratch_path
 from valuepay.sources import fixtures
-from valuepay.sources.csv_source import read_source, write_csv
+from valuepay.sources.csv_source import read_category_translation, read_source, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -194,6 +194,83 @@ def _staging(table: str) -> Query:
     return run
 
 
+def q_staging_customers_reordered(spark, sf_dir):
+    """A file whose columns stand in another order loads by header name."""
+    path = scratch_path(spark, "landing-reordered")
+    df = _src(spark, sf_dir)["customers"]
+    write_csv(df.select(*reversed(df.columns)), f"{path}/customers.csv")
+    return read_source(spark, path, "customers")
+
+
+def q_staging_malformed_timestamps(spark, sf_dir):
+    """Purchase times that are no timestamps load as NULL, the others as they are."""
+    path = scratch_path(spark, "landing-malformed")
+    df = _src(spark, sf_dir)["orders"]
+    ts = F.col("order_purchase_timestamp")
+    bad = F.col("order_id").cast("bigint") % 7 == 0
+    text = F.when(bad, F.lit("not a time")).otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+    write_csv(df.withColumn("order_purchase_timestamp", text), f"{path}/orders.csv")
+    return read_source(spark, path, "orders").select("order_id", "order_purchase_timestamp")
+
+
+def q_category_translation(spark, sf_dir):
+    """The lookup written as CSV and read back."""
+    path = scratch_path(spark, "landing-lookup")
+    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
+    write_csv(part.select(F.col("p_type").alias("product_category_name"),
+                          F.upper("p_type").alias("product_category_name_english")).distinct(),
+              f"{path}/category_translation.csv")
+    return read_category_translation(spark, path)
+
+
+def q_payments_fifth_type(spark, sf_dir):
+    """Payment rollup with a method outside the four that have columns."""
+    p = _src(spark, sf_dir)["order_payments"]
+    t = F.when(F.col("payment_sequential") % 3 == 2, F.lit("pix")).otherwise(F.col("payment_type"))
+    return M.payments_per_order(p.withColumn("payment_type", t)).select(
+        "order_id", "order_value", "primary_payment_type", "distinct_payment_methods", "credit_card_value")
+
+
+def q_card8_state(spark, sf_dir):
+    return C.card8_top_cities(_marts(spark, sf_dir).dim_customer, state="NATION_7")
+
+
+def q_card_row_order(spark, sf_dir):
+    """Place of every row of the sorted cards 2 to 7 (a card has a few rows)."""
+    m = _marts(spark, sf_dir)
+    sorted_cards = {
+        "card2": (C.card2_aov_by_segment(m.dim_customer), "value_segment"),
+        "card3": (C.card3_payment_mix(m.mart_hvc_payment_profile), "primary_payment_type"),
+        "card4": (C.card4_installments(m.mart_hvc_payment_profile), "value_segment"),
+        "card5": (C.card5_geo(m.mart_geo_value), "customer_state"),
+        "card6": (C.card6_uplift(m.mart_payment_uplift), "value_segment"),
+        "card7": (C.card7_monthly_revenue(m.fct_order_payments, m.dim_customer), "order_month"),
+    }
+    out = None
+    for name, (df, key) in sorted_cards.items():
+        placed = df.coalesce(1).select(F.lit(name).alias("card"), F.col(key).cast("string").alias("row_key"),
+                                       F.monotonically_increasing_id().alias("place"))
+        out = placed if out is None else out.union(placed)
+    return out
+
+
+def q_refresh_roundtrip(spark, sf_dir):
+    """A whole refresh into the shared folder, published, and its marts read back."""
+    from valuepay.plans.refresh import published_marts, refresh
+    pointer = scratch_path(spark, "published")
+    refresh(spark, scratch_path(spark, "refresh"), sources=fixtures.load(spark, sf_dir),
+            min_rows={t: 1 for t in SOURCES}, publish_to=pointer)
+    marts = published_marts(spark, pointer)
+    money = {"fct_order_payments": "order_value", "dim_customer": "monetary", "mart_hvc_payment_profile": "total_revenue",
+             "mart_geo_value": "hvc_revenue", "mart_payment_uplift": "current_addressable_revenue"}
+    out = None
+    for name, df in sorted(marts.items()):
+        total = F.sum(money[name]).cast("double") if name in money else F.lit(None).cast("double")
+        one = df.agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("mart_rows"), total.alias("money"))
+        out = one if out is None else out.union(one)
+    return out
+
+
 # ------------------------------------------------------------------ operator families
 def q_agg_argmax_tiebreak(spark, sf_dir):
     """argMax with ties: the method of the largest payment, lowest sequence number on ties."""
@@ -396,6 +473,13 @@ REGISTRY: dict[str, Query] = {
     "dq_orphans": q_dq_orphans,
     "dq_marts": q_dq_marts,
     **{f"staging_{t}": _staging(t) for t in SOURCES},
+    "staging_customers_reordered": q_staging_customers_reordered,
+    "staging_malformed_timestamps": q_staging_malformed_timestamps,
+    "category_translation": q_category_translation,
+    "payments_fifth_type": q_payments_fifth_type,
+    "card8_state": q_card8_state,
+    "card_row_order": q_card_row_order,
+    "refresh_roundtrip": q_refresh_roundtrip,
     "agg_argmax_tiebreak": q_agg_argmax_tiebreak,
     "agg_mode": q_agg_mode,
     "agg_any_first_order": q_agg_any_first_order,
