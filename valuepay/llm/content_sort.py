@@ -53,14 +53,15 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", ways:
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", ways: int = WAYS) -> DataFrame:
     """The documents that stay, one of each group of equal texts, with all their columns."""
-    rows, bounds = _prepared(docs, key, text, ways)
+    key, text = f"row.`{key}`", f"row.`{text}`"  # the document's columns stay apart from those made here
+    rows, bounds = _prepared(docs.select(F.struct("*").alias("row")), key, text, ways)
     first = _placed(rows, bounds, key, text).filter("_place = 1")
     if len(bounds) > 2:
         # a frequent text's parts each have a first row: the best of them stays
         frequent = rows.filter("_salt > 0")
         best = (frequent.groupBy(F.sha2(_norm(text), 256).alias("_sha")).agg(F.min(_rank("_chars", key)).alias("_best")))
         first = first.join(F.broadcast(best), "_sha", "left").filter("_best IS NULL OR _best.salt = _salt")
-    return first.select(*docs.columns)
+    return first.select("row.*")
 
 
 def _norm(text: str):

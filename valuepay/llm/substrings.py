@@ -305,10 +305,10 @@ def without_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text
     """The documents with repeated words removed, columns as before and ``length`` (if there is one) kept
     up. A text that nothing was removed from stays as it is; one that loses all its words goes."""
     found = repeats(docs, window, key, text).filter("n_removed > 0").select(
-        F.col("doc_id").alias("_id"), F.col("tx").alias("_tx"), F.col("kept_text").alias("_kept")).dropDuplicates(["_id", "_tx"])
-    body = F.xxhash64(F.col(text).cast("string"))
-    joined = docs.join(found, (docs[key] == found["_id"]) & (body == found["_tx"]), "left").filter("_kept IS NULL OR _kept <> ''")
-    out = joined.withColumn(text, F.coalesce("_kept", text))
-    if length in docs.columns:
-        out = out.withColumn(length, F.when(F.col("_kept").isNull(), F.col(length)).otherwise(F.char_length(text)).cast(docs.schema[length].dataType))
-    return out.select(*docs.columns)
+        F.col("doc_id").alias("id"), "tx", F.col("kept_text").alias("kept")).dropDuplicates(["id", "tx"])
+    # the document's columns stay apart from those made here
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("tx"))
+    new = {text: F.col("kept"), length: F.char_length("kept")}
+    columns = [F.when(F.col("kept").isNull(), F.col(f"row.`{c}`")).otherwise(new[c].cast(docs.schema[c].dataType)).alias(c)
+               if c in new else F.col(f"row.`{c}`") for c in docs.columns]
+    return rows.join(found, ["id", "tx"], "left").filter("kept IS NULL OR kept <> ''").select(*columns)
