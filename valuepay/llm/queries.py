@@ -9,11 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from valuepay.llm import bpe, content_sort, language, licences, packing, pieces, simhash, slots, substrings, vectors
+from valuepay.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
