@@ -3,10 +3,13 @@ and the shared scratch location (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
+import hashlib
+import io
 import math
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable
 from contextlib import contextmanager
 
@@ -72,6 +75,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/valuepay-{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started: an archive of its
+    modules goes to the executors, once per application. The archive's name holds its content's
+    hash, and Spark copies it from the driver, so no shared folder is needed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    files = sorted(os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".py"))
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as archive:
+        for f in files:
+            with open(f, "rb") as source:
+                archive.writestr(zipfile.ZipInfo(os.path.relpath(f, os.path.dirname(root))), source.read())
+    data = buffer.getvalue()
+    path = os.path.join(tempfile.mkdtemp(prefix="valuepay-package-"), f"valuepay-{hashlib.sha256(data).hexdigest()[:16]}.zip")
+    with open(path, "wb") as out:
+        out.write(data)
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
