@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from valuepay import schemas as S
 from valuepay.functions.scalars import days_between, month_start, order_date, round_money
-from valuepay.sources.csv_source import SourceEmpty, SourceMissing, read_source, validate_source
+from valuepay.sources.csv_source import SourceColumns, SourceMissing, read_source
 
 
 def test_half_rounding_through_decimal(spark):
@@ -102,8 +102,62 @@ def test_missing_and_empty_source(spark):
     with pytest.raises(SourceMissing):
         read_source(spark, tempfile.mkdtemp(), "orders")
     hdr = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
-    with pytest.raises(SourceEmpty):
-        validate_source(read_source(spark, _land(hdr, "order_payments"), "order_payments"), "order_payments")
+    assert read_source(spark, _land(hdr, "order_payments"), "order_payments").count() == 0
+    assert read_source(spark, _land("", "order_payments"), "order_payments").count() == 0
+
+
+def test_columns_are_bound_by_name(spark):
+    csv = ("customer_id,customer_unique_id,customer_zip_code_prefix,customer_state,customer_city\n"
+           "1,u,00100,SP,sao paulo\n")
+    r = read_source(spark, _land(csv, "customers"), "customers").first()
+    assert (r["customer_state"], r["customer_city"]) == ("SP", "sao paulo")
+    geo = "geolocation_state,geolocation_city,geolocation_lng,geolocation_lat,geolocation_zip_code_prefix\nSP,x,2.5,1.5,01\n"
+    g = read_source(spark, _land(geo, "geolocation"), "geolocation").first()
+    assert (g["geolocation_lat"], g["geolocation_lng"], g["geolocation_zip_code_prefix"]) == (1.5, 2.5, "01")
+
+
+def test_missing_and_unknown_columns_are_named(spark):
+    csv = "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,country\n1,u,0,x,BR\n"
+    with pytest.raises(SourceColumns, match=r"missing columns \['customer_state'\], unknown columns \['country'\]"):
+        read_source(spark, _land(csv, "customers"), "customers")
+
+
+def test_files_of_one_folder_with_other_column_orders_fail(spark):
+    d = tempfile.mkdtemp(prefix="valuepay-csv-")
+    os.makedirs(os.path.join(d, "customers.csv"))
+    names = ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"]
+    for i, order in enumerate((names, names[::-1])):
+        with open(os.path.join(d, "customers.csv", f"part-{i}.csv"), "w") as fh:
+            fh.write(",".join(order) + "\n" + ",".join("abcde") + "\n")
+    with pytest.raises(Exception, match="header"):
+        read_source(spark, d, "customers").collect()
+
+
+@pytest.mark.parametrize("row", ["o1,140000,credit_card,1,10.02", "o1,-5,boleto,1,1.00", "o1,1,boleto,300,1.00", "o1,1,boleto,-3,1.00"])
+def test_unsigned_columns_are_checked(spark, row):
+    csv = f"order_id,payment_sequential,payment_type,payment_installments,payment_value\n{row}\n"
+    with pytest.raises(Exception, match="outside 0..(65535|255) in column payment_"):
+        read_source(spark, _land(csv, "order_payments"), "order_payments").collect()
+
+
+def test_payment_rank_holds_for_any_sequence_number(spark):
+    from tests import frames
+    from valuepay.plans import marts as M
+    p = frames.payments(spark, [("o1", 140000, "credit_card", 1, "10.02"), ("o1", 1, "boleto", 1, "10.00"),
+                                ("o2", -7, "voucher", 1, "5.00"), ("o2", 3, "pix", 1, "5.00")])
+    got = {r["order_id"]: r["primary_payment_type"] for r in M.payments_per_order(p).collect()}
+    assert got == {"o1": "credit_card", "o2": "voucher"}
+
+
+def test_card_means_do_not_depend_on_partitioning(spark):
+    import random
+    from valuepay.plans import cards as C
+    rnd = random.Random(2)
+    dim = spark.createDataFrame([("Standard", rnd.random() * 1e6, True, 1.0, "S", "c") for _ in range(5000)],
+                                "value_segment string, avg_order_value double, is_high_value_customer boolean, monetary double, "
+                                "customer_state string, customer_city string")
+    for card in (C.card2_aov_by_segment, C.card8_top_cities):
+        assert len({tuple(card(dim.repartition(n)).first()) for n in (1, 7, 50)}) == 1
 
 
 def test_translation_lookup_scan(spark):

@@ -50,7 +50,7 @@ def duck(spark, sources):
 def marts(spark, sources):
     fact = M.fct_order_payments(sources["orders"], sources["order_payments"], sources["order_items"],
                                 sources["customers"]).persist()
-    dim = M.dim_customer(fact, sort_limit=8, accuracy=50)
+    dim = M.dim_customer(fact, buckets=4)
     return fact, dim
 
 

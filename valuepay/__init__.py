@@ -5,7 +5,6 @@ Layout:
   operators/  aggregate, join and exact-quantile building blocks
   functions/  scalar column helpers (rounding, dates, segment labels)
   plans/      marts, dashboard cards, scenario sweep, quality gates, refresh
-  streaming/  incremental landing of arriving CSV files
 """
 
 __version__ = "0.1.0"

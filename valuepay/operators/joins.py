@@ -23,5 +23,8 @@ def left_join_filled(left: DataFrame, right: DataFrame, on: str, defaults: dict[
 
 
 def anti_count(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """One row: number of left rows without a match on the right (left anti join)."""
-    return left.join(right.select(on), on, "left_anti").agg(F.count(F.lit(1)).alias("orphans"))
+    """One row: number of left rows without a match on the right (left anti join). Left rows are
+    counted per key first, so a hot key is one row in the join; a null key matches nothing."""
+    per_key = left.groupBy(on).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.join(right.select(on), on, "left_anti").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphans"))

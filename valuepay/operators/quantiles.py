@@ -1,57 +1,32 @@
 """Exact order statistics at any scale (A13 quantileExact, A14 median, W1).
 
 ``exact_quantiles`` works like ``DataFrame.approxQuantile`` (it returns Python
-values to the driver) but the answer is exact. It never sorts the whole column
-in one task:
-
-1. while the slice that holds the wanted rank is larger than ``sort_limit``:
-   one distributed aggregate takes ``percentile_approx`` just below and just
-   above the wanted position (a bracket ``[a, b]``), a second one counts rows
-   ``< a``, ``= a``, strictly inside and ``= b``. From the exact counts the rank
-   is either settled (it falls on ``a`` or ``b``, which also covers huge runs of
-   equal values) or the slice shrinks to ``(a, b)`` — about ``6/accuracy`` of
-   its size — or, if the sketch missed, to the side that holds the rank;
-2. the remaining slice (at most ``sort_limit`` rows per target) is ranked with
-   a window partitioned by target and the wanted row is picked.
-
-Only single result rows reach the driver. Every step is a full-table
-aggregate with partial (map-side) evaluation, so a value repeated by a third of
-all rows costs nothing extra.
+values to the driver) but the answer is exact. One path serves every size, and no
+task ever receives the column:
+
+1. one aggregate finds the number of values, the smallest and the largest;
+2. the bracket that holds a wanted rank is cut into equal buckets, and one hash
+   aggregate on the bucket number takes each bucket's count, smallest and largest
+   value. Partial evaluation leaves each task a few thousand rows of fixed width
+   at most, so a value held by a third of all rows costs nothing extra;
+3. the counts name the bucket that holds the rank; its smallest and largest value
+   are the next bracket. When they are equal, that is the answer.
+
+A bracket's ends always fall in different buckets, so every pass shrinks it; for
+evenly spread values a pass divides it by the number of buckets. Only bucket rows
+reach the driver.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-# Bounds of the default sketch accuracy (the sketch grows linearly with it).
-MIN_ACCURACY = 10_000
-MAX_ACCURACY = 1_000_000
-
-
-@dataclass
-class _Slice:
-    """Values strictly between ``lo`` and ``hi`` (None = unbounded), ``m`` of them."""
-
-    lo: Any
-    hi: Any
-    m: int
-    ranks: dict[int, int] = field(default_factory=dict)   # wanted global rank -> rank in slice
-
-
-def _in_slice(x: Column, s: _Slice) -> Column:
-    cond = F.lit(True)
-    if s.lo is not None:
-        cond = cond & (x > F.lit(s.lo))
-    if s.hi is not None:
-        cond = cond & (x < F.lit(s.hi))
-    return cond
+BUCKETS = 2048
 
 
 def quantile_rank(p: float, n: int) -> int:
@@ -64,133 +39,83 @@ def median_ranks(n: int) -> tuple[int, int]:
     return (n - 1) // 2, n // 2
 
 
-def order_statistics(
-    df: DataFrame,
-    col: str,
-    ranks: Iterable[int],
-    *,
-    n: int | None = None,
-    accuracy: int | None = None,
-    sort_limit: int = 1_000_000,
-) -> dict[int, Any]:
-    """Exact values at the given zero-based ranks of the non-null values of ``col``.
+def _bucket(x: Column, lo: Any, hi: Any, buckets: int) -> Column:
+    """Bucket number of a value in ``[lo, hi]``, never falling as the value grows. The ends are
+    settled first, which also covers infinite ends (where the quotient is no number)."""
+    # subtract in the column's own type (exact for decimals); halve doubles that would overflow
+    low, high = F.lit(lo), F.lit(hi)
+    if isinstance(lo, float) and math.isinf(hi - lo):
+        part = (x / 2 - low / 2) / (high / 2 - low / 2)
+    else:
+        part = (x - low).cast("double") / (high - low).cast("double")
+    inner = F.least(F.floor(part * buckets), F.lit(buckets - 1))
+    return (F.when(x == low, 0).when(x == high, buckets - 1)
+            .when(F.isnan(part), buckets - 1).otherwise(inner).cast("int"))
+
 
-    ``accuracy`` is the sketch accuracy of the bracketing passes; by default it is sized
-    from ``n`` so that one round normally brings a slice under ``sort_limit``."""
+def order_statistics(df: DataFrame, col: str, ranks: Iterable[int], *, buckets: int = BUCKETS) -> dict[int, Any]:
+    """Exact values at the given zero-based ranks of the non-null values of ``col``."""
+    return _select(df, col, lambda n: ranks, buckets)[1]
+
+
+def _select(df: DataFrame, col: str, ranks_of, buckets: int) -> tuple[int, dict[int, Any]]:
+    """The number of non-null values, and the values at the ranks that ``ranks_of`` names for it."""
     x = F.col("x")
     vals = df.select(F.col(col).alias("x")).where(x.isNotNull())
-    if n is None:
-        n = vals.count()
-    wanted = sorted({int(r) for r in ranks})
+    ends = vals.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    n = ends["n"]
+    wanted = sorted({int(r) for r in ranks_of(n)}) if n else []
     if any(r < 0 or r >= n for r in wanted):
         raise ValueError(f"ranks {wanted} outside 0..{n - 1}")
     found: dict[int, Any] = {}
-    open_: list[tuple[int, _Slice]] = [(r, _Slice(None, None, n, {r: r})) for r in wanted]
-    if accuracy is None:
-        # a bracket keeps about 6/accuracy of its slice: size the sketch so that one round
-        # normally brings the slice under sort_limit (bounded to keep the sketch small)
-        accuracy = max(MIN_ACCURACY, min(MAX_ACCURACY, -(-8 * n // max(sort_limit, 1))))
-    margin = 2.0 / accuracy
-
-    while True:
-        big = [(r, s) for r, s in open_ if s.m > sort_limit]
-        if not big:
+    # bracket (smallest, largest value) -> number of values before it, ranks wanted inside
+    open_ = {(ends["lo"], ends["hi"]): (0, wanted)} if wanted else {}
+    while open_:
+        for (lo, hi), (_, inside) in list(open_.items()):
+            if lo == hi:
+                found.update(dict.fromkeys(inside, lo))
+                del open_[lo, hi]
+        if not open_:
             break
-        # Pass 1: a bracket around the wanted position of each big slice.
-        brackets = []
-        for i, (r, s) in enumerate(big):
-            q = (s.ranks[r] + 0.5) / s.m
-            lo_q, hi_q = max(0.0, q - margin), min(1.0, q + margin)
-            brackets.append(
-                F.percentile_approx(F.when(_in_slice(x, s), x), [lo_q, hi_q], accuracy).alias(f"b{i}"))
-        row = vals.agg(*brackets).first()
-        bounds = [tuple(row[f"b{i}"]) for i in range(len(big))]
-        # Pass 2: exact counts relative to each bracket.
-        counts = []
-        for i, ((r, s), (a, b)) in enumerate(zip(big, bounds)):
-            inside = _in_slice(x, s)
-            counts += [
-                F.count_if(inside & (x < F.lit(a))).alias(f"lt{i}"),
-                F.count_if(inside & (x == F.lit(a))).alias(f"ea{i}"),
-                F.count_if(inside & (x > F.lit(a)) & (x < F.lit(b))).alias(f"mid{i}"),
-                F.count_if(inside & (x == F.lit(b)) & F.lit(a != b)).alias(f"eb{i}"),
-            ]
-        c = vals.agg(*counts).first()
-        still_open = [(r, s) for r, s in open_ if s.m <= sort_limit]
-        for i, ((r, s), (a, b)) in enumerate(zip(big, bounds)):
-            k = s.ranks[r]
-            lt, ea, mid, eb = c[f"lt{i}"], c[f"ea{i}"], c[f"mid{i}"], c[f"eb{i}"]
-            if k < lt:
-                still_open.append((r, _Slice(s.lo, a, lt, {r: k})))
-            elif k < lt + ea:
-                found[r] = a
-            elif k < lt + ea + mid:
-                still_open.append((r, _Slice(a, b, mid, {r: k - lt - ea})))
-            elif k < lt + ea + mid + eb:
-                found[r] = b
-            else:
-                done = lt + ea + mid + eb
-                still_open.append((r, _Slice(b if a != b else a, s.hi, s.m - done, {r: k - done})))
-        open_ = still_open
-
-    if open_:
-        found.update(_select_by_sort(vals, [s for _, s in open_]))
-    return found
-
-
-def _select_by_sort(vals: DataFrame, slices: Sequence[_Slice]) -> dict[int, Any]:
-    """Pick ranks inside small slices: rank rows per slice with a window, keep the wanted rows."""
-    # Slices with the same bounds share one ranking.
-    groups: dict[tuple, dict[int, int]] = {}
-    for s in slices:
-        groups.setdefault((s.lo, s.hi), {}).update(s.ranks)
-    keys = list(groups)
-    x = F.col("x")
-    tags = F.array(*[F.when(_in_slice(x, _Slice(lo, hi, 0)), F.lit(i)) for i, (lo, hi) in enumerate(keys)])
-    tagged = vals.select(x, F.explode(F.array_compact(tags)).alias("sid"))
-    # wanted 1-based row numbers per slice id
-    want = F.element_at(
-        F.array(*[F.array(*[F.lit(k + 1) for k in groups[key].values()]) for key in keys]),
-        F.col("sid") + 1)
-    rn = F.row_number().over(Window.partitionBy("sid").orderBy("x"))
-    picked = (tagged.withColumn("rn", rn)
-              .where(F.array_contains(want, F.col("rn")))
-              .select("sid", "rn", "x").collect())
-    out: dict[int, Any] = {}
-    for row in picked:
-        for global_rank, local in groups[keys[row["sid"]]].items():
-            if local + 1 == row["rn"]:
-                out[global_rank] = row["x"]
-    return out
-
-
-def exact_quantiles(
-    df: DataFrame,
-    col: str,
-    probs: Sequence[float] = (),
-    *,
-    median: bool = False,
-    n: int | None = None,
-    accuracy: int | None = None,
-    sort_limit: int = 1_000_000,
-) -> dict[str, Any]:
+        brackets = list(open_)
+        tag = bucket = None
+        for i, (lo, hi) in enumerate(brackets):      # brackets do not overlap
+            here = (x >= F.lit(lo)) & (x <= F.lit(hi))
+            tag = F.when(here, i) if tag is None else tag.when(here, i)
+            number = _bucket(x, lo, hi, buckets)
+            bucket = F.when(here, number) if bucket is None else bucket.when(here, number)
+        rows = (vals.select(x, tag.alias("bracket"), bucket.alias("bucket")).where("bracket IS NOT NULL")
+                .groupBy("bracket", "bucket").agg(F.count(x).alias("c"), F.min(x).alias("lo"), F.max(x).alias("hi"))
+                .collect())
+        following = {}
+        for i, key in enumerate(brackets):
+            before, inside = open_[key]
+            for r in sorted((r for r in rows if r["bracket"] == i), key=lambda r: r["bucket"]):
+                here = [k for k in inside if before <= k < before + r["c"]]
+                if here:
+                    following[r["lo"], r["hi"]] = (before, here)
+                before += r["c"]
+        open_ = following
+    return n, found
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float] = (), *, median: bool = False,
+                    buckets: int = BUCKETS) -> dict[str, Any]:
     """quantileExact(p) for each p (value at rank floor(p*n)) and, if asked, the exact
     interpolated median. Returns ``{"n": n, p: value, ..., "median": float}``;
     values are None when the column has no non-null value."""
-    if n is None:
-        n = df.select(col).where(F.col(col).isNotNull()).count()
+    def ranks(n: int) -> list[int]:
+        return [*(quantile_rank(p, n) for p in probs), *(median_ranks(n) if median else ())]
+
+    n, stats = _select(df, col, ranks, buckets)
     out: dict[str, Any] = {"n": n}
     if n == 0:
         out.update({p: None for p in probs})
         if median:
             out["median"] = None
         return out
-    ranks = {p: quantile_rank(p, n) for p in probs}
-    mid = median_ranks(n) if median else ()
-    stats = order_statistics(df, col, [*ranks.values(), *mid], n=n,
-                             accuracy=accuracy, sort_limit=sort_limit)
-    out.update({p: stats[r] for p, r in ranks.items()})
+    out.update({p: stats[quantile_rank(p, n)] for p in probs})
     if median:
-        lo, hi = float(stats[mid[0]]), float(stats[mid[1]])
+        lo, hi = (float(stats[r]) for r in median_ranks(n))
         out["median"] = lo + 0.5 * (hi - lo)
     return out

@@ -22,7 +22,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +33,9 @@ from valuepay.operators.aggregates import (
     sum_if,
 )
 from valuepay.operators.joins import left_join_filled
-from valuepay.operators.quantiles import exact_quantiles
+from valuepay.operators.quantiles import BUCKETS, exact_quantiles
 from valuepay.schemas import ADDRESSABLE_METHOD, CANCELLED_STATUS, PAYMENT_TYPES, UPLIFT_ADOPTION
+from valuepay.session import written
 
 
 def round_dec(x, digits: int) -> Column:
@@ -46,13 +46,24 @@ def round_dec(x, digits: int) -> Column:
 
 # --------------------------------------------------------------------- M1
 def dim_geolocation(geolocation: DataFrame) -> DataFrame:
-    """One coordinate (mean) and the most frequent city/state per zip prefix."""
-    return geolocation.groupBy(F.col("geolocation_zip_code_prefix").alias("zip_code_prefix")).agg(
-        mean_exact("geolocation_lat").alias("lat"),
-        mean_exact("geolocation_lng").alias("lng"),
-        mode("geolocation_city").alias("city"),
-        mode("geolocation_state").alias("state"),
-    )
+    """One coordinate (mean) and the most frequent city/state per zip prefix (ties to the smallest
+    name). Rows are first counted per prefix, city and state, so a prefix that holds a third of all
+    points is a few rows when its names are compared."""
+    zip_code = F.col("geolocation_zip_code_prefix").alias("zip_code_prefix")
+    counted = geolocation.groupBy(zip_code, F.col("geolocation_city").alias("city"), F.col("geolocation_state").alias("state")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.col(f"geolocation_{c}").cast("decimal(38,18)")).alias(c) for c in ("lat", "lng")],
+        *[F.count(f"geolocation_{c}").alias(f"n_{c}") for c in ("lat", "lng")])
+
+    def most_frequent(name: str) -> DataFrame:
+        per = counted.where(F.col(name).isNotNull()).groupBy("zip_code_prefix", name).agg(F.sum("n").alias("n"))
+        return per.groupBy("zip_code_prefix").agg(F.min_by(name, F.struct(-F.col("n"), name)).alias(name))
+
+    means = counted.groupBy("zip_code_prefix").agg(
+        *[F.try_divide(F.sum(c).cast("double"), F.sum(f"n_{c}").cast("double")).alias(c) for c in ("lat", "lng")])
+    return (means.join(most_frequent("city"), "zip_code_prefix", "left")
+            .join(most_frequent("state"), "zip_code_prefix", "left")
+            .select("zip_code_prefix", "lat", "lng", "city", "state"))
 
 
 # --------------------------------------------------------------------- M2
@@ -177,12 +188,10 @@ class Thresholds:
     median: float | None
 
 
-def customer_thresholds(base_all: DataFrame, *, accuracy: int | None = None,
-                        sort_limit: int = 1_000_000) -> Thresholds:
+def customer_thresholds(base_all: DataFrame, *, buckets: int = BUCKETS) -> Thresholds:
     """p90, p95 (quantileExact) and the exact median of monetary value over known persons."""
     persons = base_all.where(F.col("customer_unique_id") != "")
-    q = exact_quantiles(persons, "monetary", (0.90, 0.95), median=True,
-                        accuracy=accuracy, sort_limit=sort_limit)
+    q = exact_quantiles(persons, "monetary", (0.90, 0.95), median=True, buckets=buckets)
     return Thresholds(q["n"], q[0.90], q[0.95], q["median"])
 
 
@@ -219,18 +228,15 @@ def score_customers(base_all: DataFrame, th: Thresholds) -> DataFrame:
     )
 
 
-def dim_customer(fact: DataFrame, *, keep: list | None = None, accuracy: int | None = None,
-                 sort_limit: int = 1_000_000) -> DataFrame:
+def dim_customer(fact: DataFrame, *, base: DataFrame | None = None, buckets: int = BUCKETS) -> DataFrame:
     """RFM, instalment behaviour, thresholds, flags and segment per person.
 
-    The per-person rollup is persisted because the threshold passes and the
-    final projection all read it; pass ``keep`` to receive it for unpersisting.
+    The threshold passes and the final projection all read the per-person rollup: it is written
+    to the shared folder once, or given as ``base`` (``customer_base(fact)``, written) by a caller
+    that keeps it as a layer of its run.
     """
-    base_all = customer_base(fact).persist(StorageLevel.MEMORY_AND_DISK)
-    if keep is not None:
-        keep.append(base_all)
-    th = customer_thresholds(base_all, accuracy=accuracy, sort_limit=sort_limit)
-    return score_customers(base_all, th)
+    base_all = base if base is not None else written(customer_base(fact), "customer-base")
+    return score_customers(base_all, customer_thresholds(base_all, buckets=buckets))
 
 
 # --------------------------------------------------------------------- M4
@@ -251,7 +257,9 @@ def _div(num: str, den: str) -> Column:
     return F.try_divide(F.sum(num).cast("double"), F.sum(den).cast("double"))
 
 
-def mart_hvc_payment_profile(fact: DataFrame, dim: DataFrame) -> DataFrame:
+def segment_method_rollup(fact: DataFrame, dim: DataFrame) -> DataFrame:
+    """Sums and counts per value segment and payment method, from which M4 and M6 both follow: the
+    fact is scanned, shuffled by person and joined to the dimension once. A few rows."""
     used = F.col("used_installments")
     inst = F.col("max_installments")
     per = _known_customers(fact).groupBy("customer_unique_id", "primary_payment_type").agg(
@@ -260,16 +268,27 @@ def mart_hvc_payment_profile(fact: DataFrame, dim: DataFrame) -> DataFrame:
         F.sum(inst).alias("i"),
         F.sum(F.when(used, inst)).alias("iu"),
         count_if(used).alias("u"),
+        sum_if("order_value", used).alias("vi"),
     )
     j = per.join(_segments(dim, "value_segment"), "customer_unique_id", "inner")
     return j.groupBy("value_segment", "primary_payment_type").agg(
-        F.sum("n").alias("order_count"),
-        F.count(F.lit(1)).alias("customer_count"),          # one row per person and method
-        round_dec(F.sum("v"), 2).alias("total_revenue"),
-        round_money(_div("v", "n"), 2).alias("avg_order_value"),
-        round_money(_div("i", "n"), 2).alias("avg_installments"),
-        round_money(_div("iu", "u"), 2).alias("avg_installments_when_used"),
-        round_money(_div("u", "n") * F.lit(100.0), 1).alias("pct_orders_with_installments"),
+        F.count(F.lit(1)).alias("persons"),                 # one row per person and method
+        *[F.sum(c).alias(c) for c in ("n", "v", "i", "iu", "u", "vi")])
+
+
+def mart_hvc_payment_profile(fact: DataFrame, dim: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
+    """Orders, revenue and instalments per segment and method. ``rollup``:
+    ``segment_method_rollup`` where the caller has it written."""
+    r = rollup if rollup is not None else segment_method_rollup(fact, dim)
+    return r.select(
+        "value_segment", "primary_payment_type",
+        F.col("n").alias("order_count"),
+        F.col("persons").alias("customer_count"),
+        round_dec("v", 2).alias("total_revenue"),
+        round_money(ratio(F.col("v"), F.col("n")), 2).alias("avg_order_value"),
+        round_money(ratio(F.col("i"), F.col("n")), 2).alias("avg_installments"),
+        round_money(ratio(F.col("iu"), F.col("u")), 2).alias("avg_installments_when_used"),
+        round_money(percent(F.col("u"), F.col("n")), 1).alias("pct_orders_with_installments"),
     )
 
 
@@ -301,20 +320,17 @@ def mart_geo_value(dim: DataFrame, dim_geo: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- M6
-def mart_payment_uplift(fact: DataFrame, dim: DataFrame, adoption: float = UPLIFT_ADOPTION) -> DataFrame:
-    used = F.col("used_installments")
-    addressable = ~used & (F.col("primary_payment_type") == ADDRESSABLE_METHOD)
-    per = _known_customers(fact).groupBy("customer_unique_id").agg(
-        sum_if("order_value", used).alias("vi"), count_if(used).alias("ni"),
-        sum_if("order_value", ~used).alias("vn"), count_if(~used).alias("nn"),
-        count_if(addressable).alias("ao"), sum_if("order_value", addressable).alias("ar"),
-    )
-    j = per.join(_segments(dim, "value_segment"), "customer_unique_id", "inner")
-    seg = j.groupBy("value_segment").agg(
-        _div("vi", "ni").alias("_aov_i"),                   # NULL when no order matches
+def mart_payment_uplift(fact: DataFrame, dim: DataFrame, adoption: float = UPLIFT_ADOPTION,
+                        rollup: DataFrame | None = None) -> DataFrame:
+    """Instalment uplift per segment, from the same rollup as the profile."""
+    r = rollup if rollup is not None else segment_method_rollup(fact, dim)
+    addressable = F.col("primary_payment_type") == ADDRESSABLE_METHOD
+    nn, vn = F.col("n") - F.col("u"), F.col("v") - F.col("vi")      # orders without instalments
+    seg = r.withColumns({"nn": nn, "vn": vn}).groupBy("value_segment").agg(
+        _div("vi", "u").alias("_aov_i"),                    # NULL when no order matches
         _div("vn", "nn").alias("_aov_n"),
-        F.sum("ao").alias("addressable_orders"),
-        F.sum("ar").alias("_addr_rev"),
+        F.sum(F.when(addressable, F.col("nn")).otherwise(0)).alias("addressable_orders"),
+        sum_if("vn", addressable).alias("_addr_rev"),
     )
     gap = F.col("_aov_i") - F.col("_aov_n")
     return seg.select(
@@ -337,12 +353,3 @@ class Marts:
     mart_hvc_payment_profile: DataFrame
     mart_geo_value: DataFrame
     mart_payment_uplift: DataFrame
-
-
-def build_all(src: dict[str, DataFrame], *, keep: list | None = None) -> Marts:
-    """All six marts from the six source frames (lazy except the threshold passes)."""
-    geo = dim_geolocation(src["geolocation"])
-    fact = fct_order_payments(src["orders"], src["order_payments"], src["order_items"], src["customers"])
-    dim = dim_customer(fact, keep=keep)
-    return Marts(geo, fact, dim, mart_hvc_payment_profile(fact, dim),
-                 mart_geo_value(dim, geo), mart_payment_uplift(fact, dim))

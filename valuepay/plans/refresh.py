@@ -103,7 +103,11 @@ def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: s
         result.marts[name] = path
         return sinks.read_table(spark, path)
 
-    keep: list = []
+    def layer(name: str, df: DataFrame) -> DataFrame:
+        path = f"{out_dir}/layers/{name}"
+        sinks.write_table(df, path)
+        return sinks.read_table(spark, path)
+
     first = run_concurrently({
         "dim_geolocation": lambda: put("dim_geolocation", M.dim_geolocation(staged["geolocation"])),
         "fct_order_payments": lambda: put("fct_order_payments", M.fct_order_payments(
@@ -111,16 +115,18 @@ def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: s
     }, max_workers)
     geo, fact = first["dim_geolocation"], first["fct_order_payments"]
     t0 = time.perf_counter()
-    dim_plan = M.dim_customer(fact, keep=keep)          # runs the threshold passes
+    base = layer("customer_base", M.customer_base(fact))
+    result.seconds["layer:customer_base"] = time.perf_counter() - t0
+    t0 = time.perf_counter()
+    dim_plan = M.dim_customer(fact, base=base)          # runs the threshold passes
     result.seconds["thresholds"] = time.perf_counter() - t0
     dim = put("dim_customer", dim_plan)
-    for df in keep:
-        df.unpersist()
+    rollup = layer("segment_method", M.segment_method_rollup(fact, dim))
     last = run_concurrently({
         "mart_hvc_payment_profile":
-            lambda: put("mart_hvc_payment_profile", M.mart_hvc_payment_profile(fact, dim)),
+            lambda: put("mart_hvc_payment_profile", M.mart_hvc_payment_profile(fact, dim, rollup=rollup)),
         "mart_geo_value": lambda: put("mart_geo_value", M.mart_geo_value(dim, geo)),
-        "mart_payment_uplift": lambda: put("mart_payment_uplift", M.mart_payment_uplift(fact, dim)),
+        "mart_payment_uplift": lambda: put("mart_payment_uplift", M.mart_payment_uplift(fact, dim, rollup=rollup)),
     }, max_workers)
     return {"dim_geolocation": geo, "fct_order_payments": fact, "dim_customer": dim, **last}
 

@@ -114,14 +114,6 @@ def read_category_translation(spark: SparkSession, data_dir: str) -> DataFrame:
     return repair_types(read_csv_text(spark, path, CATEGORY_TRANSLATION, False), CATEGORY_TRANSLATION)
 
 
-def validate_source(df: DataFrame, table: str) -> int:
-    """Parse-and-non-empty check (S4); returns the row count."""
-    n = df.count()
-    if n == 0:
-        raise SourceEmpty(f"{table} is empty")
-    return n
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """Write a frame as header CSV (used to land test sources)."""
     (df.write.mode("overwrite").option("header", True).option("escape", '"')
