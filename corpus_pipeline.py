@@ -15,37 +15,42 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from valuepay.llm import content_sort, language, packing, simhash, substrings
-from valuepay.session import scratch_path, ship_package
+from valuepay.session import apply_scale_defaults, scratch_path, ship_package
+
+
+def _ready(spark: SparkSession) -> None:
+    apply_scale_defaults(spark)
+    ship_package(spark)
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model can tell; texts without a letter go."""
-    ship_package(spark)
+    _ready(spark)
     return language.accepted(docs, language.train(docs))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose texts are equal but for white space."""
-    ship_package(spark)
+    _ready(spark)
     return content_sort.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of fingerprints linked at 3 bits or fewer, 3-word shingles."""
-    ship_package(spark)
+    _ready(spark)
     return simhash.one_of_each(docs, shingle=3, distance=3)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of 50-word windows that an earlier document has too; a document of
     which nothing is left goes."""
-    ship_package(spark)
+    _ready(spark)
     return substrings.without_repeats(docs, window=50)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 1024 tokens."""
-    ship_package(spark)
+    _ready(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
 
 

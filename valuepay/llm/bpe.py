@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import json
 import re
 from functools import lru_cache
 
@@ -83,6 +84,26 @@ def rank_file(path: str) -> Merges:
     return Merges(symbols, [vocab[bytes([x])] for x in range(256)], rules)
 
 
+@lru_cache(maxsize=4)
+def merge_file(path: str) -> tuple[Merges, dict[str, int]]:
+    """Rules of a byte-level tokenizer file (vocabulary and merges by their order), and its special
+    strings with their ids."""
+    with open(path, encoding="utf-8") as f:
+        content = json.load(f)
+    # such files write a byte as itself where it is printable, the others from 256 on in order
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+    vocab = content["model"]["vocab"]
+    symbols: list[bytes] = [b""] * (max(vocab.values()) + 1)
+    for token, i in vocab.items():
+        symbols[i] = bytes(byte_of[c] for c in token)
+    single = {byte_of[t]: i for t, i in vocab.items() if len(t) == 1}
+    rules = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(content["model"]["merges"])}
+    special = {t["content"]: t["id"] for t in content["added_tokens"]}
+    return Merges(symbols, [single[b] for b in range(256)], rules), special
+
+
 def encode_one(word: bytes, m: Merges) -> list[int]:
     """One pre-token by repeatedly merging its leftmost pair of lowest rank."""
     parts = m.byte_ids[np.frombuffer(word, np.uint8)].tolist()

@@ -35,6 +35,7 @@ CHAIN = 64
 BITS = 15  # buckets of each feature kind, as a power of two
 KINDS = 5  # n-grams of 1 to 4 bytes, and whole words
 EPOCHS = 25
+BLOCK_BYTES = 4 << 20  # text labelled at once; its words' features take some fifty times as much memory
 
 
 @dataclass
@@ -51,14 +52,14 @@ def features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     sizes = pc.binary_length(lower).to_numpy(zero_copy_only=False).astype(np.int64)
     n = len(sizes)
     if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     _, offsets, data = lower.buffers()
     first = np.frombuffer(offsets, np.int32)[lower.offset:lower.offset + n + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8)[first[0]:first[-1]]
     padded = np.full(len(raw) + 2 * n, 2, np.uint64)  # every word between marks 1 and 2
     begins = np.cumsum(sizes + 2) - (sizes + 2)
     padded[begins] = 1
-    owner = np.repeat(np.arange(n), sizes + 2)
+    owner = np.repeat(np.arange(n, dtype=np.int32), sizes + 2)
     inside = np.arange(len(raw)) + 2 * np.repeat(np.arange(n), sizes) + 1
     padded[inside] = raw
     buckets, owners = [], []
@@ -68,15 +69,15 @@ def features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             code = code[:-1] * np.uint64(257) + padded[k:]
         same = owner[:len(code)] == owner[k:] if k else np.ones(len(code), bool)
         mixed = (code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)
-        buckets.append((mixed[same] + np.uint64(k << BITS)).astype(np.int64))
+        buckets.append(mixed[same].astype(np.int32) + np.int32(k << BITS))
         owners.append(owner[:len(code)][same])
     # the whole word: a sum over its bytes, each weighted by its place
     place = np.arange(len(padded)) - np.repeat(begins, sizes + 2)
     power = (np.uint64(0x100000001B3) * (place.astype(np.uint64) * np.uint64(2) + np.uint64(1))) ** np.uint64(3)
     whole = np.add.reduceat(padded * power, begins)
     mixed = (whole * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)
-    buckets.append((mixed + np.uint64((KINDS - 1) << BITS)).astype(np.int64))
-    owners.append(np.arange(n))
+    buckets.append(mixed.astype(np.int32) + np.int32((KINDS - 1) << BITS))
+    owners.append(np.arange(n, dtype=np.int32))
     return np.concatenate(buckets), np.concatenate(owners)
 
 
@@ -193,7 +194,7 @@ def classify(texts: pa.Array, model: Model):
     per_word = word_scores(distinct, model.weights).astype(np.float32)
     at, valid = chains(number, starts)
     p = forward_backward(per_word[number[at]], valid, model.transitions.astype(np.float32), model.start.astype(np.float32))[0]
-    words = np.empty((len(number), k))
+    words = np.empty((len(number), k), np.float32)
     words[at[valid]] = p[valid]
     ends = np.zeros((len(number) + 1, k + 1))
     np.cumsum(np.column_stack((words * lettered[:, None], lettered)), axis=0, out=ends[1:])
@@ -211,7 +212,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     run_type = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        for block in blocks(batches, "t"):
+        for block in blocks(batches, "t", BLOCK_BYTES):
             best, score, own, starts = classify(block.column("t"), model)
             runs = [[] for _ in range(block.num_rows)]
             if len(own):
@@ -237,7 +238,7 @@ def accepted(docs: DataFrame, model: Model, languages: tuple[str, ...] | None =
     place = docs.columns.index(text)
 
     def run(batches):
-        for block in blocks(batches, place):
+        for block in blocks(batches, place, BLOCK_BYTES):
             yield block.filter(pa.array(wanted[classify(block.column(place), model)[0]]))
 
     return docs.mapInArrow(run, docs.schema)

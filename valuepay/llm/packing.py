@@ -18,71 +18,55 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
-import os
+import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from public_tokenizers import PATTERN
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from valuepay.llm.bpe import units_of
-from valuepay.llm.words import blocks, ragged
+from valuepay.llm.bpe import encode_block, merge_file
+from valuepay.llm.words import blocks
 from valuepay.session import scratch_path
 
 ISLAND = 4096
 POPULATION = 5
 GENERATIONS = 16
 ELITE = 64  # patterns that an island sends on
-BATCH = 20_000  # distinct units tokenised at once
-KNOWN = 800_000  # distinct units whose ids a worker keeps between blocks
 
 
-class UnitIds:
-    """Ids of distinct units (white space and the word after it), which no token spans: each is
-    tokenised once and kept, at most about ``KNOWN`` of them, for later blocks."""
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def of(self, units: list[str]) -> np.ndarray:
-        """The places of the units' ids in ``offsets``."""
-        if len(self.place) > KNOWN:
-            self.clear()
-        new = [u for u in units if u not in self.place]
-        flat, sizes = [self.ids], []
-        for lo in range(0, len(new), BATCH):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new[lo:lo + BATCH], add_special_tokens=False)]
-            sizes.extend(map(len, found))
-            flat.append(np.array([i for ids in found for i in ids], np.uint32))
-        if new:
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-            self.ids = np.concatenate(flat)
-            self.offsets = np.concatenate((self.offsets, self.offsets[-1] + np.cumsum(sizes)))
-        return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
-
-
-@lru_cache(maxsize=2)
-def unit_ids(path: str) -> UnitIds:
-    return UnitIds(path)
-
-
-def token_ids(texts: pa.Array, known: UnitIds) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of a block of texts one after another, and where each text's begin."""
-    units, number, starts = units_of(texts)
-    place = known.of(units)
-    out, begins = ragged(known.ids, known.offsets, place[number] if len(number) else number)
-    return out, begins[starts]
+def token_ids(texts: pa.Array, path: str, pattern: str = PATTERN) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a block of texts one after another, and where each text's begin, as the tokenizers
+    library gives them for a byte-level file: merges in order, special strings as their own ids."""
+    merges, special = merge_file(path)
+    texts = pc.fill_null(texts, "")
+    if not special:
+        return encode_block(texts, pattern, merges)
+    cuts = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
+    odd = pc.match_substring_regex(texts, cuts.pattern).to_numpy(zero_copy_only=False)
+    if not odd.any():
+        return encode_block(texts, pattern, merges)
+    # texts with special strings are cut there, and the ids of their parts put together again
+    parts = [cuts.split(t.as_py()) if o else [t.as_py()] for t, o in zip(texts, odd.tolist())]
+    ids, starts = encode_block(pa.array([x for p in parts for x in p[::2]], pa.string()), pattern, merges)
+    out, at = [], 0
+    for p in parts:
+        row = []
+        for k, x in enumerate(p):
+            if k % 2:
+                row.append(np.array([special[x]], ids.dtype))
+            else:
+                row.append(ids[starts[at]:starts[at + 1]])
+                at += 1
+        out.append(np.concatenate(row))
+    begins = np.zeros(len(out) + 1, np.int64)
+    np.cumsum([len(x) for x in out], out=begins[1:])
+    return np.concatenate(out), begins
 
 
 def cut(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, with_ids: bool = False,
@@ -90,11 +74,10 @@ def cut(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, with_
     """Pieces of all documents: ``doc_id, piece, start, length, ids_crc32, piece_id`` (a number of its
     own) and, if asked for, ``ids``. ``path``: a tokenizer file readable on the executors."""
     def run(batches):
-        known = unit_ids(path)
         number = TaskContext.get().partitionId() << 33
         for block in blocks(batches, "t"):
-            ids, starts = token_ids(block.column("t"), known)
-            ids = np.insert(ids, starts[1:], np.uint32(end_id))
+            ids, starts = token_ids(block.column("t"), path)
+            ids = np.insert(ids.astype(np.uint32), starts[1:], np.uint32(end_id))
             starts = starts + np.arange(len(starts))
             rows, piece, begin, length, crc, parts = [], [], [], [], [], []
             for row, (lo, hi) in enumerate(zip(starts.tolist(), starts[1:].tolist())):

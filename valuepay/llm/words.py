@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20  # the arrays over a block take some thirty times as much memory
 
 
 class Numbers(dict):
@@ -38,7 +38,9 @@ def ragged(values: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[n
     sizes = (offsets[1:] - offsets[:-1])[rows]
     begins = np.zeros(len(rows) + 1, np.int64)
     np.cumsum(sizes, out=begins[1:])
-    at = np.arange(begins[-1], dtype=np.int64) + np.repeat(offsets[:-1][rows] - begins[:-1], sizes)
+    kind = np.int32 if max(len(values), int(begins[-1])) < 1 << 31 else np.int64
+    at = np.repeat((offsets[:-1][rows] - begins[:-1]).astype(kind), sizes)
+    at += np.arange(begins[-1], dtype=kind)
     return values[at], begins
 
 
