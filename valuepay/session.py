@@ -21,9 +21,8 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # let AQE coalesce/split partitions inside persisted plans too (the fact and the
-    # per-person rollup are persisted while several queries read them)
-    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
+    # rows that a Python worker holds at once; whole texts make wide rows
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "3000",
 }
 
 
