@@ -75,13 +75,16 @@ def main() -> None:
     dim_plan = M.dim_customer(fact)
     dim_plan.write.parquet(f"{base}/marts/dim")
     dim = spark.read.parquet(f"{base}/marts/dim")
-    spark.catalog.clearCache()          # show plans from the tables, not from the threshold cache
-    prof = M.mart_hvc_payment_profile(fact, dim)
-    upl = M.mart_payment_uplift(fact, dim)
+    rollup_plan = M.segment_method_rollup(fact, dim)
+    rollup_plan.write.parquet(f"{base}/layers/segment_method")
+    rollup = spark.read.parquet(f"{base}/layers/segment_method")
+    prof = M.mart_hvc_payment_profile(fact, dim, rollup=rollup)
+    upl = M.mart_payment_uplift(fact, dim, rollup=rollup)
     items = [
         ("M1 dim_geolocation", geo_plan),
         ("M2 fct_order_payments", fact_plan),
         ("M3 dim_customer: per-person rollup (thresholds enter as literals)", M.customer_base(fact)),
+        ("Rollup per segment and method, which M4 and M6 share", rollup_plan),
         ("M4 mart_hvc_payment_profile", prof),
         ("M5 mart_geo_value", M.mart_geo_value(dim, geo)),
         ("M6 mart_payment_uplift", upl),
