@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from valuepay.llm.words import Numbers, blocks, ragged
 
+BLOCK_BYTES = 8 << 20  # a larger block holds fewer distinct words for its size
 NONE = np.int32(2**31 - 1)
 SHIFT = 20  # symbol ids of the tables used here stay below 2**20
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -283,7 +284,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     """
     def run(batches):
         m = rank_file(path)
-        for block in blocks(batches, "t"):
+        for block in blocks(batches, "t", BLOCK_BYTES):
             ids, starts = encode_block(block.column("t"), pattern, m)
             yield pa.RecordBatch.from_arrays(
                 [block.column("k"), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))],
@@ -316,7 +317,7 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str, key: str = "doc
         m = rank_file(path)
         token, decimal = m.symbols.__getitem__, [str(i) for i in range(len(m.symbols))].__getitem__
         sha = hashlib.sha256
-        for block in blocks(batches, "t"):
+        for block in blocks(batches, "t", BLOCK_BYTES):
             ids, starts = encode_block(block.column("t"), pattern, m)
             digests, decoded = [], []
             for lo, hi in zip(starts.tolist(), starts[1:].tolist()):

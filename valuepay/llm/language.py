@@ -35,7 +35,7 @@ CHAIN = 64
 BITS = 15  # buckets of each feature kind, as a power of two
 KINDS = 5  # n-grams of 1 to 4 bytes, and whole words
 EPOCHS = 25
-BLOCK_BYTES = 4 << 20  # text labelled at once; its words' features take some fifty times as much memory
+BLOCK_BYTES = 2 << 20  # text labelled at once; its words' features take some fifty times as much memory
 
 
 @dataclass

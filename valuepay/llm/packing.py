@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from valuepay.llm.bpe import encode_block, merge_file
+from valuepay.llm.bpe import BLOCK_BYTES, encode_block, merge_file
 from valuepay.llm.words import blocks
 from valuepay.session import scratch_path
 
@@ -75,7 +75,7 @@ def cut(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, with_
     own) and, if asked for, ``ids``. ``path``: a tokenizer file readable on the executors."""
     def run(batches):
         number = TaskContext.get().partitionId() << 33
-        for block in blocks(batches, "t"):
+        for block in blocks(batches, "t", BLOCK_BYTES):
             ids, starts = token_ids(block.column("t"), path)
             ids = np.insert(ids.astype(np.uint32), starts[1:], np.uint32(end_id))
             starts = starts + np.arange(len(starts))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 8 << 20  # the arrays over a block take some thirty times as much memory
+BLOCK_BYTES = 4 << 20  # the arrays over a block take some thirty times as much memory
 
 
 class Numbers(dict):
@@ -19,6 +20,15 @@ class Numbers(dict):
         return n
 
 
+def release() -> None:
+    """Give memory that is free inside this worker back to the system: workers live on between tasks,
+    and what one keeps is missing to the executor's other worker and its JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a block holds about ``limit`` bytes of text, one row at least."""
     for batch in batches:
@@ -30,6 +40,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
             hi = max(lo + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(lo, hi - lo)
             lo = hi
+        release()
 
 
 def ragged(values: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
