@@ -22,7 +22,7 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # rows that a Python worker holds at once; whole texts make wide rows
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "3000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2500",
 }
 
 
