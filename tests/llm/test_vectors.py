@@ -48,6 +48,27 @@ def test_near_vectors_equal_brute_force(spark):
     assert got[None]["component_id"] == 5 and not got[None]["kept"]
 
 
+def test_a_loose_group_far_larger_than_the_windows(spark):
+    rng = np.random.default_rng(11)
+    size, width = vectors.WINDOW * vectors.PASSES + 900, 64
+    center = rng.normal(size=width)
+    noise = rng.normal(size=(size, width)) * np.linalg.norm(center) / 8 * rng.uniform(0.17, 0.24, (size, 1))  # no two collapse
+    x = np.float32([*(center + noise), *rng.normal(size=(300, width)), *[center + noise[0]] * 3])
+    df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r for r in vectors.near_vectors(df).collect()}
+    m = x.astype(float)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    hit = m @ m.T >= 0.95
+    np.fill_diagonal(hit, False)
+    links = hit.sum(axis=1)
+    assert 0.2 < hit[:size, :size].mean() < 0.99
+    assert sum(r["n_links"] for r in got.values()) == links.sum()
+    assert [got[i]["n_links"] for i in range(len(x))] == links.tolist()
+    root = union_find(len(x), ((i, j) for i in range(len(x)) for j in np.flatnonzero(hit[i])[:1].tolist()))
+    whole = {i for i in range(len(x)) if links[i]}
+    assert {got[i]["component_id"] for i in whole} == {root[i] for i in whole} == {min(whole)}
+
+
 def test_near_vectors_of_an_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_vectors(df).count() == 0

@@ -11,6 +11,13 @@ pair being written. Collapsing is repeated while it helps. The linking passes or
 two near balls either all pairs of members are linked, or none, or the members are compared in blocks that
 write one count per member. Rows stay in proportion to vectors however large a group is.
 
+A large group too loose to collapse would outgrow the windows. So a leader that links with ``DENSE`` others
+of one window writes no pairs: it is dense, leaves the order, and the passes go on without it until they
+find no other. Every member of a dense ball then meets every vector that can link with it: members belong
+to the cell of their nearest pivot, a vector is a candidate of each cell whose pivot lies within the cell's
+radius and the linking angle (the triangle inequality again, so none is lost), and members and candidates
+are compared in chunks that write one count per vector.
+
 Defined results: a vector that is null, empty, zero, or holds a null or non-finite component links with
 nothing and is its own component; vectors of different length never link; equal vectors link; rows with
 one id are vectors of their own; ids that are null are passed over in the smallest id of a component; an
@@ -32,6 +39,7 @@ WINDOW = 256  # neighbours that a vector is compared with, before it
 PASSES = 16  # linking passes
 COLLAPSES = 8  # collapsing passes at most
 KEY_BITS = 48
+DENSE = 64  # linked leaders in one window from which on a leader is compared exactly
 CHUNK = 2048  # members of a ball compared at once
 MARGIN = 1e-6  # angle by which balls are kept smaller than proven
 
@@ -129,7 +137,8 @@ def collapse(rows: DataFrame, seed: int, limit: float) -> DataFrame:
 
 def near_pairs(leaders: DataFrame, passes: list[int], link: float) -> DataFrame:
     """Pairs of leaders whose balls may hold linked members: ``a, b`` (a < b), their angle ``theta`` and
-    the balls' radii ``ra, rb``."""
+    the balls' radii ``ra, rb``. A dense leader has a row with ``b`` null instead of the pairs with those
+    before it."""
     def run(batches):
         tag, tail = None, None
         for batch in batches:
@@ -144,6 +153,13 @@ def near_pairs(leaders: DataFrame, passes: list[int], link: float) -> DataFrame:
                     theta = angle(own[1] @ x.T)
                     near = theta <= link + own[2][:, None] + r[None, :] + MARGIN
                     near &= np.arange(len(uid))[None, :] < np.arange(len(own[0]))[:, None] + skip
+                    dense = (theta <= link).sum(axis=1) > DENSE  # itself among them
+                    near[dense] = False
+                    if dense.any():
+                        full = own[0][dense]
+                        gap = pa.nulls(len(full), pa.float64())
+                        yield pa.RecordBatch.from_arrays([pa.array(full), pa.nulls(len(full), pa.int64()), gap, gap, gap],
+                                                         names=["a", "b", "theta", "ra", "rb"])
                     i, j = np.nonzero(near)
                     if len(i):
                         flip = own[0][i] > uid[j]
@@ -185,6 +201,112 @@ def compare_members(pairs: DataFrame, members: DataFrame, sizes: DataFrame, cosi
             .applyInPandas(run, "a bigint, b bigint, uid bigint, links bigint"))
 
 
+def apart(x: np.ndarray, cosine: float) -> np.ndarray:
+    """Numbers of rows such that every row has one of them at ``cosine`` or more."""
+    free, picked = np.ones(len(x), bool), []
+    while free.any():
+        picked.append(int(free.argmax()))
+        free &= x @ x[picked[-1]] < cosine
+        free[picked[-1]] = False
+    return np.array(picked, int)
+
+
+def pivots(dense: DataFrame, link: float) -> dict[int, np.ndarray]:
+    """Unit vectors, by width, around which the cells of the dense leaders ``v`` lie: those of a partition,
+    then those of all, lie more than twice the linking angle apart, so each has ``DENSE`` leaders of its own."""
+    cosine = float(np.cos(min(2 * link, np.pi)))
+
+    def spread(x: list[np.ndarray]) -> list[np.ndarray]:
+        by_width = [np.stack([v for v in x if len(v) == w]) for w in sorted({len(v) for v in x})]
+        return [v for m in by_width for v in m[apart(m, cosine)]]
+
+    def run(batches):
+        kept = []
+        for batch in batches:
+            kept = spread(kept + [units(np.array([v]))[0] for v in batch.column("v").to_pylist()])
+        if kept:
+            yield pa.RecordBatch.from_arrays([pa.array([v.tolist() for v in kept], pa.list_(pa.float64()))], names=["v"])
+
+    kept = spread([np.array(r["v"]) for r in dense.select("v").mapInArrow(run, "v array<double>").collect()])
+    return {w: np.stack([v for v in kept if len(v) == w]) for w in {len(v) for v in kept}}
+
+
+def of_width(batches):
+    """Rows of one vector length at a time."""
+    for batch in batches:
+        width = batch.column("v").value_lengths().to_numpy(zero_copy_only=False)
+        for w in np.unique(width).tolist():
+            part = batch.filter(pa.array(width == w))
+            yield w, part, units(matrix(part.column("v")))
+
+
+def compare_dense(vectors: DataFrame, around: dict[int, np.ndarray], link: float, cosine: float) -> DataFrame:
+    """Links of the vectors ``uid, ball, dense, v`` with the dense ones among them: ``uid, ball, links, root``.
+    ``links`` of a dense vector counts all its links, of another those with dense vectors; ``root`` is a ball
+    that it is linked with. A vector has a row for each pair of chunks in which it has a link."""
+    spark = vectors.sparkSession
+    first = dict(zip(around, np.cumsum([0, *[len(p) for p in around.values()]]).tolist()))  # number of a width's first cell
+
+    def nearest(batches):
+        for w, part, x in of_width(batches):
+            theta = angle(x @ around[w].T)
+            yield pa.RecordBatch.from_arrays([pa.array(theta.argmin(axis=1) + first[w]), pa.array(theta.min(axis=1))], names=["cell", "far"])
+
+    reach = {r["cell"]: r["far"] for r in vectors.filter("dense").select("v").mapInArrow(nearest, "cell bigint, far double")
+             .groupBy("cell").agg(F.max("far").alias("far")).collect()}
+
+    def deal(batches):
+        for w, part, x in of_width(batches):
+            if w not in around:
+                continue
+            theta = angle(x @ around[w].T)
+            limit = np.array([reach.get(first[w] + k, -np.inf) for k in range(theta.shape[1])]) + link + MARGIN
+            i, cell = np.nonzero(theta <= limit)
+            dense = np.flatnonzero(part.column("dense").to_numpy(zero_copy_only=False))
+            for rows, cells, own in ((i, cell, False), (dense, theta[dense].argmin(axis=1), True)):
+                yield pa.RecordBatch.from_arrays([*part.take(pa.array(rows)).columns, pa.array(cells + first[w]), pa.array(np.full(len(rows), own))],
+                                                 names=[*part.schema.names, "cell", "own"])
+
+    path = scratch_path(spark, "vectors-cells")
+    vectors.select("uid", "ball", "dense", "v").mapInArrow(
+        deal, "uid bigint, ball bigint, dense boolean, v array<double>, cell bigint, own boolean").write.parquet(path)
+    dealt = spark.read.parquet(path)
+    part = lambda own: F.ceil(F.sum((F.col("own") == own).cast("int")) / CHUNK).cast("int")
+    parts = dealt.groupBy("cell").agg(part(True).alias("px"), part(False).alias("py")).filter("px > 0")  # a row per pivot
+
+    def side(own: bool) -> DataFrame:
+        mine, theirs, count, other = ("cx", "cy", "px", "py") if own else ("cy", "cx", "py", "px")
+        return (dealt.filter(F.col("own") == own).join(F.broadcast(parts), "cell")
+                .withColumn(mine, F.pmod(F.xxhash64("uid"), F.col(count)).cast("int"))
+                .withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+                .select("cell", "cx", "cy", "own", "uid", "ball", "dense", "v"))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        x, y = rows[rows["own"]], rows[~rows["own"]]
+        if not len(x) or not len(y):
+            return pd.DataFrame({"uid": [], "ball": [], "links": [], "root": []})
+        hit = units(np.stack(x["v"].to_numpy())) @ units(np.stack(y["v"].to_numpy())).T >= cosine
+        hit &= x["uid"].to_numpy()[:, None] != y["uid"].to_numpy()[None, :]
+        root_x, root_y = np.full(len(x), -1, np.int64), np.full(len(y), -1, np.int64)
+        ball = x["ball"].to_numpy()
+        for i in np.flatnonzero(hit.any(axis=1)).tolist():
+            if root_x[i] >= 0:
+                continue
+            new = np.array([i])
+            while len(new):  # one step to the other side and back
+                root_x[new] = ball[i]
+                over = hit[new].any(axis=0) & (root_y < 0)
+                root_y[over] = ball[i]
+                new = np.flatnonzero(hit[:, over].any(axis=1) & (root_x < 0))
+        both = pd.concat((x, y))
+        links = np.concatenate((hit.sum(axis=1), np.where(y["dense"], 0, hit.sum(axis=0))))
+        root = np.concatenate((root_x, root_y))
+        return pd.DataFrame({"uid": both["uid"].to_numpy(), "ball": both["ball"].to_numpy(), "links": links, "root": root})[root >= 0]
+
+    return (side(True).unionByName(side(False)).groupBy("cell", "cx", "cy")
+            .applyInPandas(run, "uid bigint, ball bigint, links bigint, root bigint"))
+
+
 def near_vectors(vectors: DataFrame, cosine: float = 0.95, passes: int = PASSES, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """One row per vector: ``vec_id, n_links`` (other vectors at ``cosine`` or more that were found),
     ``component_id`` (smallest id reachable by links) and ``kept`` (whether that is its own id)."""
@@ -218,24 +340,47 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, passes: int = PASSES,
     ball = written(ball, "vectors-balls")
     sizes = ball.groupBy("ball").agg(F.count(F.lit(1)).alias("size"))
 
-    # near balls: linked as a whole, or member by member
-    pairs = written(near_pairs(leaders, list(range(passes)), link), "vectors-pairs")
+    # near balls: linked as a whole, or member by member; dense leaders leave the order
+    dense, found, tried = spark.createDataFrame([], "ball bigint"), None, 0
+    while True:
+        sparse = leaders.join(dense, leaders["uid"] == dense["ball"], "left_anti")
+        new = written(near_pairs(sparse, list(range(tried, tried + passes)), link), f"vectors-pairs{tried}")
+        found, tried = new if found is None else found.union(new), tried + passes
+        full = new.filter("b is null").select(F.col("a").alias("ball"))
+        if full.isEmpty():
+            break
+        dense = written(dense.union(full), f"vectors-dense{tried}")
+    pairs = found.filter("b is not null").dropDuplicates(["a", "b"])
+    for end in ("a", "b"):
+        pairs = pairs.join(dense, pairs[end] == dense["ball"], "left_anti")
+    pairs = written(pairs, "vectors-pairs")
     whole = pairs.filter(F.col("theta") + F.col("ra") + F.col("rb") <= (link - MARGIN if cosine < 1 else -1.0))
     undecided = pairs.join(whole.select("a", "b"), ["a", "b"], "left_anti")
     needed = undecided.select(F.col("a").alias("ball")).union(undecided.select(F.col("b").alias("ball"))).distinct()
     members = ball.join(needed, "ball", "left_semi").join(valid.select("uid", "v"), "uid")
     counted = written(compare_members(undecided, members, sizes, cosine), "vectors-counts")
 
+    # members of dense balls: exactly
+    crowd = spark.createDataFrame([], "uid bigint, ball bigint, links bigint, root bigint")
+    if not dense.isEmpty():
+        marked = ball.join(dense.withColumn("dense", F.lit(True)), "ball", "left").withColumn("dense", F.coalesce("dense", F.lit(False)))
+        around = pivots(leaders.join(dense, leaders["uid"] == dense["ball"], "left_semi"), link)
+        crowd = written(compare_dense(marked.join(valid.select("uid", "v"), "uid"), around, link, cosine), "vectors-crowd")
+
     both = whole.select("a", "b").union(whole.select(F.col("b").alias("a"), F.col("a").alias("b")))
     of_ball = (both.join(sizes.withColumnRenamed("ball", "b"), "b").groupBy("a").agg(F.sum("size").alias("near"))
                .withColumnRenamed("a", "ball"))
     of_member = counted.groupBy("uid").agg(F.sum("links").alias("some"))
-    linked = whole.select("a", "b").union(counted.select("a", "b").distinct())
+    of_crowd = crowd.groupBy("uid").agg(F.sum("links").alias("crowd"))
+    linked = (whole.select("a", "b").union(counted.select("a", "b").distinct())
+              .union(crowd.select(F.col("ball").alias("a"), F.col("root").alias("b")).distinct()))
     part = components(linked).select(F.col("id").alias("ball"), F.col("component").alias("root"))
 
+    by_ball = F.col("size") - 1 + F.coalesce("near", F.lit(0)) + F.coalesce("some", F.lit(0))
     found = (ball.join(sizes, "ball").join(of_ball, "ball", "left").join(part, "ball", "left").join(of_member, "uid", "left")
+             .join(of_crowd, "uid", "left").join(dense.withColumn("dense", F.lit(True)), "ball", "left")
              .select("uid", F.coalesce("root", "ball").alias("root"),
-                     (F.col("size") - 1 + F.coalesce("near", F.lit(0)) + F.coalesce("some", F.lit(0))).alias("n_links")))
+                     (F.when(F.col("dense"), 0).otherwise(by_ball) + F.coalesce("crowd", F.lit(0))).alias("n_links")))
     named = rows.select("uid", "id").join(found, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))
     return named.join(least, "root").select(
