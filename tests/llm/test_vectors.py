@@ -69,6 +69,20 @@ def test_a_loose_group_far_larger_than_the_windows(spark):
     assert {got[i]["component_id"] for i in whole} == {root[i] for i in whole} == {min(whole)}
 
 
+def test_passes_go_on_until_nothing_new_is_found(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    near = 0.955 * x + np.sqrt(1 - 0.955**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate([*x, *near])], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["component_id"] for r in vectors.near_vectors(df, passes=1).collect() if r["n_links"] == 1}
+    assert got == {i: i % 3000 for i in range(6000)}
+    link = float(np.arccos(0.95))
+    assert vectors.passes_for(100, link) == 1 < vectors.passes_for(50_000, link) < vectors.passes_for(2_000_000, link)
+
+
 def test_near_vectors_of_an_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_vectors(df).count() == 0

@@ -2,7 +2,8 @@
 
 A pass hashes every vector to one bit per random projection, concatenates the bits into a key, orders all
 vectors by it and compares each with a bounded window of neighbours. Pairs missed in one pass are found
-in another; the pairs of all passes are united.
+in another; the pairs of all passes are united. The number of passes follows from that of the leaders, and
+more are added until a round of them finds nothing new.
 
 A window alone would lose links in a large group of near copies. So the first passes collapse: within a
 block of neighbours a vector joins the ball of a leader if all its ball lies within half the linking angle
@@ -36,7 +37,8 @@ from valuepay.llm.components import components
 from valuepay.session import scratch_path
 
 WINDOW = 256  # neighbours that a vector is compared with, before it
-PASSES = 16  # linking passes
+PASSES = 16  # linking passes at least
+MISS = 1e-4  # chance of missing an isolated pair at the limit by which the number of passes is set
 COLLAPSES = 8  # collapsing passes at most
 KEY_BITS = 48
 DENSE = 64  # linked leaders in one window from which on a leader is compared exactly
@@ -44,6 +46,13 @@ CHUNK = 2048  # members of a ball compared at once
 MARGIN = 1e-6  # angle by which balls are kept smaller than proven
 
 
+def passes_for(leaders: int, link: float) -> int:
+    """Passes after which an isolated pair at the linking angle is missed with chance ``MISS``, if signs
+    halve the order evenly: a pass finds it when its first signs, down to a window, agree."""
+    found = (1 - link / np.pi) ** np.log2(max(leaders / WINDOW, 1))
+    return 1 if found > 1 - MISS else int(np.ceil(np.log(MISS) / np.log1p(-found)))
+
+
 def projections(seed: int, width: int) -> np.ndarray:
     return np.random.default_rng((seed, width)).standard_normal((width, KEY_BITS))
 
@@ -341,16 +350,20 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, passes: int = PASSES,
     sizes = ball.groupBy("ball").agg(F.count(F.lit(1)).alias("size"))
 
     # near balls: linked as a whole, or member by member; dense leaders leave the order
-    dense, found, tried = spark.createDataFrame([], "ball bigint"), None, 0
+    dense, found, tried, more = spark.createDataFrame([], "ball bigint"), None, 0, max(passes, passes_for(count, link))
     while True:
         sparse = leaders.join(dense, leaders["uid"] == dense["ball"], "left_anti")
-        new = written(near_pairs(sparse, list(range(tried, tried + passes)), link), f"vectors-pairs{tried}")
-        found, tried = new if found is None else found.union(new), tried + passes
+        new = near_pairs(sparse, list(range(tried, tried + more)), link)
+        if found is not None:
+            new = new.join(found.select("a", "b"), ["a", "b"], "left_anti")
+        new = written(new, f"vectors-pairs{tried}")
+        found, tried, more = new if found is None else found.union(new), tried + more, max(4, more // 4) if found is None else more
         full = new.filter("b is null").select(F.col("a").alias("ball"))
-        if full.isEmpty():
+        if not full.isEmpty():
+            dense = written(dense.union(full), f"vectors-dense{tried}")
+        if new.isEmpty():
             break
-        dense = written(dense.union(full), f"vectors-dense{tried}")
-    pairs = found.filter("b is not null").dropDuplicates(["a", "b"])
+    pairs = found.filter("b is not null")
     for end in ("a", "b"):
         pairs = pairs.join(dense, pairs[end] == dense["ball"], "left_anti")
     pairs = written(pairs, "vectors-pairs")
