@@ -359,6 +359,35 @@ def test_licence_spans_survive_small_edits(spark):
     assert licences.scan(empty(spark)).count() == 0
 
 
+def test_licence_spans_survive_stray_phrases(spark):
+    notice = licences.TEMPLATES[1][0]
+    stray = notice.replace("documentation files", "documentation files copies of the software")
+    early = notice.replace("without restriction", "without restriction to any person")
+    rows = [(1, stray, None), (2, f"{stray} and so on and so on and so on {early} {notice}", None), (3, " ".join([licences.TEMPLATES[0][0]] * 40), None)]
+    got = by_id(licences.scan(frame(spark, rows)))
+    size = len(notice.split())
+    assert (got[1]["labels"], got[1]["score"]) == ("mit", 1.0)
+    assert [(s["start"], s["end"], s["coverage"]) for s in got[1]["spans"]] == [(0, size + 4, 1.0)]
+    ends = np.cumsum([size + 4, 9, size + 3, size]).tolist()
+    assert [(s["start"], s["end"], s["coverage"]) for s in got[2]["spans"]] == [(0, ends[0], 1.0), (ends[1], ends[2], 1.0), (ends[2], ends[3], 1.0)]
+    assert [(s["start"], s["end"]) for s in got[3]["spans"]] == [(5 * k, 5 * k + 5) for k in range(40)]
+
+
+def test_best_chains_equal_enumeration():
+    rng = random.Random(8)
+    for _ in range(300):
+        ends = sorted(rng.sample(range(3, 40), rng.randint(1, 7)))
+        places = [(e - rng.randint(1, 3), e, rng.randint(3, 14)) for e in ends]
+        best = {}
+        for mask in range(1, 1 << len(places)):
+            chain = [p for i, p in enumerate(places) if mask >> i & 1]
+            steps = [(b[0] - a[1] <= 6, min(b[1] - b[0], b[2] - a[2], b[1] - a[1])) for a, b in zip(chain, chain[1:])]
+            if all(near and fresh > 0 for near, fresh in steps):
+                weight = chain[0][1] - chain[0][0] + sum(fresh for _, fresh in steps)
+                best[chain[-1]] = max(best.get(chain[-1], (0, 0)), (weight, chain[0][0]))
+        assert [c[:2] for c in licences.best_chains(places, 6)] == [best[p] for p in places]
+
+
 def test_matching_statistics_equal_brute_force():
     a = licences.Automaton((("a b c a b d", "x"), ("b c b c a", "y")), (("c a", "z"),))
     rng = random.Random(4)

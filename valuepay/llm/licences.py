@@ -3,8 +3,9 @@
 The words of all templates and base phrases form one automaton. A document's words are streamed through
 it, which gives the matching statistics: for each word, the length of the longest run ending there that
 stands in some template, and where. Runs of at least ``least`` words that cannot be extended are chained
-per template, in order in both the document and the template and with bounded gaps, into spans, and a
-template is found where a chain covers enough of its words. Base phrases are read off the same states.
+per template, in order in both the document and the template and with bounded gaps, into the chains that
+cover most words, and a template is found where a chain covers enough of its words. A stray run costs no
+more than the gap that it fills. Base phrases are read off the same states.
 
 Only runs of words whose neighbouring pairs stand in a template can match two words or more, so other
 places are passed over with array operations; their statistic is 0 or 1.
@@ -15,6 +16,7 @@ repeated rows give repeated rows; an empty table gives an empty result; other co
 
 from __future__ import annotations
 
+from bisect import bisect
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -176,35 +178,49 @@ class Automaton:
         return phrases, self._chain(runs, gap, cover)
 
     def _chain(self, runs: list[tuple[int, int, int]], gap: int, cover: float) -> list[Span]:
-        """Long runs, in reading order, chained per template into spans."""
-        found = []
-        open_chains: dict[int, tuple[int, int, int, int]] = {}  # template: start, end, end in it, words covered
-
-        def close(k):
-            start, end, _, covered = open_chains.pop(k)
-            share = covered / len(self.templates[k][0])
-            if share >= cover:
-                found.append(Span(self.templates[k][1], start, end, min(1.0, share)))
-
+        """Long runs, in reading order, chained per template into spans: of the chains that cover enough,
+        the heaviest first, those that share no word of the document."""
+        places: dict[int, list[tuple[int, int, int]]] = {}  # template: start, end, end in it
         for start, end, state in runs:
-            options: dict[int, list[int]] = {}
             for k, at in self.ends[state]:
-                options.setdefault(k, []).append(at)
-            for k, ends in options.items():
-                size = end - start
-                if k in open_chains:
-                    first, last, inside, covered = open_chains[k]
-                    on = [e for e in ends if e > inside]
-                    if start - last <= gap and on:
-                        new = min(on)
-                        fresh = min(size, new - inside, end - last)
-                        open_chains[k] = (first, end, new, covered + max(0, fresh))
+                places.setdefault(k, []).append((start, end, at))
+        found = []
+        for k, left in places.items():
+            whole = len(self.templates[k][0])
+            while left:
+                taken = []  # (start, end), in order
+                for covered, start, end in sorted(best_chains(left, gap), key=lambda c: (-c[0], -c[1], c[2])):
+                    if covered < cover * whole:
+                        break
+                    i = bisect(taken, (start, end))
+                    if (i and taken[i - 1][1] > start) or (i < len(taken) and taken[i][0] < end):
                         continue
-                    close(k)
-                open_chains[k] = (start, end, min(ends), size)
-        for k in list(open_chains):
-            close(k)
-        return found
+                    taken.insert(i, (start, end))
+                    found.append(Span(self.templates[k][1], start, end, min(1.0, covered / whole)))
+                if not taken:
+                    break
+                ends = [end for _, end in taken]
+                after = [bisect(ends, start) for start, _, _ in left]  # the first span that ends after the run's start
+                left = [p for p, i in zip(left, after) if i == len(taken) or taken[i][0] >= p[1]]
+        return sorted(found, key=lambda s: (s.start, s.end, s.label))
+
+
+def best_chains(places: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int, int]]:
+    """For each place ``start, end, end in the template`` (by end) the heaviest chain that ends there, as
+    ``words covered, start, end``: places follow in the document, within ``gap`` words, and in the
+    template; words that overlap count once. Of equal chains the one that starts last."""
+    best = []
+    for i, (start, end, at) in enumerate(places):
+        weight, first = end - start, start
+        for j in range(i - 1, -1, -1):
+            _, before, inside = places[j]
+            if start - before > gap:
+                break
+            fresh = min(end - start, at - inside, end - before)
+            if fresh > 0 and (best[j][0] + fresh, best[j][1]) > (weight, first):
+                weight, first = best[j][0] + fresh, best[j][1]
+        best.append((weight, first, end))
+    return best
 
 
 @lru_cache(maxsize=4)
