@@ -24,7 +24,8 @@ def _ready(spark: SparkSession) -> None:
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the model can tell; texts without a letter go."""
+    """Documents whose language the model can tell; texts without a letter go, and nothing else where no
+    row has a label to learn from."""
     _ready(spark)
     return language.accepted(docs, language.train(docs))
 

@@ -1,6 +1,7 @@
 """The corpus pipeline: every stage on what the one before kept, and its end against brute force."""
 
 import public_tokenizers as P
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -33,6 +34,14 @@ def test_no_repeat_is_left_in_the_kept_texts(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in rows)
 
 
+def test_documents_without_labels_stay(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    odd = spark.createDataFrame([(-1, None, None, None, None), (-2, "12 34 !", None, None, 7), (-3, "", None, None, 0)], docs.schema)
+    bare = docs.withColumn("lang", F.lit(None).cast("string")).union(odd)
+    kept = corpus_pipeline.keep_known_language(spark, bare, SF001).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(r["doc_id"] for r in docs.collect())
+
+
 def test_an_empty_table_passes_through(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

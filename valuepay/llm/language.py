@@ -233,12 +233,18 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 
 def accepted(docs: DataFrame, model: Model, languages: tuple[str, ...] | None = None, text: str = "text") -> DataFrame:
     """The documents, columns as they are, whose predicted language is one of ``languages`` (default: any
-    the model knows); texts without a letter go."""
+    the model knows); texts without a letter go. A model that learned no label rejects nothing else by
+    default."""
     wanted = np.array([languages is None or x in languages for x in model.labels] + [False])
+    unlearned = not model.labels and languages is None
     place = docs.columns.index(text)
 
     def run(batches):
         for block in blocks(batches, place, BLOCK_BYTES):
-            yield block.filter(pa.array(wanted[classify(block.column(place), model)[0]]))
+            if unlearned:
+                stays = pc.fill_null(pc.match_substring_regex(block.column(place), r"\pL"), False)
+            else:
+                stays = pa.array(wanted[classify(block.column(place), model)[0]])
+            yield block.filter(stays)
 
     return docs.mapInArrow(run, docs.schema)
