@@ -269,6 +269,18 @@ def test_simhash_equals_brute_force(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.one_of_each(empty(spark)).count() == 0
 
 
+def test_one_row_of_each_near_group_stays(spark):
+    base = prose(5, 400).split()
+    near = [" ".join([*base[:k * 9], f"new{k}", *base[k * 9 + 1:]]) for k in range(8)]
+    rows = [(10 + k, t, None) for k, t in enumerate(near)] + [(10, near[0], None)] * 30
+    rows += [(100, prose(1, 50), "en"), (None, prose(2, 50), "en"), (None, prose(2, 50), "en"), (7, None, None), (7, None, None)]
+    root = brute_components([brute_print(t) for _, t, _ in rows])
+    want = sorted((min((r[0] for r, q in zip(rows, root) if q == c and r[0] is not None), default=None) for c in set(root)), key=repr)
+    df = frame(spark, rows)
+    kept = simhash.one_of_each(df)
+    assert kept.columns == df.columns and sorted((r["doc_id"] for r in kept.collect()), key=repr) == want
+
+
 def test_golay_keys_find_every_pair_within_three_bits():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 2**63, 200, dtype=np.uint64)

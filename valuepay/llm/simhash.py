@@ -246,8 +246,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, key: s
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, the first of each group of near duplicates, with all their columns."""
-    gone = classes(docs, shingle, distance, key, text).filter(
-        ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("tx") == F.col("first.tx")))).select("id", "tx")
-    body = F.xxhash64(F.col(text).cast("string"))
-    return docs.join(gone, docs[key].eqNullSafe(gone["id"]) & (body == gone["tx"]), "left_anti")
+    """The documents that stay, the first of each group of near duplicates, with all their columns; of
+    rows that share id and text with the first, one."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "simhash-classes")
+    (classes(docs, shingle, distance, key, text)
+     .select("id", "tx", (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("tx") == F.col("first.tx"))).alias("leads"))
+     .write.parquet(path))
+    found = spark.read.parquet(path)
+    # the document's columns stay apart from those made here
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("row_id"), F.xxhash64(F.col(text).cast("string")).alias("row_tx"))
+
+    def same(few: DataFrame):
+        return F.col("row_id").eqNullSafe(few["id"]) & (F.col("row_tx") == few["tx"])
+
+    gone = found.filter(~F.col("leads")).select("id", "tx")
+    stay = rows.join(gone, same(gone), "left_anti")
+    repeated = found.filter("leads").groupBy("id", "tx").count().filter("count > 1").select("id", "tx")
+    if not repeated.isEmpty():
+        one = stay.join(repeated, same(repeated), "left_semi").groupBy("row_id", "row_tx").agg(F.first("row").alias("row"))
+        stay = stay.join(repeated, same(repeated), "left_anti").select("row").unionByName(one.select("row"))
+    return stay.select("row.*")
