@@ -203,6 +203,16 @@ def test_slots_fill_shards_evenly(docs, real):
         assert max(load) - min(load) <= max(largest, 0.01 * sum(load))
 
 
+def test_slots_with_rows_repeated_whole(spark):
+    rows = [(1, prose(3, 900), None)] * 300 + [(i, prose(i, 100), None) for i in range(10, 60)] + [(None, None, None)] * 20
+    got = slots.shard_documents(frame(spark, rows), shards=4, slots=512).collect()
+    assert sorted((repr(r["doc_id"]), r["size"]) for r in got) == sorted((repr(i), len(t or "") + 8) for i, t, _ in rows)
+    load = [sum(r["size"] for r in got if r["shard"] == s) for s in range(4)]
+    assert max(load) - min(load) <= 0.01 * sum(load) + slots.PART_BYTES
+    for s in range(4):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+
+
 def test_slots_of_an_empty_table(spark):
     assert slots.shard_documents(empty(spark), shards=3, slots=64).count() == 0
 

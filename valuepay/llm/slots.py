@@ -21,20 +21,29 @@ from pyspark.sql import functions as F
 from valuepay.session import scratch_path
 
 SLOTS = 8192
+PART_BYTES = 1 << 16  # bytes of a row repeated whole that share a slot, one row at least
 
 
 def slotted(docs: DataFrame, slots: int = SLOTS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, size, text_crc32, virtual_slot`` of every row."""
+    """``doc_id, size, text_crc32, part, times, virtual_slot``: rows repeated whole are one row, ``times``
+    over, for each part of them."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).alias("doc_id"), (F.octet_length(body) + F.lit(8)).cast("bigint").alias("size"),
                        F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"))
-    return rows.withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(slots)).cast("int"))
+    most = F.greatest(F.floor(F.lit(PART_BYTES) / F.col("size")), F.lit(1)).cast("bigint")  # repeats in a part
+    parts = (rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n")).withColumn("most", most)
+             .withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / F.col("most")).cast("bigint"))))
+             .withColumn("times", F.least("most", F.col("n") - F.col("part") * F.col("most"))))
+    first = F.xxhash64("doc_id", "text_crc32")
+    return (parts.withColumn("virtual_slot", F.pmod(F.when(F.col("part") == 0, first).otherwise(F.xxhash64("doc_id", "text_crc32", "part")),
+                                                    F.lit(slots)).cast("int"))
+            .select("doc_id", "size", "text_crc32", "part", "times", "virtual_slot"))
 
 
 def slot_sizes(rows: DataFrame, slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and rows of each slot; at most ``slots`` rows come to the driver."""
     size, count = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
-    for r in rows.groupBy("virtual_slot").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect():
+    for r in rows.groupBy("virtual_slot").agg(F.sum(F.col("size") * F.col("times")).alias("b"), F.sum("times").alias("n")).collect():
         size[r["virtual_slot"]], count[r["virtual_slot"]] = r["b"], r["n"]
     return size, count
 
@@ -128,10 +137,11 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, key:
     dealt = first_map(slots, shards)
     store_map(spark, path, 1, dealt, size, count)
     store_map(spark, path, 2, rebalanced(dealt, size, shards), size, count)
-    in_slot = Window.partitionBy("virtual_slot").orderBy(F.asc_nulls_last("doc_id"), "text_crc32", "size")
+    in_slot = Window.partitionBy("virtual_slot").orderBy(F.asc_nulls_last("doc_id"), "text_crc32", "size", "part").rowsBetween(Window.unboundedPreceding, 0)
     current = F.broadcast(read_map(spark, path, 2).select("virtual_slot", "shard", "first"))  # ``slots`` rows
     return (
-        rows.withColumn("place", F.row_number().over(in_slot))
+        rows.withColumn("last", F.sum("times").over(in_slot))
+        .withColumn("place", F.explode(F.sequence(F.col("last") - F.col("times") + 1, F.col("last"))))
         .join(current, "virtual_slot")
         .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                 (F.col("first") + F.col("place") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
