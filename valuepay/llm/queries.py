@@ -1,4 +1,4 @@
-"""The ten registered queries: each applies its operator with production parameters to its whole
+"""The registered queries of the numbered operators: each applies its operator with production parameters to its whole
 table and derives the contract's columns. ``ORACLE`` holds DuckDB SQL where SQL can express one."""
 
 from __future__ import annotations
@@ -8,7 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from valuepay.llm import bpe, content_sort, language, licences, packing, pieces, simhash, slots, substrings, vectors
+from valuepay.llm import (
+    bpe, content_sort, divergence, language, licences, packing, pieces, simhash, slots, substrings, vectors,
+)
 from valuepay.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +65,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op11_row_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_difference_cover": op2_difference_cover,
@@ -74,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op8_island_packing": op8_island_packing,
     "op9_licence_scan": op9_licence_scan,
     "op10_token_counts": op10_token_counts,
+    "op11_row_accumulation": op11_row_accumulation,
 }
 
 ORACLE: dict[str, str] = {
@@ -117,4 +124,40 @@ ORACLE: dict[str, str] = {
         FROM n
         WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id)
     """,
+    "op11_row_accumulation": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+            FROM documents
+        ),
+        occ AS (SELECT r, lang, source, unnest(ts) AS term FROM d),
+        vocab AS (SELECT lang, term, count(*) AS lang_n FROM occ GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+        cnt AS (SELECT lang, source, term, count(*) AS n FROM occ SEMI JOIN vocab USING (lang, term) GROUP BY ALL),
+        langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS ln FROM vocab GROUP BY lang),
+        grp AS (SELECT DISTINCT lang, source FROM d),
+        tot AS (SELECT lang, source, sum(n) AS t FROM cnt GROUP BY ALL),
+        p AS (
+            SELECT g.lang, g.source, w.term, coalesce(c.n, 0) AS n,
+                   1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(t.t, 0) + 2 * l.v) AS p,
+                   1 + (1000000000::HUGEINT * (w.lang_n + 2)) // (l.ln + 2 * l.v) AS q
+            FROM grp g JOIN vocab w ON w.lang = g.lang JOIN langs l ON l.lang = g.lang
+            LEFT JOIN tot t ON t.lang = g.lang AND t.source = g.source
+            LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = w.term
+        ),
+        summed AS (
+            SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS s
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ),
+        out AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.s, 0)::BIGINT AS value
+            FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q
+        )
+        SELECT lang, source, part, item, value,
+               row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+        FROM out QUALIFY part = 'pair' OR rank <= 10
+    """,
 }

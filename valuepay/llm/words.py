@@ -85,3 +85,26 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     coded = flat.dictionary_encode()
     number = coded.indices.to_numpy(zero_copy_only=False)
     return coded.dictionary, number if full.all() else number[full], before[edges]
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of batches sorted by ``keys`` (not null), run by run of equal keys, whatever the batches' cuts."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows, bool)
+        for k in keys:
+            column = batch.column(k)
+            change[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        edges = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for lo, hi in zip(edges, edges[1:]):
+            key = [batch.column(k)[lo].as_py() for k in keys]
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
