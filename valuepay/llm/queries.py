@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from valuepay.llm import (
-    bpe, content_sort, divergence, language, licences, packing, pieces, simhash, slots, substrings, vectors,
+    bpe, content_sort, divergence, language, licences, line_repeats, packing, pieces, simhash, slots, substrings, vectors,
 )
 from valuepay.session import ship_package
 
@@ -69,6 +69,10 @@ def op11_row_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), min_docs=10, top=10)
 
 
+def op13_two_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_repeats.digests(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_difference_cover": op2_difference_cover,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op9_licence_scan": op9_licence_scan,
     "op10_token_counts": op10_token_counts,
     "op11_row_accumulation": op11_row_accumulation,
+    "op13_two_filters": op13_two_filters,
 }
 
 ORACLE: dict[str, str] = {
@@ -160,4 +165,17 @@ ORACLE: dict[str, str] = {
                row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
         FROM out QUALIFY part = 'pair' OR rank <= 10
     """,
+    "op13_two_filters": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+        line AS (SELECT r, unnest(ls) AS l, unnest(range(1, len(ls) + 1)) AS i FROM d),
+        keyed AS (
+            SELECT r, i, l, translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+            FROM line
+        ),
+        gone AS (SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10),
+        kept AS (SELECT r, count(*) AS n, string_agg(l, chr(10) ORDER BY i) AS t FROM keyed ANTI JOIN gone USING (k) GROUP BY r)
+        SELECT doc_id, len(ls) AS n_lines, len(ls) - coalesce(n, 0) AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)
+    """,
 }
