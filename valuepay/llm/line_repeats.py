@@ -194,12 +194,12 @@ def suspected_lines(rows: DataFrame, min_chars: int, limit: int = FILTER_BYTES)
     suspects = written(suspected_hashes(rows, min_chars), "suspected-hashes")
     keys = suspects.count()
     texts = rows.select("doc_id", "tx", "text")
-    ref = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in ("doc_id", "tx")])
-    schema = T.StructType(ref.fields).add("key", "string").add("at", T.ArrayType(T.IntegerType()))
+    ref = [T.StructField(c, rows.schema[c].dataType) for c in ("doc_id", "tx")]
+    schema = T.StructType([*ref]).add("key", "string").add("at", T.ArrayType(T.IntegerType()))
     if filter_bits(keys) // 8 <= limit:
         twice = rows.sparkSession.sparkContext.broadcast(twice_seen_filter(suspects, keys))
         return texts.mapInArrow(_suspected_lines(min_chars, twice), schema)
-    narrow = texts.mapInArrow(_block_narrow(min_chars), T.StructType(ref.fields).add("h", "long")).join(suspects, "h", "left_semi")
+    narrow = texts.mapInArrow(_block_narrow(min_chars), T.StructType([*ref]).add("h", "long")).join(suspects, "h", "left_semi")
     own = narrow.groupBy("doc_id", "tx").agg(F.collect_set("h").alias("own"))
     return _with(texts, own, False).mapInArrow(_suspected_lines(min_chars, None), schema)
 
