@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from valuepay.llm import (
-    bpe, content_sort, divergence, language, licences, line_repeats, packing, pieces, simhash, slots, substrings, vectors,
+    bpe, content_sort, divergence, language, licences, line_repeats, packing, pieces, simhash, slots, substrings, turn_trie,
+    vectors,
 )
 from valuepay.session import ship_package
 
@@ -69,6 +70,10 @@ def op11_row_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), min_docs=10, top=10)
 
 
+def op12_splitter_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.prefix_trie(turn_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def op13_two_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_repeats.digests(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op9_licence_scan": op9_licence_scan,
     "op10_token_counts": op10_token_counts,
     "op11_row_accumulation": op11_row_accumulation,
+    "op12_splitter_skeleton": op12_splitter_skeleton,
     "op13_two_filters": op13_two_filters,
 }
 
@@ -165,6 +171,50 @@ ORACLE: dict[str, str] = {
                row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
         FROM out QUALIFY part = 'pair' OR rank <= 10
     """,
+    "op12_splitter_skeleton": r"""
+        WITH t AS (
+            SELECT conv_id AS c, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                                      sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        byte AS (  -- CRC-32 of the id's digits, bit by bit, modulo 4: the two lowest bits
+            SELECT c, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                                  lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                                                           lambda r, z: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)) AS r
+            FROM (SELECT DISTINCT c FROM t)
+        ),
+        h AS (SELECT c, xor(r, 4294967295) % 4 AS h FROM byte),
+        seq AS (
+            SELECT h.c, 0 AS own, t.i, t.k, t.w FROM h JOIN t ON t.c = h.c - h.c % 20 AND t.i <= h.h
+            UNION ALL
+            SELECT h.c, 1, t.i, t.k, t.w FROM h JOIN t ON t.c = h.c AND t.i > h.h
+        ),
+        conv AS (
+            SELECT h.c, coalesce(list(k ORDER BY own, i) FILTER (WHERE k IS NOT NULL), []) AS ks, coalesce(list(w ORDER BY own, i) FILTER (WHERE k IS NOT NULL), []) AS ws
+            FROM h LEFT JOIN seq ON seq.c = h.c GROUP BY h.c
+        ),
+        place AS (
+            SELECT c, d, sha256(array_to_string(ks[1:d], ',')) AS node, CASE WHEN d > 0 THEN sha256(array_to_string(ks[1:d - 1], ',')) END AS up,
+                   CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w, len(ks) = d AS ends
+            FROM (SELECT c, ks, ws, unnest(range(0, len(ks) + 1)) AS d FROM conv)
+        ),
+        node AS (
+            SELECT node, d, any_value(up) AS up, min(c) AS c, count(*) AS n, (count(*) - 1) * any_value(w) AS s,
+                   sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS e
+            FROM place GROUP BY node, d
+        ),
+        kids AS (SELECT up AS node, d - 1 AS d, count(*) AS kids FROM node WHERE d > 0 GROUP BY ALL),
+        full_node AS (SELECT node.*, coalesce(kids, 0) AS kids FROM node LEFT JOIN kids USING (node, d)),
+        below AS (  -- every node with each node above it, itself included
+            SELECT a.node, a.d, sum(x.s) AS s, sum((x.kids = 0)::INT) AS leaves
+            FROM full_node x JOIN place a ON a.c = x.c AND a.d <= x.d GROUP BY ALL
+        )
+        SELECT x.c AS conv_id, x.d AS depth, p.c AS parent_conv_id, x.n AS n_convs, x.kids AS n_children, b.leaves::BIGINT AS n_leaves,
+               b.s::BIGINT AS saved_tokens, x.e AS ends_sha256
+        FROM full_node x JOIN below b ON b.node = x.node AND b.d = x.d LEFT JOIN full_node p ON p.node = x.up AND p.d = x.d - 1
+    """,
     "op13_two_filters": r"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
         line AS (SELECT r, unnest(ls) AS l, unnest(range(1, len(ls) + 1)) AS i FROM d),
