@@ -346,12 +346,12 @@ FROM five GROUP BY order_id""",
         f"SELECT '{card}' AS card, CAST({key} AS VARCHAR) AS row_key, "
         f"CAST(row_number() OVER (ORDER BY {order}) - 1 AS BIGINT) AS place FROM {rel}"
         for card, key, order, rel in [
-            ("card2", "value_segment", "v DESC", f"(SELECT value_segment, {rnd(mean('avg_order_value'), 2)} AS v FROM dim GROUP BY 1) c2"),
-            ("card3", "primary_payment_type", "v DESC", "(SELECT primary_payment_type, round(sum(total_revenue), 0) AS v FROM profile "
+            ("card2", "value_segment", "v DESC, value_segment", f"(SELECT value_segment, {rnd(mean('avg_order_value'), 2)} AS v FROM dim GROUP BY 1) c2"),
+            ("card3", "primary_payment_type", "v DESC, primary_payment_type", "(SELECT primary_payment_type, round(sum(total_revenue), 0) AS v FROM profile "
              f"WHERE value_segment IN ('{SEGMENT_WHALE}', '{SEGMENT_HIGH}') GROUP BY 1) c3"),
-            ("card4", "value_segment", "v DESC", f"(SELECT value_segment, {rnd(mean('pct_orders_with_installments'), 1)} AS v FROM profile GROUP BY 1) c4"),
-            ("card5", "customer_state", "hvc_revenue DESC", "geo_value"),
-            ("card6", "value_segment", "projected_annual_uplift DESC", "uplift"),
+            ("card4", "value_segment", "v DESC, value_segment", f"(SELECT value_segment, {rnd(mean('pct_orders_with_installments'), 1)} AS v FROM profile GROUP BY 1) c4"),
+            ("card5", "customer_state", "round(hvc_revenue, 0) DESC, customer_state", "geo_value"),
+            ("card6", "value_segment", f"{rnd('projected_annual_uplift', 0)} DESC, value_segment", "uplift"),
             ("card7", "order_month", "order_month", "(SELECT DISTINCT order_month FROM fd WHERE order_month IS NOT NULL) c7"),
         ])),
     "refresh_roundtrip": _q(

@@ -6,7 +6,7 @@ pushes the card filters into the scan when the marts are stored as parquet.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuepay.functions.scalars import round_money
@@ -15,6 +15,23 @@ from valuepay.schemas import SEGMENT_HIGH, SEGMENT_WHALE
 
 HVC_COL = "is_high_value_customer"
 
+#: Sort columns of the sorted cards: the figure, largest first, then the card's key, which makes the
+#: order of equal figures defined (the reference sorts by the figure alone). Card 7 is sorted by its key.
+CARD_ORDER: dict[str, tuple[str, ...]] = {
+    "card2": ("avg_order_value", "value_segment"),
+    "card3": ("revenue", "primary_payment_type"),
+    "card4": ("pct_orders_with_installments", "value_segment"),
+    "card5": ("hvc_revenue", "customer_state"),
+    "card6": ("projected_uplift", "value_segment"),
+    "card7": ("order_month",),
+}
+
+
+def sort_columns(card: str) -> list[Column]:
+    """The card's sort columns as expressions: figures descending, the key ascending, NULL last in both."""
+    *figures, key = CARD_ORDER[card]
+    return [*(F.desc_nulls_last(c) for c in figures), F.asc_nulls_last(key)]
+
 
 def _hvc():
     return F.col(HVC_COL)
@@ -35,7 +52,7 @@ def card2_aov_by_segment(dim: DataFrame) -> DataFrame:
     return (dim.groupBy("value_segment")
                .agg(round_money(mean_exact("avg_order_value"), 2).alias("avg_order_value"),
                     F.count(F.lit(1)).alias("customers"))
-               .orderBy(F.desc("avg_order_value")))
+               .orderBy(*sort_columns("card2")))
 
 
 def card3_payment_mix(profile: DataFrame) -> DataFrame:
@@ -44,7 +61,7 @@ def card3_payment_mix(profile: DataFrame) -> DataFrame:
                    .groupBy("primary_payment_type")
                    .agg(F.sum("order_count").alias("orders"),
                         F.round(F.sum("total_revenue"), 0).alias("revenue"))
-                   .orderBy(F.desc("revenue")))
+                   .orderBy(*sort_columns("card3")))
 
 
 def card4_installments(profile: DataFrame) -> DataFrame:
@@ -54,7 +71,7 @@ def card4_installments(profile: DataFrame) -> DataFrame:
                         .alias("pct_orders_with_installments"),
                         round_money(mean_exact("avg_installments_when_used"), 2)
                         .alias("avg_installments_when_used"))
-                   .orderBy(F.desc("pct_orders_with_installments")))
+                   .orderBy(*sort_columns("card4")))
 
 
 def card5_geo(geo_value: DataFrame) -> DataFrame:
@@ -62,14 +79,14 @@ def card5_geo(geo_value: DataFrame) -> DataFrame:
                              "hvc_penetration_pct",
                              F.round("hvc_revenue", 0).alias("hvc_revenue"),
                              "hvc_revenue_share_pct")
-                     .orderBy(F.desc("hvc_revenue")))
+                     .orderBy(*sort_columns("card5")))
 
 
 def card6_uplift(uplift: DataFrame) -> DataFrame:
     return (uplift.select("value_segment", "aov_no_installment", "aov_installment", "aov_gap",
                           "addressable_orders",
                           round_money("projected_annual_uplift", 0).alias("projected_uplift"))
-                  .orderBy(F.desc("projected_uplift")))
+                  .orderBy(*sort_columns("card6")))
 
 
 def card7_monthly_revenue(fact: DataFrame, dim: DataFrame) -> DataFrame:
@@ -82,7 +99,7 @@ def card7_monthly_revenue(fact: DataFrame, dim: DataFrame) -> DataFrame:
     return (j.groupBy("order_month")
              .agg(F.round(sum_if("v", _hvc()), 0).alias("hvc_revenue"),
                   F.round(sum_if("v", ~_hvc()), 0).alias("other_revenue"))
-             .orderBy("order_month"))
+             .orderBy(*sort_columns("card7")))
 
 
 def card8_top_cities(dim: DataFrame, state: str | None = None, k: int = 25) -> DataFrame:

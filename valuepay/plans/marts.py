@@ -29,9 +29,10 @@ from valuepay.functions.scalars import (
     days_between, floor_zero, month_start, order_date, round_money, segment_label,
 )
 from valuepay.operators.aggregates import (
-    arg_max, avg_if, count_if, first_of_earliest, mean, mean_exact, mode, nulls_last, percent, ratio,
+    arg_max, avg_if, count_if, first_of_earliest, mean, mean_exact, nulls_last, percent, ratio,
     sum_if,
 )
+from valuepay.operators.frequent import frequent_values
 from valuepay.operators.joins import left_join_filled
 from valuepay.operators.quantiles import BUCKETS, exact_quantiles
 from valuepay.schemas import ADDRESSABLE_METHOD, CANCELLED_STATUS, PAYMENT_TYPES, UPLIFT_ADOPTION
@@ -47,23 +48,14 @@ def round_dec(x, digits: int) -> Column:
 # --------------------------------------------------------------------- M1
 def dim_geolocation(geolocation: DataFrame) -> DataFrame:
     """One coordinate (mean) and the most frequent city/state per zip prefix (ties to the smallest
-    name). Rows are first counted per prefix, city and state, so a prefix that holds a third of all
-    points is a few rows when its names are compared."""
-    zip_code = F.col("geolocation_zip_code_prefix").alias("zip_code_prefix")
-    counted = geolocation.groupBy(zip_code, F.col("geolocation_city").alias("city"), F.col("geolocation_state").alias("state")).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.col(f"geolocation_{c}").cast("decimal(38,18)")).alias(c) for c in ("lat", "lng")],
-        *[F.count(f"geolocation_{c}").alias(f"n_{c}") for c in ("lat", "lng")])
-
-    def most_frequent(name: str) -> DataFrame:
-        per = counted.where(F.col(name).isNotNull()).groupBy("zip_code_prefix", name).agg(F.sum("n").alias("n"))
-        return per.groupBy("zip_code_prefix").agg(F.min_by(name, F.struct(-F.col("n"), name)).alias(name))
-
-    means = counted.groupBy("zip_code_prefix").agg(
-        *[F.try_divide(F.sum(c).cast("double"), F.sum(f"n_{c}").cast("double")).alias(c) for c in ("lat", "lng")])
-    return (means.join(most_frequent("city"), "zip_code_prefix", "left")
-            .join(most_frequent("state"), "zip_code_prefix", "left")
-            .select("zip_code_prefix", "lat", "lng", "city", "state"))
+    name), from one scan: the sums of the means ride along with the counts."""
+    per = frequent_values(
+        geolocation, {"zip_code_prefix": F.col("geolocation_zip_code_prefix")},
+        {"city": F.col("geolocation_city"), "state": F.col("geolocation_state")},
+        {**{c: F.col(f"geolocation_{c}").cast("decimal(38,18)") for c in ("lat", "lng")},
+         **{f"n_{c}": F.col(f"geolocation_{c}").isNotNull().cast("long") for c in ("lat", "lng")}})
+    return per.select("zip_code_prefix", *[F.try_divide(F.col(c).cast("double"), F.col(f"n_{c}").cast("double")).alias(c)
+                                           for c in ("lat", "lng")], "city", "state")
 
 
 # --------------------------------------------------------------------- M2
@@ -128,6 +120,7 @@ def items_per_order(order_items: DataFrame) -> DataFrame:
     )
 
 
+# The columns of the published mart, in order.
 FACT_COLUMNS = [
     "order_id", "customer_id", "customer_unique_id", "order_status", "order_purchase_timestamp",
     "order_date", "order_month", "customer_state", "customer_city", "customer_zip_code_prefix",
@@ -199,6 +192,7 @@ def _lit(v, dtype: str) -> Column:
     return F.lit(v).cast(dtype) if v is None else F.lit(v)
 
 
+# The columns of the published mart, in order.
 DIM_COLUMNS = [
     "customer_unique_id", "customer_state", "customer_city", "frequency", "monetary",
     "avg_order_value", "recency_days", "last_order_date", "avg_installments_when_used",

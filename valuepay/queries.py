@@ -12,14 +12,15 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from valuepay.functions.scalars import days_between, month_start, order_date, round_money
 from valuepay.operators.aggregates import (
-    arg_max, avg_if, count_distinct_if, count_if, first_of_earliest, mode, percent, sum_if,
+    arg_max, avg_if, count_distinct_if, count_if, first_of_earliest, percent, sum_if,
 )
+from valuepay.operators.frequent import frequent_values
 from valuepay.operators.joins import left_join_filled
 from valuepay.operators.quantiles import exact_quantiles
 from valuepay.plans import cards as C
@@ -251,20 +252,21 @@ def q_card8_state(spark, sf_dir):
 
 
 def q_card_row_order(spark, sf_dir):
-    """Place of every row of the sorted cards 2 to 7 (a card has a few rows)."""
+    """Place of every row of the sorted cards 2 to 7, by the card's own sort columns (a card has a few rows)."""
     m = _marts(spark, sf_dir)
     sorted_cards = {
-        "card2": (C.card2_aov_by_segment(m.dim_customer), "value_segment"),
-        "card3": (C.card3_payment_mix(m.mart_hvc_payment_profile), "primary_payment_type"),
-        "card4": (C.card4_installments(m.mart_hvc_payment_profile), "value_segment"),
-        "card5": (C.card5_geo(m.mart_geo_value), "customer_state"),
-        "card6": (C.card6_uplift(m.mart_payment_uplift), "value_segment"),
-        "card7": (C.card7_monthly_revenue(m.fct_order_payments, m.dim_customer), "order_month"),
+        "card2": C.card2_aov_by_segment(m.dim_customer),
+        "card3": C.card3_payment_mix(m.mart_hvc_payment_profile),
+        "card4": C.card4_installments(m.mart_hvc_payment_profile),
+        "card5": C.card5_geo(m.mart_geo_value),
+        "card6": C.card6_uplift(m.mart_payment_uplift),
+        "card7": C.card7_monthly_revenue(m.fct_order_payments, m.dim_customer),
     }
     out = None
-    for name, (df, key) in sorted_cards.items():
-        placed = df.coalesce(1).select(F.lit(name).alias("card"), F.col(key).cast("string").alias("row_key"),
-                                       F.monotonically_increasing_id().alias("place"))
+    for name, df in sorted_cards.items():
+        order = C.CARD_ORDER[name]
+        placed = df.select(F.lit(name).alias("card"), F.col(order[-1]).cast("string").alias("row_key"),
+                           (F.row_number().over(Window.orderBy(*C.sort_columns(name))) - 1).cast("bigint").alias("place"))
         out = placed if out is None else out.union(placed)
     return out
 
@@ -299,9 +301,9 @@ def q_agg_argmax_tiebreak(spark, sf_dir):
 def q_agg_mode(spark, sf_dir):
     """anyHeavy as a true mode: most frequent city and state per prefix, ties to the smallest."""
     g = _src(spark, sf_dir)["geolocation"]
-    return g.groupBy("geolocation_zip_code_prefix").agg(
-        mode("geolocation_city").alias("city"), mode("geolocation_state").alias("state"),
-        F.count(F.lit(1)).alias("points"))
+    return frequent_values(
+        g, {"geolocation_zip_code_prefix": F.col("geolocation_zip_code_prefix")},
+        {"city": F.col("geolocation_city"), "state": F.col("geolocation_state")}, {"points": F.lit(1)})
 
 
 def q_agg_any_first_order(spark, sf_dir):
