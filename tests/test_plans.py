@@ -2,9 +2,10 @@
 
 import pytest
 
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 from valuepay.plans import cards as C
 from valuepay.plans import marts as M
+from valuepay.queries import registered
 from valuepay.session import scratch_path
 from valuepay.sources import fixtures
 
@@ -77,9 +78,7 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "Map
 
 
 def test_no_udf_or_cross_join_in_any_registered_query(spark):
-    import __spark_entry__ as E
-    from tests.conftest import SF001
-    for name, fn in E.queries().items():
+    for name, fn in registered().items():
         p = plan(fn(spark, SF001))
         bad = [op for op in FORBIDDEN if op in p]
         assert not bad, (name, bad)

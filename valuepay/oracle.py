@@ -328,6 +328,9 @@ SQL: dict[str, str] = {
     "staging_malformed_timestamps": _q(
         "SELECT order_id, CASE WHEN CAST(order_id AS BIGINT) % 7 = 0 THEN NULL "
         "ELSE date_trunc('second', order_purchase_timestamp) END AS order_purchase_timestamp FROM src_orders"),
+    "staging_order_reviews_split": _staging_sql("order_reviews", _STAGING["order_reviews"]).replace(
+        "COALESCE(review_comment_message, '') AS", "review_comment_title || chr(10) || '\"' || "
+        "COALESCE(review_comment_message, '') || '\",' || chr(10) || chr(10) || 'end' AS"),
     "category_translation": "SELECT DISTINCT p_type AS product_category_name, upper(p_type) AS product_category_name_english FROM part",
     "payments_fifth_type": WITH + """, five AS (
   SELECT order_id, payment_sequential, payment_value,

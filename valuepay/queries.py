@@ -28,7 +28,7 @@ from valuepay.plans import marts as M
 from valuepay.plans import quality as Q
 from valuepay.plans.scenario import uplift_scenarios
 from valuepay.schemas import PAYMENT_TYPES, SOURCES
-from valuepay.session import scratch_path, written
+from valuepay.session import MAX_PARTITION_BYTES, planned_bytes, scratch_path, written
 from valuepay.sources import fixtures
 from valuepay.sources.csv_source import read_category_translation, read_source, write_csv
 
@@ -229,6 +229,22 @@ def q_staging_malformed_timestamps(spark, sf_dir):
     return read_source(spark, path, "orders").select("order_id", "order_purchase_timestamp")
 
 
+def q_staging_order_reviews_split(spark, sf_dir):
+    """One large file of reviews whose messages hold line breaks and quotes, read in many splits: the
+    scan's split size is set to a fraction of the file while it is loaded."""
+    path = scratch_path(spark, "landing-split")
+    df = _src(spark, sf_dir)["order_reviews"]
+    text = F.concat(F.col("review_comment_title"), F.lit('\n"'), F.coalesce("review_comment_message", F.lit("")), F.lit('",\n\nend'))
+    write_csv(df.withColumn("review_comment_message", text).coalesce(1), f"{path}/order_reviews.csv")
+    size = planned_bytes([spark.read.text(f"{path}/order_reviews.csv")])
+    before = spark.conf.get(MAX_PARTITION_BYTES, None)
+    spark.conf.set(MAX_PARTITION_BYTES, str(max(size // 16, 1 << 12)))
+    try:
+        return written(read_source(spark, path, "order_reviews", by_records=True), "reviews-split")
+    finally:
+        spark.conf.unset(MAX_PARTITION_BYTES) if before is None else spark.conf.set(MAX_PARTITION_BYTES, before)
+
+
 def q_category_translation(spark, sf_dir):
     """The lookup written as CSV and read back."""
     path = scratch_path(spark, "landing-lookup")
@@ -491,6 +507,7 @@ REGISTRY: dict[str, Query] = {
     **{f"staging_{t}": _staging(t) for t in SOURCES},
     "staging_customers_reordered": q_staging_customers_reordered,
     "staging_malformed_timestamps": q_staging_malformed_timestamps,
+    "staging_order_reviews_split": q_staging_order_reviews_split,
     "category_translation": q_category_translation,
     "payments_fifth_type": q_payments_fifth_type,
     "card8_state": q_card8_state,

@@ -85,7 +85,7 @@ UNSIGNED_MAX: dict[str, int] = {
 }
 
 # Tables whose text columns may hold quoted line breaks (free-text review comments).
-# Only these are read with multiLine, which makes each file a single split.
+# Only these are read record by record (see sources/csv_records.py).
 MULTILINE_TABLES = frozenset({"order_reviews"})
 
 # Sort (clustering) key of each staging table, used when writing it.

@@ -133,6 +133,11 @@ def shuffle_partitions_for(input_bytes: int, current: int, target_bytes: int = 2
 MAX_PARTITION_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
+def scan_split_bytes(spark: SparkSession) -> int:
+    """The session's largest scan split."""
+    return _bytes(spark.conf.get(MAX_PARTITION_BYTES))
+
+
 def split_bytes_for(input_bytes: int, current: int, max_tasks: int = 200_000,
                     cap: int = 1 << 30) -> int:
     """Scan split size keeping one scan under about ``max_tasks`` tasks; never below the

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from valuepay.schemas import CATEGORY_TRANSLATION, DATETIME_COLUMNS, MULTILINE_TABLES, SOURCES, UNSIGNED_MAX
+from valuepay.session import planned_bytes, scan_split_bytes
+from valuepay.sources.csv_records import read_csv_records
 
 
 class SourceMissing(FileNotFoundError):
@@ -41,15 +43,22 @@ def check_header(header: Sequence[str], want: Sequence[str], path: str) -> None:
         raise SourceColumns(f"{path}: missing columns {missing}, unknown columns {unknown}")
 
 
-def read_csv_text(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
+def spans_splits(spark: SparkSession, path: str) -> bool:
+    """Whether the files at ``path`` hold more than one scan split (Catalyst's size of the scan, no job)."""
+    return planned_bytes([spark.read.text(path)]) > scan_split_bytes(spark)
+
+
+def read_csv_text(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True,
+                  by_records: bool | None = None) -> DataFrame:
     """Scan a header CSV with every column as text, bound by header name.
 
     The columns may stand in any order; a missing, unknown or repeated column raises
     ``SourceColumns`` naming it. Files of one folder must share one order of columns, which
     the scan verifies file by file. A file without a header line has no rows.
 
-    ``multiline`` keeps quoted line breaks inside one record, at the price of one
-    task per file; without it large files split by ``spark.sql.files.maxPartitionBytes``.
+    ``multiline`` keeps quoted line breaks inside one record. Files of more than a scan split
+    together, or any with ``by_records``, are then read split by split and their records put together
+    (``csv_records``, same rows); small ones by Spark's own reader, one task per file.
     Only the empty field is missing (words such as ``NA`` stay text).
     """
     options = {"header": True, "multiLine": multiline, "escape": '"', "mode": "FAILFAST"}
@@ -59,6 +68,8 @@ def read_csv_text(spark: SparkSession, path: str, schema: T.StructType, multilin
         if not header:
             return spark.createDataFrame([], _text_schema(want))
         check_header(header, want, path)
+        if multiline and (spans_splits(spark, path) if by_records is None else by_records):
+            return read_csv_records(spark, path, header, {"escape": '"', "mode": "FAILFAST"}).select(*want)
         # enforceSchema off: every file's own header must match the order found here
         return spark.read.schema(_text_schema(header)).options(**options, enforceSchema=False).csv(path).select(*want)
     except Exception as exc:  # path resolution happens eagerly in spark.read
@@ -95,16 +106,17 @@ def repair_types(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(cols)
 
 
-def read_source(spark: SparkSession, data_dir: str, table: str, multiline: bool | None = None) -> DataFrame:
+def read_source(spark: SparkSession, data_dir: str, table: str, multiline: bool | None = None,
+                by_records: bool | None = None) -> DataFrame:
     """Typed staging frame of one registered source (lazy). ``multiline`` defaults to
-    on only for tables with free-text columns."""
+    on only for tables with free-text columns; ``by_records``: see ``read_csv_text``."""
     if table not in SOURCES:
         raise KeyError(f"unknown source table {table!r}")
     schema = SOURCES[table]
     path = f"{data_dir.rstrip('/')}/{table}.csv"
     if multiline is None:
         multiline = table in MULTILINE_TABLES
-    return repair_types(read_csv_text(spark, path, schema, multiline), schema)
+    return repair_types(read_csv_text(spark, path, schema, multiline, by_records), schema)
 
 
 def read_category_translation(spark: SparkSession, data_dir: str) -> DataFrame:
