@@ -138,21 +138,22 @@ def _spark_hash(values: np.ndarray) -> np.ndarray:
 
 
 def profile(docs: DataFrame, window: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, tx, n_words, d1, d2`` (hashes of the word sequence) and ``whole_sha256`` (all words
-    joined by one space) of every row."""
+    """``doc_id, tx, n_words`` and ``whole_sha256`` (all words joined by one space) of every row."""
     def run(batches):
         for block in blocks(batches, "t"):
-            h = Hashes(block.column("t"))
-            d1, d2 = (h.run(k, h.starts[:-1], h.starts[1:]) for k in (0, 1))
-            sha = [hashlib.sha256(b" ".join(t.split())).hexdigest()
-                   for t in pc.fill_null(block.column("t"), "").cast(pa.binary()).to_pylist()]
+            words = _word_lists(block.column("t"))
+            sha = [hashlib.sha256(b" ".join(w)).hexdigest() for w in words]
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), block.column("tx"), pa.array(h.sizes, pa.int64()), pa.array(d1), pa.array(d2), pa.array(sha, pa.string())],
-                names=["doc_id", "tx", "n_words", "d1", "d2", "whole_sha256"])
+                [block.column("doc_id"), block.column("tx"), pa.array(map(len, words), pa.int64()), pa.array(sha, pa.string())],
+                names=["doc_id", "tx", "n_words", "whole_sha256"])
 
     rows = _named(docs, key, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, tx bigint, n_words bigint, d1 bigint, d2 bigint, whole_sha256 string")
+    return rows.mapInArrow(run, f"doc_id {kind}, tx bigint, n_words bigint, whole_sha256 string")
+
+
+def _word_lists(texts: pa.Array) -> list[list[bytes]]:
+    return [t.split() for t in pc.fill_null(texts, "").cast(pa.binary()).to_pylist()]
 
 
 def repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -170,9 +171,9 @@ def repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text: str =
     # classes of documents with one word sequence
     own = written(profile(docs, window, key, text), "substring-profile")
     long_rows = own.filter((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
-    classes = (long_rows.groupBy("n_words", "d1", "d2").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest"))
-               .filter("smallest < largest").select("n_words", "d1", "d2", "smallest"))
-    judged = written(own.join(classes, ["n_words", "d1", "d2"], "left").select(
+    classes = (long_rows.groupBy("whole_sha256").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest"))
+               .filter("smallest < largest").select("whole_sha256", "smallest"))
+    judged = written(own.join(classes, "whole_sha256", "left").select(
         "doc_id", "tx", "n_words", "whole_sha256",
         F.coalesce((F.col("n_words") >= window) & (F.col("smallest") < F.col("doc_id")), F.lit(False)).alias("copy")), "substring-judged")
 
@@ -181,7 +182,8 @@ def repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text: str =
         for block in blocks(batches, "t"):
             h = Hashes(block.column("t"))
             at, value = h.anchors(window)
-            whole = h.run(0, h.starts[:-1], h.starts[1:])[h.row[at]]
+            # the class, by SHA-256: polynomial hashes of long sequences can be made to agree
+            whole = np.frombuffer(b"".join(hashlib.sha256(b" ".join(w)).digest()[:8] for w in _word_lists(block.column("t"))), np.int64)[h.row[at]]
             order = np.lexsort((whole, value))  # rows of one anchor and class are one row
             value, whole = value[order], whole[order]
             first = np.ones(len(value), bool)
