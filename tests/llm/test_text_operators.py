@@ -459,3 +459,15 @@ def test_forward_backward_equals_enumeration():
         for k, y in enumerate(path):
             total[k, y] += w
     assert np.allclose(p, total / total.sum(axis=1, keepdims=True))
+
+
+def test_substrings_thue_morse_pair_shares_no_window(spark):
+    """Sequences whose polynomial hashes modulo 2**64 agree for any odd base are no copies of each other."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    first = " ".join(f"{'ab'[b]} f{i}" for i, b in enumerate(bits))
+    second = " ".join(f"{'ba'[b]} f{i}" for i, b in enumerate(bits))
+    shared = " ".join(f"s{i}" for i in range(60))
+    rows = [(1, first, None), (2, second, None), (3, first + " end", None), (4, f"x {shared}", None), (5, f"{second} {shared}", None)]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in substrings.digests(frame(spark, rows)).collect()}
+    assert got == {1: (2048, 0), 2: (2048, 0), 3: (2049, 2048), 4: (61, 0), 5: (2108, 2108)}
+

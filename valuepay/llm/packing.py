@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from valuepay.llm.bpe import encode_block, merge_file
+from valuepay.llm.bpe import BLOCK_BYTES, encode_block, merge_file
 from valuepay.llm.words import blocks
 from valuepay.session import scratch_path
 
@@ -75,29 +75,26 @@ def cut(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, with_
     own) and, if asked for, ``ids``. ``path``: a tokenizer file readable on the executors."""
     def run(batches):
         number = TaskContext.get().partitionId() << 33
-        for block in blocks(batches, "t"):
+        for block in blocks(batches, "t", BLOCK_BYTES):
             ids, starts = token_ids(block.column("t"), path)
             ids = np.insert(ids.astype(np.uint32), starts[1:], np.uint32(end_id))
             starts = starts + np.arange(len(starts))
-            rows, piece, begin, length, crc, parts = [], [], [], [], [], []
-            for row, (lo, hi) in enumerate(zip(starts.tolist(), starts[1:].tolist())):
-                at, k = 0, 0
-                size = (hi - lo - 1) % capacity + 1  # the first piece takes what does not fill one
-                while at < hi - lo:
-                    part = ids[lo + at:lo + at + size]
-                    rows.append(row)
-                    piece.append(k)
-                    begin.append(at)
-                    length.append(size)
-                    crc.append(zlib.crc32(part.astype("<u4").tobytes()))
-                    if with_ids:
-                        parts.append(part.astype(np.int32))
-                    at, k, size = at + size, k + 1, capacity
-            columns = [block.column("k").take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(begin, pa.int64()),
+            size = np.diff(starts)  # one token at least
+            many = -(-size // capacity)
+            rows = np.repeat(np.arange(len(size)), many)
+            piece = np.arange(len(rows)) - np.repeat(np.cumsum(many) - many, many)
+            head = ((size - 1) % capacity + 1)[rows]  # the first piece takes what does not fill one
+            begin = np.where(piece == 0, 0, head + (piece - 1) * capacity)
+            length = np.where(piece == 0, head, capacity)
+            lo = starts[:-1][rows] + begin
+            data = memoryview(ids.astype("<u4", copy=False)).cast("B")
+            crc = [zlib.crc32(data[4 * x:4 * y]) for x, y in zip(lo.tolist(), (lo + length).tolist())]
+            columns = [block.column("k").take(pa.array(rows)), pa.array(piece, pa.int32()), pa.array(begin, pa.int64()),
                        pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(np.arange(number, number + len(rows)))]
+            parts = pa.ListArray.from_arrays(pa.array(np.append(lo, starts[-1]), pa.int32()), pa.array(ids.astype(np.int32))) if with_ids else None
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "piece_id"]
             number += len(rows)
-            yield pa.RecordBatch.from_arrays(columns + ([pa.array(parts, pa.list_(pa.int32()))] if with_ids else []),
+            yield pa.RecordBatch.from_arrays(columns + [parts] * with_ids,
                                              names=names + ["ids"] * with_ids)
 
     kind = docs.schema[key].dataType.simpleString()
