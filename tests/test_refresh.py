@@ -175,3 +175,16 @@ def test_sized_shuffle_respects_user_settings(spark):
         assert n == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert spark.conf.get(INITIAL_PARTITIONS, None) is None
     assert spark.conf.get(MAX_PARTITION_BYTES, None) is None         # small input: untouched
+
+
+def test_refresh_with_ranged_marts_gives_the_same_marts(spark):
+    from valuepay.sources.ranged import file_ranges
+    sources = fixtures.load(spark, SF001)
+    low = {t: 1 for t in sources}
+    plain = refresh(spark, scratch_path(spark, "plain"), sources=sources, min_rows=low)
+    ranges = refresh(spark, scratch_path(spark, "ranges"), sources=sources, min_rows=low, cluster="ranges")
+    for name, path in plain.marts.items():
+        a, b = spark.read.parquet(path), spark.read.parquet(ranges.marts[name])
+        assert a.count() == b.count() and a.exceptAll(b).isEmpty()
+    files = sorted((r["low"], r["high"]) for r in file_ranges(spark, ranges.marts["fct_order_payments"]).collect())
+    assert all(a[1] <= b[0] for a, b in zip(files, files[1:]))

@@ -357,6 +357,9 @@ FROM five GROUP BY order_id""",
             ("card6", "value_segment", f"{rnd('projected_annual_uplift', 0)} DESC, value_segment", "uplift"),
             ("card7", "order_month", "order_month", "(SELECT DISTINCT order_month FROM fd WHERE order_month IS NOT NULL) c7"),
         ])),
+    "ranged_lookup": _q(
+        "SELECT order_id, customer_unique_id, CAST(order_value AS DOUBLE) AS order_value, CAST(item_count AS BIGINT) AS item_count "
+        "FROM fact WHERE order_id BETWEEN '2' AND '3'"),
     "refresh_roundtrip": _q(
         "SELECT 'dim_customer' AS mart, count(*) AS mart_rows, CAST(sum(monetary) AS DOUBLE) AS money FROM dim "
         "UNION ALL SELECT 'dim_geolocation', count(*), NULL FROM geo "

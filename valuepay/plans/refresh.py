@@ -23,6 +23,7 @@ from valuepay.plans import quality as Q
 from valuepay.schemas import MIN_ROWS, SORT_KEYS
 from valuepay.session import sized_shuffle
 from valuepay.sources.csv_source import SourceEmpty, read_source
+from valuepay.sources.ranged import write_ranged
 
 # Figures the mart gate needs, observed while the mart is written (no second scan).
 GATE_METRICS = {
@@ -43,6 +44,9 @@ MART_SORT_KEYS = {
     "mart_payment_uplift": ("value_segment",),
 }
 
+# Marts whose size grows with the data: these are ranged by their key with ``cluster="ranges"``.
+RANGED_MARTS = ("dim_geolocation", "fct_order_payments", "dim_customer")
+
 
 @dataclass
 class RefreshResult:
@@ -68,7 +72,7 @@ def run_concurrently(jobs: Mapping[str, Callable[[], object]], max_workers: int
 
 
 def load_staging(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
-                 result: RefreshResult, max_workers: int = 4, cluster: bool = True) -> dict[str, DataFrame]:
+                 result: RefreshResult, max_workers: int = 4, cluster: bool | str = True) -> dict[str, DataFrame]:
     def load(name: str, df: DataFrame) -> Callable[[], DataFrame]:
         def run() -> DataFrame:
             path = f"{out_dir}/raw/{name}"
@@ -87,7 +91,7 @@ def load_staging(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir:
 
 
 def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: str,
-                result: RefreshResult, max_workers: int = 4, cluster: bool = True) -> dict[str, DataFrame]:
+                result: RefreshResult, max_workers: int = 4, cluster: bool | str = True) -> dict[str, DataFrame]:
     """Build and write the marts in dependence order, each read back by its consumers;
     marts that do not depend on each other are written concurrently."""
     def put(name: str, df: DataFrame) -> DataFrame:
@@ -95,8 +99,11 @@ def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: s
         t0 = time.perf_counter()
         metrics = GATE_METRICS.get(name)
         obs = Observation(f"mart_{name}") if metrics else None
-        sinks.write_table(df.observe(obs, *metrics()) if obs else df, path,
-                          MART_SORT_KEYS[name] if cluster else ())
+        df = df.observe(obs, *metrics()) if obs else df
+        if cluster == "ranges" and name in RANGED_MARTS:
+            write_ranged(df, path, MART_SORT_KEYS[name][0], MART_SORT_KEYS[name])
+        else:
+            sinks.write_table(df, path, MART_SORT_KEYS[name] if cluster else ())
         if obs:
             result.mart_counts.update({k: int(v) for k, v in obs.get.items()})
         result.seconds[f"mart:{name}"] = time.perf_counter() - t0
@@ -134,7 +141,7 @@ def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: s
 def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
             sources: Mapping[str, DataFrame] | None = None,
             min_rows: Mapping[str, int] = MIN_ROWS, max_workers: int = 4,
-            publish_to: str | None = None, cluster: bool = True,
+            publish_to: str | None = None, cluster: bool | str = True,
             max_orphans: int | None = None) -> RefreshResult:
     """Run the whole pipeline. Sources come from ``<data_dir>/<table>.csv`` or as frames.
 
@@ -146,7 +153,9 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
 
     Payments without an order are only logged unless ``max_orphans`` bounds them.
     ``cluster`` sorts every written file on its table key (the reference's layout, for
-    row-group skipping by key); turn it off where no reader filters on those keys."""
+    row-group skipping by key); turn it off where no reader filters on those keys. With ``"ranges"``
+    the growing marts are also ranged by their key across files (``sources.ranged``): one more
+    exchange of each, for readers that then open a file or two for a key."""
     if sources is None:
         if data_dir is None:
             raise ValueError("give data_dir or sources")
@@ -185,7 +194,7 @@ def published_marts(spark: SparkSession, pointer: str) -> dict[str, DataFrame]:
 
 def _run(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
          min_rows: Mapping[str, int], max_workers: int, result: RefreshResult,
-         cluster: bool, max_orphans: int | None = None) -> None:
+         cluster: bool | str, max_orphans: int | None = None) -> None:
     staged = load_staging(spark, sources, out_dir, result, max_workers, cluster)
     empty = [name for name, n in result.rows.items() if n == 0]
     if empty:

@@ -31,6 +31,7 @@ from valuepay.schemas import PAYMENT_TYPES, SOURCES
 from valuepay.session import MAX_PARTITION_BYTES, planned_bytes, scratch_path, written
 from valuepay.sources import fixtures
 from valuepay.sources.csv_source import read_category_translation, read_source, write_csv
+from valuepay.sources.ranged import read_between, write_ranged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -287,6 +288,13 @@ def q_card_row_order(spark, sf_dir):
     return out
 
 
+def q_ranged_lookup(spark, sf_dir):
+    """Orders of a stretch of keys from the fact mart ranged by ``order_id``: only the files that hold them are read."""
+    path = scratch_path(spark, "ranged-fact")
+    write_ranged(_marts(spark, sf_dir).fct_order_payments, path, "order_id", files=16)
+    return read_between(spark, path, "order_id", "2", "3").select("order_id", "customer_unique_id", "order_value", "item_count")
+
+
 def q_refresh_roundtrip(spark, sf_dir):
     """A whole refresh into the shared folder, published, and its marts read back."""
     from valuepay.plans.refresh import published_marts, refresh
@@ -512,6 +520,7 @@ REGISTRY: dict[str, Query] = {
     "payments_fifth_type": q_payments_fifth_type,
     "card8_state": q_card8_state,
     "card_row_order": q_card_row_order,
+    "ranged_lookup": q_ranged_lookup,
     "refresh_roundtrip": q_refresh_roundtrip,
     "agg_argmax_tiebreak": q_agg_argmax_tiebreak,
     "agg_mode": q_agg_mode,
