@@ -188,3 +188,47 @@ def test_refresh_with_ranged_marts_gives_the_same_marts(spark):
         assert a.count() == b.count() and a.exceptAll(b).isEmpty()
     files = sorted((r["low"], r["high"]) for r in file_ranges(spark, ranges.marts["fct_order_payments"]).collect())
     assert all(a[1] <= b[0] for a, b in zip(files, files[1:]))
+
+
+def test_failed_refresh_continues_where_it_stopped(spark, landing, monkeypatch):
+    from valuepay.plans import marts as M
+
+    def killed(*args, **kwargs):
+        raise RuntimeError("killed after the fact")
+
+    built = []
+    real = M.fct_order_payments
+    monkeypatch.setattr(M, "fct_order_payments", lambda *a: built.append("fact") or real(*a))
+    with monkeypatch.context() as m:
+        m.setattr(M, "customer_base", killed)
+        with pytest.raises(RuntimeError, match="killed") as failed:
+            refresh(spark, scratch_path(spark, "resume"), data_dir=landing, min_rows=ONE)
+    folder = failed.value.__notes__[0].split("resume=")[1].strip("'")
+    pointer = scratch_path(spark, "pointer")
+    again = refresh(spark, "unused", data_dir=landing, min_rows=ONE, resume=folder, publish_to=pointer)
+    assert built == ["fact"] and again.run_dir == folder
+    assert set(again.reused) == {"mart:dim_geolocation", "mart:fct_order_payments", *(f"load:{t}" for t in ONE)}
+    whole = refresh(spark, scratch_path(spark, "whole"), data_dir=landing, min_rows=ONE)
+    assert whole.reused == [] and whole.rows == again.rows and whole.mart_counts == again.mart_counts
+    for name in whole.marts:
+        assert _rows(spark, whole.marts[name]) == _rows(spark, again.marts[name])
+    # a finished run is read whole
+    assert len(refresh(spark, "unused", data_dir=landing, min_rows=ONE, resume=folder).reused) == len(ONE) + 7
+
+
+def test_half_written_table_is_built_again(spark, landing, tmp_path):
+    import os
+    first = refresh(spark, str(tmp_path), data_dir=landing, min_rows=ONE)
+    os.rename(f"{first.marts['dim_customer']}/_SUCCESS", tmp_path / "moved")
+    again = refresh(spark, "unused", data_dir=landing, min_rows=ONE, resume=first.run_dir)
+    assert "mart:dim_customer" not in again.reused and "mart:fct_order_payments" in again.reused
+    assert _rows(spark, again.marts["dim_customer"]) and again.mart_counts == first.mart_counts
+
+
+def test_expired_runs(spark, tmp_path):
+    from valuepay.plans.refresh import RefreshResult, expired_runs, publish
+    pointer = str(tmp_path / "pointer")
+    for k in [0, 1, 2, 1, 3]:
+        publish(spark, RefreshResult(marts={"dim_customer": f"/x/run={k}/marts/dim_customer"}), pointer)
+    assert expired_runs(spark, pointer, keep=2) == ["/x/run=2", "/x/run=0"]
+    assert expired_runs(spark, pointer, keep=9) == []

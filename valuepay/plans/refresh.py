@@ -23,7 +23,7 @@ from valuepay.plans import quality as Q
 from valuepay.schemas import MIN_ROWS, SORT_KEYS
 from valuepay.session import sized_shuffle
 from valuepay.sources.csv_source import SourceEmpty, read_source
-from valuepay.sources.ranged import write_ranged
+from valuepay.sources.ranged import RANGES, write_ranged
 
 # Figures the mart gate needs, observed while the mart is written (no second scan).
 GATE_METRICS = {
@@ -59,6 +59,16 @@ class RefreshResult:
     mart_report: list = field(default_factory=list)
     seconds: dict[str, float] = field(default_factory=dict)  # step -> wall time
     shuffle_partitions: int | None = None                      # initial partitions used
+    run_dir: str = ""                                          # this run's folder
+    resumed: bool = False                                      # continues an earlier call's run
+    reused: list[str] = field(default_factory=list)            # tables that the earlier call had finished
+
+    def has(self, spark: SparkSession, step: str, path: str) -> bool:
+        """Whether a resumed run finds the step's table finished; such a table is not built again."""
+        if not (self.resumed and sinks.committed(spark, path)):
+            return False
+        self.reused.append(step)
+        return True
 
 
 def run_concurrently(jobs: Mapping[str, Callable[[], object]], max_workers: int = 4) -> dict[str, object]:
@@ -76,6 +86,10 @@ def load_staging(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir:
     def load(name: str, df: DataFrame) -> Callable[[], DataFrame]:
         def run() -> DataFrame:
             path = f"{out_dir}/raw/{name}"
+            if result.has(spark, f"load:{name}", path):
+                kept = sinks.read_table(spark, path)
+                result.staging[name], result.rows[name] = path, kept.count()
+                return kept
             t0 = time.perf_counter()
             # rows counted while writing: the observation sits in the writing (result) stage,
             # where Spark applies each task's update once, so a retried task is not counted twice
@@ -94,46 +108,58 @@ def build_marts(spark: SparkSession, staged: Mapping[str, DataFrame], out_dir: s
                 result: RefreshResult, max_workers: int = 4, cluster: bool | str = True) -> dict[str, DataFrame]:
     """Build and write the marts in dependence order, each read back by its consumers;
     marts that do not depend on each other are written concurrently."""
-    def put(name: str, df: DataFrame) -> DataFrame:
+    def put(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{out_dir}/marts/{name}"
-        t0 = time.perf_counter()
         metrics = GATE_METRICS.get(name)
+        ranged = cluster == "ranges" and name in RANGED_MARTS
+        result.marts[name] = path
+        if result.has(spark, f"mart:{name}", f"{path}/{RANGES}" if ranged else path):
+            kept = sinks.read_table(spark, path)
+            if metrics:
+                result.mart_counts.update(kept.agg(*metrics()).first().asDict())
+            return kept
+        df = build()
+        t0 = time.perf_counter()
         obs = Observation(f"mart_{name}") if metrics else None
         df = df.observe(obs, *metrics()) if obs else df
-        if cluster == "ranges" and name in RANGED_MARTS:
+        if ranged:
             write_ranged(df, path, MART_SORT_KEYS[name][0], MART_SORT_KEYS[name])
         else:
             sinks.write_table(df, path, MART_SORT_KEYS[name] if cluster else ())
         if obs:
             result.mart_counts.update({k: int(v) for k, v in obs.get.items()})
         result.seconds[f"mart:{name}"] = time.perf_counter() - t0
-        result.marts[name] = path
         return sinks.read_table(spark, path)
 
-    def layer(name: str, df: DataFrame) -> DataFrame:
+    def layer(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{out_dir}/layers/{name}"
-        sinks.write_table(df, path)
+        if not result.has(spark, f"layer:{name}", path):
+            t0 = time.perf_counter()
+            sinks.write_table(build(), path)
+            result.seconds[f"layer:{name}"] = time.perf_counter() - t0
         return sinks.read_table(spark, path)
 
     first = run_concurrently({
-        "dim_geolocation": lambda: put("dim_geolocation", M.dim_geolocation(staged["geolocation"])),
-        "fct_order_payments": lambda: put("fct_order_payments", M.fct_order_payments(
+        "dim_geolocation": lambda: put("dim_geolocation", lambda: M.dim_geolocation(staged["geolocation"])),
+        "fct_order_payments": lambda: put("fct_order_payments", lambda: M.fct_order_payments(
             staged["orders"], staged["order_payments"], staged["order_items"], staged["customers"])),
     }, max_workers)
     geo, fact = first["dim_geolocation"], first["fct_order_payments"]
-    t0 = time.perf_counter()
-    base = layer("customer_base", M.customer_base(fact))
-    result.seconds["layer:customer_base"] = time.perf_counter() - t0
-    t0 = time.perf_counter()
-    dim_plan = M.dim_customer(fact, base=base)          # runs the threshold passes
-    result.seconds["thresholds"] = time.perf_counter() - t0
-    dim = put("dim_customer", dim_plan)
-    rollup = layer("segment_method", M.segment_method_rollup(fact, dim))
+
+    def scored() -> DataFrame:
+        base = layer("customer_base", lambda: M.customer_base(fact))
+        t0 = time.perf_counter()
+        dim = M.dim_customer(fact, base=base)          # runs the threshold passes
+        result.seconds["thresholds"] = time.perf_counter() - t0
+        return dim
+
+    dim = put("dim_customer", scored)
+    rollup = layer("segment_method", lambda: M.segment_method_rollup(fact, dim))
     last = run_concurrently({
         "mart_hvc_payment_profile":
-            lambda: put("mart_hvc_payment_profile", M.mart_hvc_payment_profile(fact, dim, rollup=rollup)),
-        "mart_geo_value": lambda: put("mart_geo_value", M.mart_geo_value(dim, geo)),
-        "mart_payment_uplift": lambda: put("mart_payment_uplift", M.mart_payment_uplift(fact, dim, rollup=rollup)),
+            lambda: put("mart_hvc_payment_profile", lambda: M.mart_hvc_payment_profile(fact, dim, rollup=rollup)),
+        "mart_geo_value": lambda: put("mart_geo_value", lambda: M.mart_geo_value(dim, geo)),
+        "mart_payment_uplift": lambda: put("mart_payment_uplift", lambda: M.mart_payment_uplift(fact, dim, rollup=rollup)),
     }, max_workers)
     return {"dim_geolocation": geo, "fct_order_payments": fact, "dim_customer": dim, **last}
 
@@ -142,7 +168,7 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
             sources: Mapping[str, DataFrame] | None = None,
             min_rows: Mapping[str, int] = MIN_ROWS, max_workers: int = 4,
             publish_to: str | None = None, cluster: bool | str = True,
-            max_orphans: int | None = None) -> RefreshResult:
+            max_orphans: int | None = None, resume: str | None = None) -> RefreshResult:
     """Run the whole pipeline. Sources come from ``<data_dir>/<table>.csv`` or as frames.
 
     Every call writes below a fresh run folder ``<out_dir>/run=<id>``, so it never touches the
@@ -151,6 +177,12 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
     entry. Entries are only ever added, so at no moment do readers see missing or unchecked
     marts, also when a refresh or the publishing itself fails.
 
+    A call that fails leaves its run folder as it is and names it in a note of the exception. Given
+    as ``resume`` with the same sources, the next call goes on there: tables that were written to
+    their end are read, the others built, all gates checked again (``RefreshResult.reused`` says
+    which were read). Any run that is not published may be deleted, and so may those that
+    ``expired_runs`` lists.
+
     Payments without an order are only logged unless ``max_orphans`` bounds them.
     ``cluster`` sorts every written file on its table key (the reference's layout, for
     row-group skipping by key); turn it off where no reader filters on those keys. With ``"ranges"``
@@ -162,12 +194,16 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
         # a missing file fails here (S3); parsing and the non-empty check (S4) happen in
         # the one scan that also loads the table, instead of reading every file twice
         sources = {name: read_source(spark, data_dir, name) for name in MIN_ROWS}
-    out_dir = f"{out_dir.rstrip('/')}/run={run_id()}"
-    with sized_shuffle(spark, sources.values()) as partitions:
-        result = RefreshResult(shuffle_partitions=partitions)
-        _run(spark, sources, out_dir, min_rows, max_workers, result, cluster, max_orphans)
-    if publish_to is not None:
-        publish(spark, result, publish_to)
+    out_dir = resume.rstrip("/") if resume else f"{out_dir.rstrip('/')}/run={run_id()}"
+    try:
+        with sized_shuffle(spark, sources.values()) as partitions:
+            result = RefreshResult(shuffle_partitions=partitions, run_dir=out_dir, resumed=resume is not None)
+            _run(spark, sources, out_dir, min_rows, max_workers, result, cluster, max_orphans)
+        if publish_to is not None:
+            publish(spark, result, publish_to)
+    except Exception as exc:
+        exc.add_note(f"to continue this refresh: resume={out_dir!r}")
+        raise
     return result
 
 
@@ -192,6 +228,14 @@ def published_marts(spark: SparkSession, pointer: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(path) for name, path in newest.items()}
 
 
+def expired_runs(spark: SparkSession, pointer: str, keep: int = 7) -> list[str]:
+    """Run folders of published runs older than the newest ``keep``, which no reader is sent to any more and
+    which may be deleted. The entries themselves, one small row for each refresh, stay."""
+    entries = spark.read.schema(POINTER_SCHEMA).parquet(pointer).orderBy(F.desc("entry")).select("marts").collect()  # one per refresh
+    folders = [next(iter(r["marts"].values())).rsplit("/marts/", 1)[0] for r in entries]
+    return [f for f in dict.fromkeys(folders[keep:]) if f not in folders[:keep]]
+
+
 def _run(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
          min_rows: Mapping[str, int], max_workers: int, result: RefreshResult,
          cluster: bool | str, max_orphans: int | None = None) -> None:

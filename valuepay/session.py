@@ -71,9 +71,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
+    """A fresh, unique path below the shared checkpoint folder, in this application's own folder: frames that
+    were made from scratch tables read them, so the folder may be deleted when the application has ended."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/valuepay-{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/valuepay-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,6 +24,18 @@ def write_table(df: DataFrame, path: str, sort_key: Sequence[str] = ()) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end: Spark leaves ``_SUCCESS`` when a write job has committed all its
+    files. Only the path is looked up; no job runs."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
