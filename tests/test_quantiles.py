@@ -118,3 +118,48 @@ def test_no_task_receives_the_column(spark):
     plan = passes._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "SortAggregate" not in plan and "SinglePartition" not in plan
     assert plan.count("HashAggregate") == 2 and "partial_count" in plan
+
+
+def passes(spark, monkeypatch, values, ranks, kind="double", buckets=2048):
+    """The values at the ranks, and the number of bucket passes they took."""
+    from valuepay.operators import quantiles as Q
+    seen = []
+    real = Q._bucket
+    monkeypatch.setattr(Q, "_bucket", lambda *a: seen.append(1) or real(*a))
+    got = Q.order_statistics(spark.createDataFrame([(v,) for v in values], f"v {kind}"), "v", ranks, buckets=buckets)
+    return [got[r] for r in ranks], len(seen)
+
+
+def test_ordered_bits_are_the_bits(spark):
+    import math
+    import random
+    import struct
+
+    from valuepay.operators.quantiles import _bits_of, ordered_bits
+    rng = random.Random(2)
+    values = [0.0, -0.0, math.inf, -math.inf, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308,
+              -1.7976931348623157e308, 1.0, 2.0, 0.9999999999999999, 4503599627370497.5, 1e-300, 1e300]
+    values += [x for x in (struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3000)) if not math.isnan(x)]
+    values += [2.0 ** e * f for e in range(-1070, 1023, 7) for f in (1.0, 1.0000000000000002, 1.9999999999999998)]
+    from pyspark.sql import functions as F
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", ordered_bits(F.col("v")).alias("k")).collect()
+    assert [r["k"] for r in rows] == [_bits_of(v) for v in values]
+
+
+def test_passes_are_bounded_whatever_the_values(spark, monkeypatch):
+    import math
+    wide = sorted([10.0 ** e * s for e in range(-300, 301, 5) for s in (1, -1)] + [math.inf, -math.inf, 0.0, 5e-324])
+    ranks = [0, 1, 30, len(wide) // 2, len(wide) - 1]
+    got, n = passes(spark, monkeypatch, wide, ranks)
+    assert got == [wide[r] for r in ranks] and n <= 6 * len(ranks)
+    values = [float(i) for i in range(60)] + [math.nan] * 2           # NaN is the largest value
+    got, n = passes(spark, monkeypatch, values, [30])
+    assert got == [30.0] and n <= 6
+    got, n = passes(spark, monkeypatch, values, [59, 60, 61])
+    assert got[0] == 59.0 and math.isnan(got[1]) and math.isnan(got[2])
+    got, n = passes(spark, monkeypatch, [math.nan], [0])
+    assert math.isnan(got[0]) and n == 0
+    got, n = passes(spark, monkeypatch, [float(x) for x in (1.5, 2.5, 1.5)], [1, 2], kind="float")
+    assert got == [1.5, 2.5]
+    got, n = passes(spark, monkeypatch, [-2 ** 63, 2 ** 63 - 1, 0, 7], [0, 1, 2, 3], kind="long")
+    assert got == [-2 ** 63, 0, 7, 2 ** 63 - 1] and n <= 6 * 4
