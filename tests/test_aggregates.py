@@ -66,3 +66,18 @@ def test_sum_if_zero_avg_if_null_ratio_null(spark):
                             ratio(F.lit(1), F.lit(0)).alias("r"),
                             count_distinct_if("x", F.col("c")).alias("d")).first()
     assert r.s == 0 and r.a is None and r.r is None and r.d == 0
+
+
+def test_distinct_counts_equal_plain_python_without_expand(spark):
+    import random
+
+    from tests.test_plans import plan
+    from valuepay.operators.aggregates import distinct_counts
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), rng.choice(["p", "q", "r", None]), rng.choice([True, False, None])) for _ in range(80)]
+    rows += [("hot", f"x{i % 9}", i % 9 < 4) for i in range(300)] + [("none", None, True)]
+    df = spark.createDataFrame(rows, "g string, x string, f boolean")
+    found = distinct_counts(df, ["g"], "x", {"all": F.lit(True), "some": F.col("f")})
+    want = {(g, len({r[1] for r in rows if r[0] == g and r[1]}), len({r[1] for r in rows if r[0] == g and r[1] and r[2]})) for g in {r[0] for r in rows}}
+    assert {tuple(r) for r in found.collect()} == want
+    assert "Expand" not in plan(found)

@@ -166,3 +166,18 @@ def test_translation_lookup_scan(spark):
               "category_translation")
     rows = sorted(map(tuple, read_category_translation(spark, d).collect()))
     assert rows == [("beleza_saude", "health_beauty"), ("pcs", "")]
+
+
+def test_validate_source_parses_every_field(spark, tmp_path):
+    from valuepay.sources.csv_source import SourceEmpty, SourceMissing, validate_source
+    head = "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
+    (tmp_path / "customers.csv").write_text(head + "1,u,01234,c,s\n2,u,01234,c,s\n")
+    assert validate_source(spark, str(tmp_path), "customers") == 2
+    (tmp_path / "customers.csv").write_text(head)
+    with pytest.raises(SourceEmpty):
+        validate_source(spark, str(tmp_path), "customers")
+    with pytest.raises(SourceMissing):
+        validate_source(spark, str(tmp_path), "orders")
+    (tmp_path / "order_items.csv").write_text("order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\no,1,p,s,,x,1\n")
+    with pytest.raises(Exception, match="(?i)cast|invalid"):
+        validate_source(spark, str(tmp_path), "order_items")

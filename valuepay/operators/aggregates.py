@@ -7,9 +7,9 @@ one partial row per map task, never a single task holding the group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A date far in the future: a missing date sorts after every real one.
@@ -90,6 +90,14 @@ def count_distinct_if(x, cond: Column) -> Column:
     return F.count_distinct(F.when(cond, _c(x)))
 
 
+def distinct_counts(df: DataFrame, keys: Sequence[str], x: str, conditions: Mapping[str, Column]) -> DataFrame:
+    """Per group, the number of distinct values of ``x`` among the rows that meet each condition (NULL is no value;
+    a group without a match has 0). Each group and value is first one row with a flag for each condition, so
+    rows are not expanded per distinct column, and a hot group or value is combined before the exchange."""
+    flagged = df.groupBy(*keys, x).agg(*[F.max(F.coalesce(c, F.lit(False))).alias(f"_{i}") for i, c in enumerate(conditions.values())])
+    return flagged.groupBy(*keys).agg(*[F.count_if(F.col(f"_{i}") & F.col(x).isNotNull()).alias(name) for i, name in enumerate(conditions)])
+
+
 def ratio(num: Column, den: Column) -> Column:
     """num / den as double; NULL when den is 0."""
     return F.try_divide(num.cast("double"), den.cast("double"))

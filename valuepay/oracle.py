@@ -367,6 +367,16 @@ FROM five GROUP BY order_id""",
         "UNION ALL SELECT 'mart_geo_value', count(*), CAST(sum(hvc_revenue) AS DOUBLE) FROM geo_value "
         "UNION ALL SELECT 'mart_hvc_payment_profile', count(*), CAST(sum(total_revenue) AS DOUBLE) FROM profile "
         "UNION ALL SELECT 'mart_payment_uplift', count(*), CAST(sum(current_addressable_revenue) AS DOUBLE) FROM uplift"),
+    "load_metrics": _q(
+        " UNION ALL ".join(f"SELECT 'load' AS step, '{t}' AS name, (SELECT count(*) FROM src_{t}) AS n" for t in _MIN_ROWS)
+        + " UNION ALL SELECT 'mart', 'fct_order_payments', (SELECT count(*) FROM fact) UNION ALL SELECT 'mart', 'dim_customer', (SELECT count(*) FROM dim)"),
+    "source_checks": _q(" UNION ALL ".join(
+        f"SELECT '{t}' AS name, '{found}' AS found, CAST({n} AS BIGINT) AS n" for t, found, n in [
+            ("orders", "loaded", "(SELECT count(*) FROM src_orders)"), ("customers", "loaded", "(SELECT count(*) FROM src_customers)"),
+            ("order_items", "empty", "0"), ("order_payments", "missing", "0"), ("geolocation", "missing", "0"), ("order_reviews", "missing", "0")])),
+    "gate_outcomes": _q(
+        "SELECT 'accepted' AS gate, CAST(4 AS BIGINT) AS passed, '' AS failing FROM dim HAVING count(*) > 0 "
+        "UNION ALL SELECT 'refused', 0, 'hvc_share' FROM dim HAVING count(*) > 0"),
     "verify_counts": _q(
         f"SELECT CAST(count(*) AS BIGINT) AS customers, CAST(count_if({_HVC}) AS BIGINT) AS hvc_customers FROM dim"),
     "dq_min_rows": _q(" UNION ALL ".join(

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from valuepay.functions.scalars import days_between, month_start, order_date, round_money
 from valuepay.operators.aggregates import (
-    arg_max, avg_if, count_distinct_if, count_if, first_of_earliest, percent, sum_if,
+    arg_max, avg_if, count_if, distinct_counts, first_of_earliest, percent, sum_if,
 )
 from valuepay.operators.frequent import frequent_values
 from valuepay.operators.joins import left_join_filled
@@ -30,7 +30,9 @@ from valuepay.plans.scenario import uplift_scenarios
 from valuepay.schemas import PAYMENT_TYPES, SOURCES
 from valuepay.session import MAX_PARTITION_BYTES, planned_bytes, scratch_path, written
 from valuepay.sources import fixtures
-from valuepay.sources.csv_source import read_category_translation, read_source, write_csv
+from valuepay.sources.csv_source import (
+    SourceEmpty, SourceMissing, read_category_translation, read_source, validate_source, write_csv,
+)
 from valuepay.sources.ranged import read_between, write_ranged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +92,16 @@ class _Bundle:
                        M.mart_geo_value(dim, geo), M.mart_payment_uplift(fact, dim, rollup=rollup))
 
 
+    @cached_property
+    def refreshed(self):
+        """A whole refresh of the sources, and the pointer it is published at."""
+        from valuepay.plans.refresh import refresh
+        spark, sf_dir = self.src.spark, self.src.sf_dir
+        pointer = scratch_path(spark, "published")
+        return refresh(spark, scratch_path(spark, "refresh"), sources=fixtures.load(spark, sf_dir),
+                       min_rows={t: 1 for t in SOURCES}, publish_to=pointer), pointer
+
+
 _BUNDLES: dict[tuple[str, str], _Bundle] = {}
 
 
@@ -297,10 +309,8 @@ def q_ranged_lookup(spark, sf_dir):
 
 def q_refresh_roundtrip(spark, sf_dir):
     """A whole refresh into the shared folder, published, and its marts read back."""
-    from valuepay.plans.refresh import published_marts, refresh
-    pointer = scratch_path(spark, "published")
-    refresh(spark, scratch_path(spark, "refresh"), sources=fixtures.load(spark, sf_dir),
-            min_rows={t: 1 for t in SOURCES}, publish_to=pointer)
+    from valuepay.plans.refresh import published_marts
+    _, pointer = _bundle(spark, sf_dir).refreshed
     marts = published_marts(spark, pointer)
     money = {"fct_order_payments": "order_value", "dim_customer": "monetary", "mart_hvc_payment_profile": "total_revenue",
              "mart_geo_value": "hvc_revenue", "mart_payment_uplift": "current_addressable_revenue"}
@@ -312,6 +322,41 @@ def q_refresh_roundtrip(spark, sf_dir):
     return out
 
 
+def q_load_metrics(spark, sf_dir):
+    """K5: the metrics table that a refresh leaves beside its marts."""
+    result, _ = _bundle(spark, sf_dir).refreshed
+    return spark.read.parquet(f"{result.run_dir}/metrics").select(F.col("step"), F.col("table").alias("name"), F.col("rows").alias("n"))
+
+
+def q_source_checks(spark, sf_dir):
+    """S3, S4: what each source folder says when three tables are landed, one of them as a header alone."""
+    path = scratch_path(spark, "landing-checks")
+    src = _src(spark, sf_dir)
+    for table in ("orders", "customers"):
+        write_csv(src[table], f"{path}/{table}.csv")
+    write_csv(src["order_items"].limit(0).coalesce(1), f"{path}/order_items.csv")
+    rows = []
+    for table in sorted(SOURCES):
+        try:
+            n, found = validate_source(spark, path, table), "loaded"
+        except (SourceMissing, SourceEmpty) as exc:
+            n, found = 0, "missing" if isinstance(exc, SourceMissing) else "empty"
+        rows.append((table, found, n))
+    return spark.createDataFrame(rows, "name string, found string, n long")
+
+
+def q_gate_outcomes(spark, sf_dir):
+    """DQ6: what ``enforce`` does with the marts' report inside its bounds and with bounds that the marts break."""
+    m = _marts(spark, sf_dir)
+    rows = []
+    for gate, band in (("accepted", (0.0, 1.0)), ("refused", (1.5, 2.0))):
+        try:
+            rows.append((gate, len(Q.enforce(Q.mart_checks(m.fct_order_payments, m.dim_customer, band), gate)), ""))
+        except Q.QualityGateFailed as exc:
+            rows.append((gate, 0, str(exc).split(":")[1].strip()))
+    return spark.createDataFrame(rows, "gate string, passed long, failing string")
+
+
 # ------------------------------------------------------------------ operator families
 def q_agg_argmax_tiebreak(spark, sf_dir):
     """argMax with ties: the method of the largest payment, lowest sequence number on ties."""
@@ -366,10 +411,10 @@ def q_agg_count_if(spark, sf_dir):
 
 
 def q_agg_count_distinct_if(spark, sf_dir):
+    """uniqExact and uniqExactIf per state: one flag per state and person first, so no row is expanded."""
     f = _marts(spark, sf_dir).fct_order_payments.where(F.col("customer_unique_id") != "")
-    return f.groupBy("customer_state").agg(
-        F.count_distinct("customer_unique_id").alias("customers"),
-        count_distinct_if("customer_unique_id", F.col("used_installments")).alias("customers_with_installments"))
+    return distinct_counts(f, ["customer_state"], "customer_unique_id", {
+        "customers": F.lit(True), "customers_with_installments": F.col("used_installments")})
 
 
 def _acctbal_quantiles(spark, sf_dir, **kw) -> DataFrame:
@@ -522,6 +567,9 @@ REGISTRY: dict[str, Query] = {
     "card_row_order": q_card_row_order,
     "ranged_lookup": q_ranged_lookup,
     "refresh_roundtrip": q_refresh_roundtrip,
+    "load_metrics": q_load_metrics,
+    "source_checks": q_source_checks,
+    "gate_outcomes": q_gate_outcomes,
     "agg_argmax_tiebreak": q_agg_argmax_tiebreak,
     "agg_mode": q_agg_mode,
     "agg_any_first_order": q_agg_any_first_order,

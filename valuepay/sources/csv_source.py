@@ -119,6 +119,16 @@ def read_source(spark: SparkSession, data_dir: str, table: str, multiline: bool
     return repair_types(read_csv_text(spark, path, schema, multiline, by_records), schema)
 
 
+def validate_source(spark: SparkSession, data_dir: str, table: str) -> int:
+    """The rows of a source, every field of which was parsed (S4). Raises ``SourceMissing``, ``SourceEmpty``, or what
+    the parser says. For checks ahead of a load: a refresh does the same in the scan that also loads."""
+    df = read_source(spark, data_dir, table)
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.xxhash64(*df.columns))).first()
+    if not seen["n"]:
+        raise SourceEmpty(f"empty source: {table}")
+    return seen["n"]
+
+
 def read_category_translation(spark: SparkSession, data_dir: str) -> DataFrame:
     """The two-column product-category translation lookup (S7). No mart reads it; a join
     to it stays an ordinary equi-join, broadcast by AQE only when measured small."""
