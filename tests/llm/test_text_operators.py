@@ -8,7 +8,9 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
+import regex
 import sentencepiece
 import tiktoken
 import xxhash
@@ -88,10 +90,22 @@ def test_replay_equals_merging_word_by_word():
     m = bpe.rank_file(P.path("byte_bpe_50k.tiktoken"))
     rng = random.Random(3)
     words = list({bytes(rng.choice(b"aabehinrst ") for _ in range(rng.randint(1, 14))) for _ in range(3000)})
-    ids, offsets = bpe.replay(words, m)
+    ids, offsets = bpe.replay(pa.array(words, pa.binary()), m)
     assert all(ids[offsets[k]:offsets[k + 1]].tolist() == bpe.encode_one(w, m) for k, w in enumerate(words))
 
 
+def test_units_cut_together_equal_units_cut_alone():
+    rng = random.Random(5)
+    signs = ["a", "Zz", "é", "'s", "'", "7", "42", "-", "…", "\u0301", "\x1c", "\u200b", "語", "_", "x'll"]
+    units = list(dict.fromkeys(" " + "".join(rng.choices(signs, k=rng.randrange(1, 6))) for _ in range(3000)))
+    for pattern in (P.PATTERN, r"[a-z]+|\d"):  # the second leaves gaps
+        pieces, many = bpe.cut_units(pa.array(units, pa.string()), pattern)
+        alone = [regex.findall(pattern, u) for u in units]
+        assert pieces.to_pylist() == [w for row in alone for w in row] and many.tolist() == [len(row) for row in alone]
+    pieces, many = bpe.cut_units(pa.array([], pa.string()), P.PATTERN)
+    assert len(pieces) == len(many) == 0
+
+
 @pytest.mark.parametrize("table", ["docs", "real"])
 def test_token_counts_equal_the_library(table, request):
     df = request.getfixturevalue(table)

@@ -117,13 +117,14 @@ def encode_one(word: bytes, m: Merges) -> list[int]:
     return parts
 
 
-def replay(words: list[bytes], m: Merges) -> tuple[np.ndarray, np.ndarray]:
-    """Encode distinct pre-tokens together: their ids one after another, and where each starts."""
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    starts = np.zeros(len(words) + 1, np.int64)
-    np.cumsum(sizes, out=starts[1:])
+def replay(words: pa.Array, m: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """Encode distinct pre-tokens (string or binary) together: their ids one after another, and where each starts."""
+    _, edges, data = words.buffers()
+    starts = np.frombuffer(edges, np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[starts[0]:starts[-1]] if data is not None else np.zeros(0, np.uint8)
+    starts = starts - starts[0]
+    sizes = np.diff(starts)
     n = int(starts[-1])
-    raw = np.frombuffer(b"".join(words), np.uint8)
     sym = m.byte_ids[raw]
     nxt = np.arange(1, n + 1, dtype=np.int32)
     prv = np.arange(-1, n - 1, dtype=np.int32)
@@ -212,7 +213,7 @@ def replay(words: list[bytes], m: Merges) -> tuple[np.ndarray, np.ndarray]:
     if early:
         # Rank order over the block and rank order within a word can differ here: redo these words.
         odd = np.unique(np.searchsorted(starts, np.concatenate(early), side="right") - 1)
-        redone = {int(w): encode_one(words[w], m) for w in odd}
+        redone = {int(w): encode_one(raw[starts[w]:starts[w + 1]].tobytes(), m) for w in odd}
         if any(ids[offsets[w]:offsets[w + 1]].tolist() != x for w, x in redone.items()):
             parts = [redone.get(w, None) for w in range(len(words))]
             parts = [ids[offsets[w]:offsets[w + 1]] if p is None else np.array(p, np.int32) for w, p in enumerate(parts)]
@@ -222,9 +223,10 @@ def replay(words: list[bytes], m: Merges) -> tuple[np.ndarray, np.ndarray]:
     return ids, offsets
 
 
-def units_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct units (white space and the word after it) of a block of texts, the number of each
-    unit in reading order, and where each text's units start.
+def units_of(texts: pa.Array) -> tuple[pa.Array, list[str], np.ndarray, np.ndarray]:
+    """Distinct units of a block of texts: words that stand behind one space (without it), and other
+    units as they are; the number of each unit in reading order (the words' first, then the others'),
+    and where each text's units start.
 
     A text whose only neighbours of spaces are other characters is cut at its spaces by Arrow; one
     with longer white space is scanned.
@@ -235,22 +237,34 @@ def units_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     flat = pc.list_flatten(parts).dictionary_encode()
     sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
     begins = np.cumsum(sizes) - sizes
-    bodies = flat.dictionary.to_pylist()
+    bodies = flat.dictionary
     number = flat.indices.to_numpy(zero_copy_only=False).astype(np.int32)
     firsts = begins[~odd]
-    units = [f" {x}" for x in bodies]
     own = Numbers()  # the first unit of a text has no space before it; scanned texts have any units
-    number[firsts] = len(bodies) + np.array([own[bodies[i]] for i in number[firsts].tolist()], np.int32)
+    number[firsts] = len(bodies) + np.array([own[u] for u in bodies.take(pa.array(number[firsts])).to_pylist()], np.int32)
     if odd.any():
         scanned = {i: [own[u] for u in UNITS.findall(texts[i].as_py())] for i in np.flatnonzero(odd).tolist()}
         pieces = [number[b:b + n] if i not in scanned else np.array(scanned[i], np.int32) + len(bodies)
                   for i, (b, n) in enumerate(zip(begins.tolist(), sizes.tolist()))]
         number = np.concatenate(pieces)
         sizes = np.array([len(x) for x in pieces], np.int64)
-    units.extend(own)
     starts = np.zeros(len(sizes) + 1, np.int64)
     np.cumsum(sizes, out=starts[1:])
-    return units, number, starts
+    return bodies, list(own), number, starts
+
+
+def cut_units(units: pa.Array, pattern: str) -> tuple[pa.Array, np.ndarray]:
+    """Pre-tokens of units one after another, and how many each unit has. The units are cut in one scan
+    of all of them joined, as they would stand in a text; by themselves if the pattern leaves gaps."""
+    split = regex.compile(pattern).findall
+    pieces = pa.array(split("".join(units.to_pylist())), pa.string())
+    ends = np.cumsum(pc.utf8_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64))
+    edges = np.cumsum(pc.utf8_length(units).to_numpy(zero_copy_only=False).astype(np.int64))
+    upto = np.searchsorted(ends, edges, side="right")
+    if len(ends) and len(edges) and ends[-1] == edges[-1] and (ends[np.maximum(upto, 1) - 1][edges > 0] == edges[edges > 0]).all():
+        return pieces, np.diff(upto, prepend=0)
+    rows = [split(u) for u in units.to_pylist()]
+    return pa.array([w for row in rows for w in row], pa.string()), np.array([len(row) for row in rows], np.int64)
 
 
 def encode_block(texts: pa.Array, pattern: str, m: Merges) -> tuple[np.ndarray, np.ndarray]:
@@ -259,20 +273,31 @@ def encode_block(texts: pa.Array, pattern: str, m: Merges) -> tuple[np.ndarray,
     The block's distinct units are cut into pre-tokens by ``pattern``, and the distinct pre-tokens
     are replayed together.
     """
-    units, number, starts = units_of(texts)
-    words = Numbers()
+    bodies, own, number, starts = units_of(texts)
+    units = pc.binary_join_element_wise(" ", bodies, "")
+    letters = pc.ascii_is_alpha(bodies)  # one match of the letters' branch
+    plain = letters.to_numpy(zero_copy_only=False)
+    pieces, many = cut_units(units.filter(pc.invert(letters)), pattern)
     split = regex.compile(pattern).findall
-    flat, ends = [], [0]
-    for u in units:
-        if u[1:].isalpha() and u[0] == " ":  # one match of the letters' branch
-            flat.append(words[u])
-        else:
-            flat.extend([words[w] for w in split(u)])
-        ends.append(len(flat))
-    ids, offsets = replay([w.encode() for w in words], m)
+    rows = [split(u) for u in own]
+    words = pa.concat_arrays([units.filter(letters), pieces, pa.array([w for row in rows for w in row], pa.string())]).dictionary_encode()
+
+    # where the pre-tokens of each unit stand among all of them
+    count = np.ones(len(bodies) + len(own), np.int64)
+    count[:len(bodies)][~plain] = many
+    count[len(bodies):] = [len(row) for row in rows]
+    first = np.zeros(len(count), np.int64)
+    first[:len(bodies)][plain] = np.arange(plain.sum())
+    first[:len(bodies)][~plain] = plain.sum() + np.cumsum(many) - many
+    first[len(bodies):] = plain.sum() + many.sum() + np.cumsum(count[len(bodies):]) - count[len(bodies):]
+    ends = np.zeros(len(count) + 1, np.int64)
+    np.cumsum(count, out=ends[1:])
+    at = np.repeat(first - ends[:-1], count) + np.arange(ends[-1])
+
+    ids, offsets = replay(words.dictionary, m)
     # ids of each unit: those of its pre-tokens one after another
-    unit_ids, begins = ragged(ids, offsets, np.array(flat, np.int64))
-    out, begins = ragged(unit_ids, begins[np.array(ends, np.int64)], number)
+    unit_ids, begins = ragged(ids, offsets, words.indices.to_numpy(zero_copy_only=False)[at])
+    out, begins = ragged(unit_ids, begins[ends], number)
     return out, begins[starts]
 
 
