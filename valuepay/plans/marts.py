@@ -22,7 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from valuepay.functions.scalars import (
@@ -68,8 +68,8 @@ def payment_rank(value: Column, sequential: Column) -> Column:
     return ((value * 100).cast("decimal(17,0)") * width + (F.lit(2147483647) - sequential.cast("long")).cast("decimal(10,0)")).cast("decimal(30,0)")
 
 
-def payments_per_order(order_payments: DataFrame) -> DataFrame:
-    """Payments rolled up to one row per order.
+def payments_per_order(order_payments: DataFrame, counted: bool = False) -> DataFrame:
+    """Payments rolled up to one row per order; ``counted`` adds their number, ``_payments``.
 
     For the known methods every aggregate is fixed-width, so the rollup runs as Spark's
     code-generated hash aggregate: the primary method is the one owning the largest packed
@@ -89,6 +89,7 @@ def payments_per_order(order_payments: DataFrame) -> DataFrame:
         *[sum_if(v, t == pt).alias(f"{pt}_value") for pt in PAYMENT_TYPES],
         *[F.max(F.when(t == pt, rank)).alias(f"_rank{i}") for i, pt in enumerate(PAYMENT_TYPES)],
         F.max(F.when(is_other, rank)).alias("_rank_other"),
+        *([F.count(F.lit(1)).alias("_payments")] if counted else []),
     )
     other = order_payments.where(is_other).groupBy("order_id").agg(
         F.max_by(t, rank).alias("_other_primary"),
@@ -108,6 +109,7 @@ def payments_per_order(order_payments: DataFrame) -> DataFrame:
         # the method carrying the most money; equal amounts -> lowest sequence number
         primary.alias("primary_payment_type"),
         *[f"{pt}_value" for pt in PAYMENT_TYPES],
+        *(["_payments"] if counted else []),
     ).withColumn("used_installments", F.col("max_installments") > 1)
 
 
@@ -131,9 +133,15 @@ FACT_COLUMNS = [
 
 
 def fct_order_payments(orders: DataFrame, order_payments: DataFrame, order_items: DataFrame,
-                       customers: DataFrame) -> DataFrame:
-    """One row per non-cancelled order that has at least one payment."""
-    o = orders.where(F.col("order_status") != CANCELLED_STATUS).select(
+                       customers: DataFrame, orphans: Observation | None = None) -> DataFrame:
+    """One row per non-cancelled order that has at least one payment.
+
+    ``orphans`` observes the number of payments whose order is missing (DQ2) while the fact is written:
+    the rollup is left-joined with all orders, and rows that meet none are counted and left out. So the
+    payments are read and shuffled once for both. Written without a further exchange, the figure comes from
+    the writing stage, where Spark takes each task's figures once."""
+    live = F.col("order_status") != CANCELLED_STATUS
+    o = (orders if orphans else orders.where(live)).select(
         "order_id", "customer_id", "order_status", "order_purchase_timestamp")
     cust = customers.select("customer_id", "customer_unique_id", "customer_state",
                             "customer_city", "customer_zip_code_prefix")
@@ -143,7 +151,11 @@ def fct_order_payments(orders: DataFrame, order_payments: DataFrame, order_items
     j = left_join_filled(o, cust, "customer_id",
                          {"customer_unique_id": "", "customer_state": "",
                           "customer_city": "", "customer_zip_code_prefix": ""})
-    j = j.join(payments_per_order(order_payments), "order_id", "inner")
+    if orphans:
+        met = payments_per_order(order_payments, counted=True).join(j.withColumn("_known", F.lit(True)), "order_id", "left")
+        j = met.observe(orphans, F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_payments"))), F.lit(0)).alias("orphans")).where(live)
+    else:
+        j = j.join(payments_per_order(order_payments), "order_id", "inner")
     j = left_join_filled(j, items_per_order(order_items), "order_id",
                          {"items_price": 0, "freight_value": 0, "item_count": 0})
     ts = F.col("order_purchase_timestamp")

@@ -33,6 +33,7 @@ from valuepay.sources import fixtures
 from valuepay.sources.csv_source import (
     SourceEmpty, SourceMissing, read_category_translation, read_source, validate_source, write_csv,
 )
+from valuepay.sources.footers import footer_tables
 from valuepay.sources.ranged import read_between, write_ranged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -208,6 +209,16 @@ def q_dq_orphans(spark, sf_dir):
     return Q.orphan_payments(s["order_payments"], s["orders"])
 
 
+def q_dq_stored_min_rows(spark, sf_dir):
+    """The minimum-row gate over the refresh's staging tables, answered from their files' footers."""
+    return Q.staging_min_rows(footer_tables(spark, _bundle(spark, sf_dir).refreshed[0].staging))
+
+
+def q_dq_orphans_observed(spark, sf_dir):
+    """The orphan check as the refresh observed it while it wrote the fact."""
+    return spark.createDataFrame(Q.orphan_rows(_bundle(spark, sf_dir).refreshed[0].orphans), Q.REPORT_SCHEMA)
+
+
 def q_dq_marts(spark, sf_dir):
     m = _marts(spark, sf_dir)
     return Q.mart_checks(m.fct_order_payments, m.dim_customer)
@@ -555,7 +566,9 @@ REGISTRY: dict[str, Query] = {
     "uplift_scenarios": q_uplift_scenarios,
     "verify_counts": q_verify_counts,
     "dq_min_rows": q_dq_min_rows,
+    "dq_stored_min_rows": q_dq_stored_min_rows,
     "dq_orphans": q_dq_orphans,
+    "dq_orphans_observed": q_dq_orphans_observed,
     "dq_marts": q_dq_marts,
     **{f"staging_{t}": _staging(t) for t in SOURCES},
     "staging_customers_reordered": q_staging_customers_reordered,
