@@ -293,6 +293,32 @@ def test_simhash_equals_brute_force(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.one_of_each(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [20, 60, 4096])
+def test_links_of_large_keys_equal_brute_force(spark, chunk):
+    rng = random.Random(11)
+    prints = set()
+    for middle in (rng.getrandbits(64), rng.getrandbits(64)):
+        for _ in range(140):  # fingerprints around one share their keys
+            bits = rng.sample(range(64), rng.randrange(0, 5))
+            prints.add(middle ^ sum(1 << b for b in bits))
+        prints |= {middle ^ (x << 43) for x in range(100)}  # one key, most of them far from each other
+    prints = sorted(prints | {rng.getrandbits(64) for _ in range(30)})
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    rows = spark.createDataFrame([(x,) for x in signed], "bits long")
+    root = {x: x for x in signed}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for r in simhash.links(rows, 3, chunk).collect():
+        assert ((r["a"] ^ r["b"]) & (1 << 64) - 1).bit_count() <= 3
+        root[top(r["a"])] = top(r["b"])
+    want = brute_components(prints)
+    assert len({(c, top(x)) for c, x in zip(want, signed)}) == len(set(want)) == len({top(x) for x in signed})
+
+
 def test_one_row_of_each_near_group_stays(spark):
     base = prose(5, 400).split()
     near = [" ".join([*base[:k * 9], f"new{k}", *base[k * 9 + 1:]]) for k in range(8)]

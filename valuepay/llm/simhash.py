@@ -11,7 +11,7 @@ linked fingerprints are joined into components.
 
 Equal fingerprints are one row from the start, so a large group of copies costs nothing more. Within a
 key only the verified links that connect something new are kept, so a large group of near copies makes
-no more rows than it has members.
+no more rows than it has members (of a key above ``2 * CHUNK`` fingerprints: than its pairs of chunks have).
 
 Defined results: a null or empty text has no words and fingerprint zero, which links like any other;
 texts of fewer words than a shingle are one shingle; repeated rows share fingerprint and component; a
@@ -24,6 +24,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -37,6 +38,7 @@ from valuepay.session import scratch_path
 GENERATOR = 0b110001110101
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and width of each
 PAIRS = ((0, 1), (0, 2), (1, 2))
+CHUNK = 4096  # fingerprints; a task compares two chunks of a key at most
 
 
 def remainder(words: np.ndarray) -> np.ndarray:
@@ -180,9 +182,13 @@ def verified(key: np.ndarray, bits: np.ndarray, own: np.ndarray, distance: int)
     return (np.concatenate(left) if left else none), (np.concatenate(right) if right else none)
 
 
-def links(prints: DataFrame, distance: int = 3) -> DataFrame:
+def links(prints: DataFrame, distance: int = 3, chunk: int = CHUNK) -> DataFrame:
     """Links ``a, b`` between distinct fingerprints (column ``bits``), at least a spanning forest of all
-    pairs that differ in at most ``distance`` bits (3 at most)."""
+    pairs that differ in at most ``distance`` bits (3 at most).
+
+    A task compares the fingerprints of a key if they are ``2 * chunk`` at most. Those of a larger key pass
+    through it uncompared; they are dealt to chunks by hash, and every two chunks of a key meet in a group of
+    their own, so no task holds a whole large key and all its pairs are compared."""
     if not 0 <= distance <= 3:
         raise ValueError("the code finds fingerprints that differ in at most 3 bits")
 
@@ -196,29 +202,87 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     def match(batches):
         # rows come sorted by key; the last key of a batch is held back until its rows are complete
         kept: list[pa.RecordBatch] = []
+        late = None  # a key too large to be compared here
 
         def settle(rows):
             key, bits, own = (np.concatenate([r.column(i).to_numpy(zero_copy_only=False) for r in rows]) for i in range(3))
             a, b = verified(key, bits.view(np.uint64), own, distance)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.nulls(len(a), pa.int64()),
+                                               pa.nulls(len(a), pa.bool_())], names=["a", "b", "key", "own"])
+
+        def passed(rows):
+            return [pa.RecordBatch.from_arrays([r.column(1), pa.nulls(r.num_rows, pa.int64()), r.column(0), r.column(2)],
+                                               names=["a", "b", "key", "own"]) for r in rows]
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             key = batch.column(0).to_numpy()
-            cut = int(np.searchsorted(key, key[-1], side="left"))
-            if cut:
-                yield settle([*kept, batch.slice(0, cut)])
+            changes = np.flatnonzero(key[1:] != key[:-1]) + 1
+            edges = np.concatenate(([0], changes, [len(key)]))
+            # rows that go on with the key held back
+            head = int(edges[1]) if (late is not None and late == key[0]) or (kept and kept[-1].column(0)[0].as_py() == key[0]) else 0
+            if head:
+                kept.append(batch.slice(0, head))
+            if late is None and sum(r.num_rows for r in kept) > 2 * chunk:
+                late = kept[0].column(0)[0].as_py()
+            if late is not None:
+                yield from passed(kept)
                 kept = []
-            elif kept and kept[-1].column(0)[0].as_py() != key[0]:
+                if head == batch.num_rows:
+                    continue
+                late = None
+            elif head == batch.num_rows:
+                continue
+            if kept:
                 yield settle(kept)
                 kept = []
-            kept.append(batch.slice(cut))
+            # whole keys of this batch, then its last one
+            low = max(head, int(edges[-2]))
+            large = [k for k in np.flatnonzero(np.diff(edges[:-1]) > 2 * chunk).tolist() if edges[k] >= head]
+            for k in large:
+                yield from passed([batch.slice(int(edges[k]), int(edges[k + 1] - edges[k]))])
+            for lo, hi in zip([head, *(int(edges[k + 1]) for k in large)], [*(int(edges[k]) for k in large), low]):
+                if lo < hi:
+                    yield settle([batch.slice(lo, hi - lo)])
+            kept = [batch.slice(low)]
+            if kept[0].num_rows > 2 * chunk:
+                late = int(key[-1])
+                yield from passed(kept)
+                kept = []
         if kept:
             yield settle(kept)
 
-    keyed = prints.select("bits").mapInArrow(emit, "key bigint, bits bigint, own boolean")
-    return keyed.repartition("key").sortWithinPartitions("key", "bits").mapInArrow(match, "a bigint, b bigint")
+    spark = prints.sparkSession
+    schema = "a bigint, b bigint, key bigint, own boolean"
+
+    def compared(keyed: DataFrame) -> DataFrame:
+        return keyed.repartition("key").sortWithinPartitions("key", "bits").mapInArrow(match, schema)
+
+    path = scratch_path(spark, "simhash-links")
+    compared(prints.select("bits").mapInArrow(emit, "key bigint, bits bigint, own boolean")).write.parquet(path)
+    found = spark.read.parquet(path)
+    near = found.filter("b is not null").select("a", "b")
+    large = found.filter("b is null").select("key", F.col("a").alias("bits"), "own")
+    if large.isEmpty():
+        return near
+    return near.unionByName(pairs_of_chunks(large, distance, chunk))
+
+
+def pairs_of_chunks(large: DataFrame, distance: int, chunk: int) -> DataFrame:
+    """Links ``a, b`` among the fingerprints ``bits`` of each large ``key``, chunk against chunk."""
+    parts = large.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("parts"))  # 3 at least
+    mine = F.pmod(F.xxhash64("bits"), F.col("parts")).cast("int")
+    dealt = (large.join(parts, "key").withColumn("mine", mine)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).filter("mine <> other")
+             .select("key", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "bits", "own"))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        bits, own = rows["bits"].to_numpy().view(np.uint64), rows["own"].to_numpy(bool)
+        a, b = verified(np.zeros(len(bits), np.int64), bits, own, distance)
+        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+
+    return dealt.groupBy("key", "lo", "hi").applyInPandas(run, "a bigint, b bigint")
 
 
 def classes(docs: DataFrame, shingle: int = 3, distance: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
