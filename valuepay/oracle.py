@@ -265,6 +265,7 @@ def _acctbal_q() -> str:
 
 SQL: dict[str, str] = {
     "fct_order_payments": _q(FACT_SELECT),
+    "fct_from_buckets": _q(FACT_SELECT),
     "dim_customer": _q(DIM_SELECT),
     "dim_geolocation": _q("SELECT zip_code_prefix, lat, lng, city, state FROM geo"),
     "hvc_payment_profile": _q(

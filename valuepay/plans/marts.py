@@ -37,6 +37,7 @@ from valuepay.operators.joins import left_join_filled
 from valuepay.operators.quantiles import BUCKETS, exact_quantiles
 from valuepay.schemas import ADDRESSABLE_METHOD, CANCELLED_STATUS, PAYMENT_TYPES, UPLIFT_ADOPTION
 from valuepay.session import written
+from valuepay.sources.bucketed import Bucketed
 
 
 def round_dec(x, digits: int) -> Column:
@@ -133,9 +134,13 @@ FACT_COLUMNS = [
 
 
 def fct_order_payments(orders: DataFrame, order_payments: DataFrame, order_items: DataFrame,
-                       customers: DataFrame, orphans: Observation | None = None) -> DataFrame:
+                       customers: DataFrame, orphans: Observation | None = None,
+                       colocated: bool = False) -> DataFrame:
     """One row per non-cancelled order that has at least one payment.
 
+    ``colocated``: the order tables lie in buckets of ``order_id``, so they are rolled up and joined where they
+    are, and the customers come last (the only exchange, on ``customer_id``).
+
     ``orphans`` observes the number of payments whose order is missing (DQ2) while the fact is written:
     the rollup is left-joined with all orders, and rows that meet none are counted and left out. So the
     payments are read and shuffled once for both. Written without a further exchange, the figure comes from
@@ -148,9 +153,12 @@ def fct_order_payments(orders: DataFrame, order_payments: DataFrame, order_items
     # The customer attributes join the narrow order rows first (exchange on customer_id
     # of a few columns); the wide per-order rollups then join on order_id, where they
     # are already partitioned, so the widest rows are never shuffled again.
-    j = left_join_filled(o, cust, "customer_id",
-                         {"customer_unique_id": "", "customer_state": "",
-                          "customer_city": "", "customer_zip_code_prefix": ""})
+    def with_customer(df: DataFrame) -> DataFrame:
+        return left_join_filled(df, cust, "customer_id",
+                                {"customer_unique_id": "", "customer_state": "",
+                                 "customer_city": "", "customer_zip_code_prefix": ""})
+
+    j = o if colocated else with_customer(o)
     if orphans:
         met = payments_per_order(order_payments, counted=True).join(j.withColumn("_known", F.lit(True)), "order_id", "left")
         j = met.observe(orphans, F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_payments"))), F.lit(0)).alias("orphans")).where(live)
@@ -158,6 +166,7 @@ def fct_order_payments(orders: DataFrame, order_payments: DataFrame, order_items
         j = j.join(payments_per_order(order_payments), "order_id", "inner")
     j = left_join_filled(j, items_per_order(order_items), "order_id",
                          {"items_price": 0, "freight_value": 0, "item_count": 0})
+    j = with_customer(j) if colocated else j
     ts = F.col("order_purchase_timestamp")
     return j.select(
         *[order_date(ts).alias(c) if c == "order_date"
@@ -165,6 +174,14 @@ def fct_order_payments(orders: DataFrame, order_payments: DataFrame, order_items
           else F.col(c) for c in FACT_COLUMNS])
 
 
+def fct_from_buckets(store: Bucketed, customers: DataFrame) -> DataFrame:
+    """The fact from ``orders``, ``order_payments`` and ``order_items`` bucketed by ``order_id``: nothing is exchanged on
+    ``order_id``, but for the few orders with very many rows, which are rolled up before they are shuffled."""
+    parts = [fct_order_payments(t["orders"], t["order_payments"], t["order_items"], customers, colocated=t is store.cold)
+             for t in (store.cold, store.hot)]
+    return parts[0].unionByName(parts[1])
+
+
 # --------------------------------------------------------------------- M3
 def customer_base(fact: DataFrame) -> DataFrame:
     """Per-person rollup of the fact, including the '' group of orders without a customer

@@ -30,6 +30,7 @@ from valuepay.plans.scenario import uplift_scenarios
 from valuepay.schemas import PAYMENT_TYPES, SOURCES
 from valuepay.session import MAX_PARTITION_BYTES, planned_bytes, scratch_path, written
 from valuepay.sources import fixtures
+from valuepay.sources.bucketed import write_bucketed
 from valuepay.sources.csv_source import (
     SourceEmpty, SourceMissing, read_category_translation, read_source, validate_source, write_csv,
 )
@@ -93,6 +94,12 @@ class _Bundle:
                        M.mart_geo_value(dim, geo), M.mart_payment_uplift(fact, dim, rollup=rollup))
 
 
+    @cached_property
+    def bucketed(self):
+        """The order tables in buckets of ``order_id``."""
+        frames = {t: self.src[t] for t in ("orders", "order_payments", "order_items")}
+        return write_bucketed(frames, scratch_path(self.src.spark, "bucketed"), "order_id", buckets=8)
+
     @cached_property
     def refreshed(self):
         """A whole refresh of the sources, and the pointer it is published at."""
@@ -131,6 +138,10 @@ def q_fct_order_payments(spark, sf_dir):
     return _marts(spark, sf_dir).fct_order_payments
 
 
+def q_fct_from_buckets(spark, sf_dir):
+    return M.fct_from_buckets(_bundle(spark, sf_dir).bucketed, _src(spark, sf_dir)["customers"])
+
+
 def q_dim_customer(spark, sf_dir):
     return _marts(spark, sf_dir).dim_customer
 
@@ -550,6 +561,7 @@ def q_topk_cities(spark, sf_dir):
 
 REGISTRY: dict[str, Query] = {
     "fct_order_payments": q_fct_order_payments,
+    "fct_from_buckets": q_fct_from_buckets,
     "dim_customer": q_dim_customer,
     "dim_geolocation": q_dim_geolocation,
     "hvc_payment_profile": q_hvc_payment_profile,
