@@ -28,7 +28,7 @@ from valuepay.plans import marts as M
 from valuepay.plans import quality as Q
 from valuepay.plans.scenario import uplift_scenarios
 from valuepay.schemas import PAYMENT_TYPES, SOURCES
-from valuepay.session import MAX_PARTITION_BYTES, planned_bytes, scratch_path, written
+from valuepay.session import MAX_PARTITION_BYTES, bounded_tasks, planned_bytes, scratch_path, written
 from valuepay.sources import fixtures
 from valuepay.sources.bucketed import write_bucketed
 from valuepay.sources.csv_source import (
@@ -85,11 +85,13 @@ class _Bundle:
     @cached_property
     def marts(self) -> M.Marts:
         src = self.src
-        geo = written(M.dim_geolocation(src["geolocation"]), "dim_geolocation")
-        fact = written(M.fct_order_payments(src["orders"], src["order_payments"], src["order_items"],
-                                            src["customers"]), "fct_order_payments")
-        dim = written(M.dim_customer(fact), "dim_customer")
-        rollup = written(M.segment_method_rollup(fact, dim), "segment_method")
+        read = [src[t] for t in ("geolocation", "orders", "order_payments", "order_items", "customers")]
+        with bounded_tasks(src.spark, read):
+            geo = written(M.dim_geolocation(src["geolocation"]), "dim_geolocation")
+            fact = written(M.fct_order_payments(src["orders"], src["order_payments"], src["order_items"],
+                                                src["customers"]), "fct_order_payments")
+            dim = written(M.dim_customer(fact), "dim_customer")
+            rollup = written(M.segment_method_rollup(fact, dim), "segment_method")
         return M.Marts(geo, fact, dim, M.mart_hvc_payment_profile(fact, dim, rollup=rollup),
                        M.mart_geo_value(dim, geo), M.mart_payment_uplift(fact, dim, rollup=rollup))
 

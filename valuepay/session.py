@@ -146,6 +146,44 @@ def split_bytes_for(input_bytes: int, current: int, max_tasks: int = 200_000,
     return max(current, min(cap, -(-input_bytes // max_tasks)))
 
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+TASK_BYTES = 16 << 20      # of compressed input for a task that sorts or joins: a few hundred MB as rows
+UNKNOWN_BYTES = 1 << 60    # Catalyst's sizes from here on say that it does not know
+
+
+def input_bytes(frames: Iterable[DataFrame]) -> int:
+    """The size of the tables that the given frames scan, each scan counted (no job runs). Unlike ``planned_bytes`` it
+    does not multiply the sides of a join; a table of unknown size counts as none."""
+    total = 0
+    for df in frames:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        total += sum(s for s in sizes if s < UNKNOWN_BYTES)
+    return total
+
+
+@contextmanager
+def bounded_tasks(spark: SparkSession, frames: Iterable[DataFrame]):
+    """Keep what one task sorts, joins or aggregates to the same size whatever the input's, for the duration of jobs that
+    read ``frames``: scan splits and shuffle partitions grow in number, not in size, so nothing spills that did not
+    at a smaller input. The session's values are only made finer, and restored afterwards."""
+    size = input_bytes(frames)
+    wanted = {
+        SHUFFLE_PARTITIONS: shuffle_partitions_for(size, int(spark.conf.get(SHUFFLE_PARTITIONS)), TASK_BYTES // 2),
+        ADVISORY_BYTES: min(_bytes(spark.conf.get(ADVISORY_BYTES)), 2 * TASK_BYTES),   # shuffled rows are larger than stored ones
+        MAX_PARTITION_BYTES: min(scan_split_bytes(spark), split_bytes_for(size, TASK_BYTES)),
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, str(value))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @contextmanager
 def sized_shuffle(spark: SparkSession, frames: Iterable[DataFrame]):
     """Size a job to its input for its duration: AQE's initial shuffle partition number
