@@ -79,3 +79,14 @@ def test_marts_are_built_in_bounded_tasks(spark, small_tasks, own, monkeypatch):
     assert Q.q_card2(spark, SF001).count() > 0
     assert len(seen) == 2 and all(int(s[S.SHUFFLE_PARTITIONS]) > 8 and s[S.MAX_PARTITION_BYTES] == str(SMALL) for s in seen)
     assert settings(spark) == before
+
+
+def test_lines_are_numbered_and_shuffled_once(spark, own, monkeypatch):
+    calls, real = [], fixtures.numbered_lines
+    monkeypatch.setattr(fixtures, "numbered_lines", lambda *a: calls.append(a) or real(*a))
+    items, pays = own.src["order_items"], own.src["order_payments"]
+    assert own.marts.fct_order_payments.count() > 0 and len(calls) == 1
+    assert sorted(items.inputFiles()) == sorted(pays.inputFiles())
+    for df in (items, pays):
+        assert "Window" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert same_rows(items, fixtures.order_items(spark, SF001)) and same_rows(pays, fixtures.order_payments(spark, SF001))

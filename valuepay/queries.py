@@ -59,16 +59,26 @@ def portable(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ shared marts
 class _Sources(Mapping):
     """Adapted sources of one data directory, each written to the shared folder on first use and
-    read from there, so that a query scans the columns it needs."""
+    read from there, so that a query scans the columns it needs. Payments and items are projections
+    of the numbered lines, which are shuffled, sorted and written once for both."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self.frames = spark, sf_dir, {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.frames:
-            self.frames[name] = written(fixtures.VIEWS[name](self.spark, self.sf_dir), f"source-{name}")
+            self.frames[name] = (fixtures.LINE_VIEWS[name](self.lines) if name in fixtures.LINE_VIEWS
+                                 else self._written(fixtures.VIEWS[name](self.spark, self.sf_dir), name))
         return self.frames[name]
 
+    def _written(self, df: DataFrame, name: str) -> DataFrame:
+        with bounded_tasks(self.spark, [df]):
+            return written(df, f"source-{name}")
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return self._written(fixtures.numbered_lines(self.spark, self.sf_dir), "numbered_lines")
+
     def __iter__(self):
         return iter(fixtures.VIEWS)
 

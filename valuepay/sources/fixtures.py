@@ -47,8 +47,11 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _t(spark, sf_dir, "lineitem")
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines with their place in the order, ``seq``: what both views of them (``LINE_VIEWS``) are made from."""
+    li = _t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate")
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     return li.withColumn("seq", F.row_number().over(w).cast("int"))
@@ -62,8 +65,7 @@ def _freight():
     return (_price() * F.col("l_tax").cast("decimal(4,2)")).cast(MONEY)
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _numbered_lines(spark, sf_dir)
+def items_of(li: DataFrame) -> DataFrame:
     return li.select(
         _unknown_where(F.col("l_orderkey"), F.col("l_orderkey") % 50 == 3).alias("order_id"),
         F.col("seq").alias("order_item_id"),
@@ -75,8 +77,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _numbered_lines(spark, sf_dir)
+def payments_of(li: DataFrame) -> DataFrame:
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     ptype = (F.when(rf == "R", "credit_card").when((rf == "A") & (ls == "F"), "boleto")
               .when(rf == "A", "voucher").when(ls == "F", "debit_card").otherwise("credit_card"))
@@ -93,6 +94,14 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return items_of(numbered_lines(spark, sf_dir))
+
+
+def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payments_of(numbered_lines(spark, sf_dir))
+
+
 def _zip(nationkey, custkey):
     return F.lpad((nationkey * 100 + custkey % 7).cast("string"), 5, "0")
 
@@ -148,6 +157,10 @@ VIEWS = {
 }
 
 
+# Views that are projections of the numbered lines.
+LINE_VIEWS = {"order_items": items_of, "order_payments": payments_of}
+
+
 def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All six source frames over one driver data directory."""
     return {name: fn(spark, sf_dir) for name, fn in VIEWS.items()}
