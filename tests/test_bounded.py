@@ -90,3 +90,13 @@ def test_lines_are_numbered_and_shuffled_once(spark, own, monkeypatch):
     for df in (items, pays):
         assert "Window" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert same_rows(items, fixtures.order_items(spark, SF001)) and same_rows(pays, fixtures.order_payments(spark, SF001))
+
+
+def test_refresh_works_in_bounded_tasks(spark, small_tasks, monkeypatch):
+    seen, before = [], settings(spark)
+    real = R.sinks.write_table
+    monkeypatch.setattr(R.sinks, "write_table", lambda *a: seen.append(settings(spark)) or real(*a))
+    sources = fixtures.load(spark, SF001)
+    R.refresh(spark, S.scratch_path(spark, "bounded"), sources=sources, min_rows={t: 1 for t in sources})
+    assert len(seen) >= 12 and all(int(s[S.SHUFFLE_PARTITIONS]) > 8 and s[S.MAX_PARTITION_BYTES] == str(SMALL) for s in seen)
+    assert settings(spark) == before

@@ -21,7 +21,7 @@ from valuepay import sinks
 from valuepay.plans import marts as M
 from valuepay.plans import quality as Q
 from valuepay.schemas import MIN_ROWS, SORT_KEYS
-from valuepay.session import sized_shuffle
+from valuepay.session import bounded_tasks, sized_shuffle
 from valuepay.sources.csv_source import SourceEmpty, read_source
 from valuepay.sources.footers import footer_tables
 from valuepay.sources.ranged import RANGES, write_ranged
@@ -205,7 +205,7 @@ def refresh(spark: SparkSession, out_dir: str, *, data_dir: str | None = None,
         sources = {name: read_source(spark, data_dir, name) for name in MIN_ROWS}
     out_dir = resume.rstrip("/") if resume else f"{out_dir.rstrip('/')}/run={run_id()}"
     try:
-        with sized_shuffle(spark, sources.values()) as partitions:
+        with bounded_tasks(spark, sources.values()), sized_shuffle(spark, sources.values()) as partitions:
             result = RefreshResult(shuffle_partitions=partitions, run_dir=out_dir, resumed=resume is not None)
             _run(spark, sources, out_dir, min_rows, max_workers, result, cluster, max_orphans)
         if publish_to is not None:

@@ -118,7 +118,8 @@ class _Bundle:
         from valuepay.plans.refresh import refresh
         spark, sf_dir = self.src.spark, self.src.sf_dir
         pointer = scratch_path(spark, "published")
-        return refresh(spark, scratch_path(spark, "refresh"), sources=fixtures.load(spark, sf_dir),
+        # what this session has written already is read there, the rest straight from the tables
+        return refresh(spark, scratch_path(spark, "refresh"), sources={**fixtures.load(spark, sf_dir), **self.src.frames},
                        min_rows={t: 1 for t in SOURCES}, publish_to=pointer), pointer
 
 
