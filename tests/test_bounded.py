@@ -100,3 +100,11 @@ def test_refresh_works_in_bounded_tasks(spark, small_tasks, monkeypatch):
     R.refresh(spark, S.scratch_path(spark, "bounded"), sources=sources, min_rows={t: 1 for t in sources})
     assert len(seen) >= 12 and all(int(s[S.SHUFFLE_PARTITIONS]) > 8 and s[S.MAX_PARTITION_BYTES] == str(SMALL) for s in seen)
     assert settings(spark) == before
+
+
+def test_larger_tables_have_more_buckets(spark, own, monkeypatch):
+    monkeypatch.setattr(B, "TASK_BYTES", SMALL // 8)
+    from_buckets = Q.q_fct_from_buckets(spark, SF001)
+    # the projections of the lines are sized by the lines' files
+    assert own.bucketed.buckets > 8 and own.bucketed.buckets >= S.input_bytes([own.src.lines]) / (SMALL // 8)
+    assert same_rows(from_buckets, own.marts.fct_order_payments)

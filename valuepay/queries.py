@@ -30,7 +30,7 @@ from valuepay.plans.scenario import uplift_scenarios
 from valuepay.schemas import PAYMENT_TYPES, SOURCES
 from valuepay.session import MAX_PARTITION_BYTES, bounded_tasks, planned_bytes, scratch_path, written
 from valuepay.sources import fixtures
-from valuepay.sources.bucketed import write_bucketed
+from valuepay.sources.bucketed import bucket_count, write_bucketed
 from valuepay.sources.csv_source import (
     SourceEmpty, SourceMissing, read_category_translation, read_source, validate_source, write_csv,
 )
@@ -108,9 +108,11 @@ class _Bundle:
 
     @cached_property
     def bucketed(self):
-        """The order tables in buckets of ``order_id``."""
+        """The order tables in buckets of ``order_id``; more buckets, not larger ones, where there are more rows."""
         frames = {t: self.src[t] for t in ("orders", "order_payments", "order_items")}
-        return write_bucketed(frames, scratch_path(self.src.spark, "bucketed"), "order_id", buckets=8)
+        with bounded_tasks(self.src.spark, frames.values()):
+            return write_bucketed(frames, scratch_path(self.src.spark, "bucketed"), "order_id",
+                                  buckets=bucket_count(frames.values(), least=8))
 
     @cached_property
     def refreshed(self):
@@ -152,7 +154,9 @@ def q_fct_order_payments(spark, sf_dir):
 
 
 def q_fct_from_buckets(spark, sf_dir):
-    return M.fct_from_buckets(_bundle(spark, sf_dir).bucketed, _src(spark, sf_dir)["customers"])
+    store, src = _bundle(spark, sf_dir).bucketed, _src(spark, sf_dir)
+    with bounded_tasks(spark, [src[t] for t in ("orders", "order_payments", "order_items", "customers")]):
+        return written(M.fct_from_buckets(store, src["customers"]), "fct_from_buckets")
 
 
 def q_dim_customer(spark, sf_dir):

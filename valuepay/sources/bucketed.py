@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuepay.session import planned_bytes, shuffle_partitions_for
+from valuepay.session import TASK_BYTES, input_bytes, shuffle_partitions_for
 
 LAYOUT = "_layout"
 HOT_SHARE = 0.0005  # of a table's rows; so a table has 2,000 hot keys at most
@@ -58,11 +58,17 @@ def _is_hot(key: str, hot: list) -> Column:
     return k.isNull() | k.isin(hot) if hot else k.isNull()
 
 
+def bucket_count(frames: Iterable[DataFrame], least: int = 1) -> int:
+    """Buckets such that each holds about ``TASK_BYTES`` of the largest of the tables that the frames scan, as one task rolls
+    up and joins a whole bucket."""
+    return max(shuffle_partitions_for(input_bytes([df]), least, TASK_BYTES) for df in frames)
+
+
 def write_bucketed(frames: Mapping[str, DataFrame], path: str, key: str, buckets: int | None = None) -> Bucketed:
-    """Store the frames below ``path``, which must be new; ``buckets``: by default one for about 256 MB of the largest frame."""
+    """Store the frames below ``path``, which must be new; ``buckets``: by default ``bucket_count``."""
     path = path.rstrip("/")
     spark = next(iter(frames.values())).sparkSession
-    n = buckets or max(shuffle_partitions_for(planned_bytes([df]), 1) for df in frames.values())
+    n = buckets or bucket_count(frames.values())
     hot = sorted({k for df in frames.values() for k in hot_keys(df, key)})
     for name, df in frames.items():
         df.where(_is_hot(key, hot)).write.parquet(f"{path}/hot/{name}")
