@@ -108,3 +108,14 @@ def test_larger_tables_have_more_buckets(spark, own, monkeypatch):
     # the projections of the lines are sized by the lines' files
     assert own.bucketed.buckets > 8 and own.bucketed.buckets >= S.input_bytes([own.src.lines]) / (SMALL // 8)
     assert same_rows(from_buckets, own.marts.fct_order_payments)
+
+
+def test_larger_tables_have_more_ranged_files(spark, own, monkeypatch):
+    monkeypatch.setattr(ranged, "TASK_BYTES", SMALL // 16)
+    asked, real = [], Q.write_ranged
+    monkeypatch.setattr(Q, "write_ranged", lambda *a, files: asked.append(files) or real(*a, files=files))
+    found = Q.q_ranged_lookup(spark, SF001)
+    fact = own.marts.fct_order_payments
+    assert asked[0] > 16 and asked[0] >= S.input_bytes([fact]) / (SMALL // 16)
+    assert same_rows(found, fact.where("order_id BETWEEN '2' AND '3'").select(found.columns))
+    assert ranged.file_count(fact, least=100_000) == 100_000

@@ -35,7 +35,7 @@ from valuepay.sources.csv_source import (
     SourceEmpty, SourceMissing, read_category_translation, read_source, validate_source, write_csv,
 )
 from valuepay.sources.footers import footer_tables
-from valuepay.sources.ranged import read_between, write_ranged
+from valuepay.sources.ranged import file_count, read_between, write_ranged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -342,7 +342,9 @@ def q_card_row_order(spark, sf_dir):
 def q_ranged_lookup(spark, sf_dir):
     """Orders of a stretch of keys from the fact mart ranged by ``order_id``: only the files that hold them are read."""
     path = scratch_path(spark, "ranged-fact")
-    write_ranged(_marts(spark, sf_dir).fct_order_payments, path, "order_id", files=16)
+    fact = _marts(spark, sf_dir).fct_order_payments
+    with bounded_tasks(spark, [fact]):
+        write_ranged(fact, path, "order_id", files=file_count(fact, least=16))
     return read_between(spark, path, "order_id", "2", "3").select("order_id", "customer_unique_id", "order_value", "item_count")
 
 

@@ -15,9 +15,16 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from valuepay.session import TASK_BYTES, input_bytes, shuffle_partitions_for
+
 RANGES = "_ranges"  # a name that scans of the folder leave out
 
 
+def file_count(df: DataFrame, least: int = 1) -> int:
+    """Files such that each holds about ``TASK_BYTES`` of a stored frame, as one task sorts a whole file."""
+    return shuffle_partitions_for(input_bytes([df]), least, TASK_BYTES)
+
+
 def write_ranged(df: DataFrame, path: str, key: str, sort_key: Sequence[str] = (), files: int | None = None) -> None:
     """Replace the table at ``path`` by the rows of ``df``, ranged by ``key`` and sorted in each file by ``sort_key``
     (default: the key). ``files``: how many, about; by default AQE merges small ranges to its advisory size."""
